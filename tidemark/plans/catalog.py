@@ -41,3 +41,175 @@ QUERIES: dict[str, Query] = {
     "silver_events": silver_events,
     "gold_features": gold_features,
 }
+from ..operators import analysis as AN
+from ..operators import drift as DR
+from ..operators import features as FE
+from ..operators import metrics as ME
+from ..operators import quality as QU
+from ..operators import scoring as SC
+from pyspark.sql import functions as F
+
+
+def _training(spark, sf_dir):
+    return FE.training_frame(_gold(spark, sf_dir))
+
+
+def _labelled(spark, sf_dir):
+    """Training frame with the heuristic probability (unrounded) as score."""
+    t = _training(spark, sf_dir)
+    return t.select("subscriber_id", F.col("churned_30d").alias("label"),
+                    SC.heuristic_probability().alias("probability"))
+
+
+def _scoring_input(spark, sf_dir):
+    from .. import schemas as S
+    return _gold(spark, sf_dir).select(*S.SCORING_INPUT_COLS)
+
+
+def quality_report(spark, sf_dir):
+    return portable(QU.quality_report(FX.bronze(spark, sf_dir), AS_OF))
+
+
+def dbt_style_checks(spark, sf_dir):
+    b = FX.bronze(spark, sf_dir)
+    s = SV.silver(b, AS_OF)
+    g = G.gold(s, AS_OF)
+    out = (QU.run_column_tests(b, QU.BRONZE_TESTS)
+           .unionByName(QU.run_column_tests(s, QU.SILVER_TESTS))
+           .unionByName(QU.run_column_tests(g, QU.GOLD_TESTS)))
+    return portable(out)
+
+
+def layer_quality(spark, sf_dir):
+    return portable(QU.layer_scores(dbt_style_checks(spark, sf_dir)))
+
+
+def feature_vector(spark, sf_dir):
+    return portable(FE.engineer_features(_training(spark, sf_dir)))
+
+
+def scoring_validation(spark, sf_dir):
+    v = SC.validate_input(_scoring_input(spark, sf_dir))
+    return portable(v.select("subscriber_id", "plan_type", "country", "is_valid",
+                             F.array_join("reasons", ";").alias("reasons")))
+
+
+def heuristic_scores(spark, sf_dir):
+    return portable(SC.score_heuristic(_scoring_input(spark, sf_dir), AS_OF))
+
+
+def batch_summary(spark, sf_dir):
+    return portable(SC.batch_summary(SC.score_heuristic(_scoring_input(spark, sf_dir), AS_OF)))
+
+
+def feature_drift(spark, sf_dir):
+    return portable(DR.feature_drift(_gold(spark, sf_dir)))
+
+
+def prediction_drift(spark, sf_dir):
+    return portable(DR.prediction_drift(SC.score_heuristic(_scoring_input(spark, sf_dir), AS_OF)))
+
+
+def drift_report(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    preds = SC.score_heuristic(g.select(*_scoring_input(spark, sf_dir).columns), AS_OF)
+    return portable(DR.drift_report(g, preds, AS_OF))
+
+
+def confusion_metrics(spark, sf_dir):
+    return portable(ME.confusion_metrics(_labelled(spark, sf_dir)))
+
+
+def classification_report(spark, sf_dir):
+    return portable(ME.classification_report(_labelled(spark, sf_dir)))
+
+
+def auc_rank(spark, sf_dir):
+    return portable(ME.auc(_labelled(spark, sf_dir)))
+
+
+def roc_points(spark, sf_dir):
+    return portable(ME.roc_points(_labelled(spark, sf_dir)))
+
+
+def release_gate(spark, sf_dir):
+    return portable(ME.release_gate(ME.auc(_labelled(spark, sf_dir))))
+
+
+def performance_drift(spark, sf_dir):
+    return portable(ME.performance_drift(ME.auc(_labelled(spark, sf_dir))))
+
+
+def business_impact(spark, sf_dir):
+    return portable(ME.business_impact(ME.confusion_metrics(_labelled(spark, sf_dir))))
+
+
+def means_by_label(spark, sf_dir):
+    return portable(AN.means_by_label(_training(spark, sf_dir)))
+
+
+def class_share(spark, sf_dir):
+    return portable(AN.class_share(_training(spark, sf_dir)))
+
+
+def sessions_histogram(spark, sf_dir):
+    return portable(AN.histogram(_training(spark, sf_dir)))
+
+
+def risk_distribution(spark, sf_dir):
+    return portable(G.risk_distribution(_gold(spark, sf_dir)))
+
+
+def distinct_subscribers(spark, sf_dir):
+    return portable(G.distinct_subscribers(_silver(spark, sf_dir)))
+
+
+def distinct_subscribers_top(spark, sf_dir):
+    return portable(G.distinct_subscribers(_silver(spark, sf_dir), limit=100))
+
+
+def gold_stats(spark, sf_dir):
+    act = G.subscriber_activity(_silver(spark, sf_dir), AS_OF)
+    from ..functions import rules as R
+    return portable(act.select(
+        *G.GRAIN,
+        R.round_half_up("completion_rate_stddev", 6).alias("completion_rate_stddev"),
+        "last_watch_at"))
+
+
+def gold_by_subscriber(spark, sf_dir):
+    return portable(G.gold_by_subscriber(_silver(spark, sf_dir), AS_OF))
+
+
+def silver_dag_variant(spark, sf_dir):
+    return portable(SV.silver_dag_variant(FX.bronze(spark, sf_dir), AS_OF))
+
+
+QUERIES.update({
+    "quality_report": quality_report,
+    "dbt_style_checks": dbt_style_checks,
+    "layer_quality": layer_quality,
+    "feature_vector": feature_vector,
+    "scoring_validation": scoring_validation,
+    "heuristic_scores": heuristic_scores,
+    "batch_summary": batch_summary,
+    "feature_drift": feature_drift,
+    "prediction_drift": prediction_drift,
+    "drift_report": drift_report,
+    "confusion_metrics": confusion_metrics,
+    "classification_report": classification_report,
+    "auc_rank": auc_rank,
+    "roc_points": roc_points,
+    "release_gate": release_gate,
+    "performance_drift": performance_drift,
+    "business_impact": business_impact,
+    "means_by_label": means_by_label,
+    "class_share": class_share,
+    "sessions_histogram": sessions_histogram,
+    "risk_distribution": risk_distribution,
+    "distinct_subscribers": distinct_subscribers,
+    "distinct_subscribers_top": distinct_subscribers_top,
+    "gold_stats": gold_stats,
+    "gold_by_subscriber": gold_by_subscriber,
+    "silver_dag_variant": silver_dag_variant,
+})

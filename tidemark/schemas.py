@@ -47,10 +47,32 @@ BATCH_MAX_ROWS = 1000
 # Risk bands for a probability, with their advice text.
 RISK_HIGH, RISK_MEDIUM = 0.7, 0.4
 RECOMMENDATIONS = {
-    "HIGH": "Trigger immediate retention campaign — offer 1-month free",
-    "MEDIUM": "Send personalised content recommendation this week",
-    "LOW": "No action needed — subscriber is engaged",
+    "HIGH": "🚨 Trigger immediate retention campaign — offer 1-month free",
+    "MEDIUM": "⚠️  Send personalised content recommendation this week",
+    "LOW": "✅ No action needed — subscriber is engaged",
 }
+# Drift report texts.
+DRIFT_STATUS = {True: "🚨 DRIFT", False: "✅ OK"}
+RETRAIN_TEXT = "🚨 RETRAIN MODEL — significant drift detected in: "
+HEALTHY_TEXT = "✅ Model is healthy — no retraining needed"
+# Heuristic fallback score: start, rule weights, cap.
+HEURISTIC_START = 0.5
+HEURISTIC_CAP = 0.98
+# Scoring-input ranges: field -> (min, max); None is open.
+SCORING_RANGES = {
+    "total_sessions_30d": (0, 500),
+    "total_watch_time_h": (0, None),
+    "avg_completion_rate": (0, 1),
+    "avg_engagement_score": (0, 100),
+    "days_since_last_watch": (0, 30),
+    "sessions_last_7d": (0, 100),
+    "unique_content_count": (0, None),
+}
+# Business impact constants.
+SUBSCRIBERS = 8_000_000
+MONTHLY_REVENUE = 12
+CHURN_RATE = 0.25
+RETENTION_RATE = 0.30
 # ---------------------------------------------------------------------------
 
 BRONZE_SCHEMA = T.StructType([
