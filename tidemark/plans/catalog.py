@@ -213,3 +213,78 @@ QUERIES.update({
     "gold_by_subscriber": gold_by_subscriber,
     "silver_dag_variant": silver_dag_variant,
 })
+
+
+# --- ingest, incremental load, schema sync, upsert ----------------------------------------
+
+from ..operators import ingest as IN  # noqa: E402
+from .. import schemas as S  # noqa: E402
+
+
+def bronze_dedup_ingest(spark, sf_dir):
+    """Second batch into a bronze that holds the first: insert-if-absent."""
+    first, second = FX.bronze_batches(spark, sf_dir)
+    res = IN.ingest_to_bronze(second, first, run_id="run-3", as_of=AS_OF, count=False)
+    return portable(res.rows)
+
+
+def silver_incremental(spark, sf_dir):
+    """Silver after two incremental runs (batch one at the cut, then all)."""
+    first, _ = FX.bronze_batches(spark, sf_dir)
+    target = SV.silver(first, FX.BATCH_CUT)
+    return portable(SV.silver_incremental(FX.bronze(spark, sf_dir), target, AS_OF))
+
+
+def silver_schema_sync(spark, sf_dir):
+    """Incremental run whose query gained ``is_mobile`` and lost ``app_version``."""
+    first, _ = FX.bronze_batches(spark, sf_dir)
+    target = SV.silver(first, FX.BATCH_CUT)
+    mark = SV.high_water_mark(target)
+    new = (SV.silver(SV.new_since(FX.bronze(spark, sf_dir), mark), AS_OF)
+           .drop("app_version").withColumn("is_mobile", F.col("device_type") == "mobile"))
+    return portable(SV.merge_by_key(SV.sync_columns(target, new), new))
+
+
+DAG_UPDATE_COLS = ["total_sessions_30d", "total_watch_time_h", "avg_completion_rate",
+                   "days_since_last_watch", "churn_risk_label"]
+EARLIER = "2024-01-26 00:00:00"
+
+
+def gold_upsert(spark, sf_dir):
+    """Gold (one row per subscriber) of a week earlier, upserted with today's:
+    matched rows take five columns and a new stamp, others stay (S10)."""
+    silver = _silver(spark, sf_dir)
+    # the table as a run a week earlier left it: events before that clock only
+    before = silver.where(F.col("event_timestamp") < F.lit(EARLIER).cast("timestamp_ntz"))
+    old = G.gold_by_subscriber(before, EARLIER)
+    new = G.gold_by_subscriber(silver, AS_OF)
+    return portable(G.upsert_columns(old, new, "subscriber_id", DAG_UPDATE_COLS,
+                                     stamp_col="computed_at", as_of=AS_OF))
+
+
+def completion_trend(spark, sf_dir):
+    return portable(G.completion_trend(_silver(spark, sf_dir), AS_OF))
+
+
+def pipeline_summary(spark, sf_dir):
+    """Run summary (S18): rows ingested, quality score, silver and gold rows."""
+    bronze = FX.bronze(spark, sf_dir)
+    ingested = IN.ingest_to_bronze(bronze, None, "run-1", AS_OF, count=False).rows
+    silver = SV.silver(bronze, AS_OF)
+    gold = G.gold(silver, AS_OF)
+    q = QU.quality_report(bronze, AS_OF)
+    return portable(spark.range(1).select(
+        ingested.select(F.count(F.lit(1))).scalar().alias("bronze_inserted"),
+        q.select("quality_score").scalar().alias("quality_score"),
+        silver.select(F.count(F.lit(1))).scalar().alias("silver_rows"),
+        gold.select(F.count(F.lit(1))).scalar().alias("gold_rows")))
+
+
+QUERIES.update({
+    "bronze_dedup_ingest": bronze_dedup_ingest,
+    "silver_incremental": silver_incremental,
+    "silver_schema_sync": silver_schema_sync,
+    "gold_upsert": gold_upsert,
+    "completion_trend": completion_trend,
+    "pipeline_summary": pipeline_summary,
+})
