@@ -110,6 +110,39 @@ def completion_trend(silver: DataFrame, as_of=None) -> DataFrame:
                       .alias("completion_rate_trend"))
 
 
+# --- gold over a series of days ---------------------------------------------------------
+
+def gold_snapshots(silver: DataFrame, first_day, last_day, days: int = 30) -> DataFrame:
+    """Gold as it would have been computed at midnight of every day in
+    [first_day, last_day]: each snapshot sees the events before its clock
+    and within its 30-day window. Every event is copied once to each
+    snapshot it belongs to (at most ``days`` copies, fewer for short series)
+    and all snapshots come out of one aggregation keyed by the snapshot day.
+    """
+    lo = F.to_date(F.lit(str(first_day)))
+    hi = F.to_date(F.lit(str(last_day)))
+    start = F.greatest(F.date_add("event_date", 1), lo)
+    stop = F.least(F.date_add("event_date", days), hi)
+    exploded = (silver.where(start <= stop)
+                .select("*", F.explode(F.sequence(start, stop)).alias("snapshot_date"))
+                .withColumn("snapshot_at", F.col("snapshot_date").cast(T.TimestampNTZType())))
+    as_of = F.col("snapshot_at")
+    act = exploded.groupBy("snapshot_date", "snapshot_at", *GRAIN).agg(*_activity_aggs(as_of))
+    return project_gold_by(with_labels(act, as_of), ["snapshot_date"])
+
+
+def project_gold_by(labelled: DataFrame, keys: list[str]) -> DataFrame:
+    """The gold projection with extra leading key columns."""
+    return _round_gold(labelled.select(*keys, *project_gold(labelled).columns))
+
+
+def _round_gold(df: DataFrame) -> DataFrame:
+    spec = {"total_watch_time_h": 2, "avg_completion_rate": 4, "avg_engagement_score": 2,
+            "completion_rate": 4, "abandonment_rate": 4}
+    return df.select(*[R.round_half_up(c, spec[c]).alias(c) if c in spec else F.col(c)
+                       for c in df.columns])
+
+
 # --- S10 / J2 ---------------------------------------------------------------------------------
 
 def upsert_columns(target: DataFrame, source: DataFrame, key: str,

@@ -288,3 +288,114 @@ QUERIES.update({
     "completion_trend": completion_trend,
     "pipeline_summary": pipeline_summary,
 })
+
+
+# --- star schema, KPIs, alerts, PSI, drift over time ----------------------------------------
+
+from ..operators import kpis as KP  # noqa: E402
+from ..operators import warehouse as WH  # noqa: E402
+
+TIMELINE_FIRST, TIMELINE_LAST = "2024-01-27", "2024-02-02"
+
+
+def star_fact(spark, sf_dir):
+    return portable(WH.fact_viewing_events(_silver(spark, sf_dir)))
+
+
+def dim_subscriber(spark, sf_dir):
+    return portable(WH.dim_subscriber(_silver(spark, sf_dir), FX.read_table(spark, sf_dir, "customer")))
+
+
+def dim_content(spark, sf_dir):
+    return portable(WH.dim_content(_silver(spark, sf_dir), FX.read_table(spark, sf_dir, "part")))
+
+
+def dim_date(spark, sf_dir):
+    return portable(WH.dim_date(_silver(spark, sf_dir)))
+
+
+def dim_device(spark, sf_dir):
+    return portable(WH.dim_device(_silver(spark, sf_dir)))
+
+
+def favourite_genre(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    subs = WH.dim_subscriber(silver, FX.read_table(spark, sf_dir, "customer"))
+    content = WH.dim_content(silver, FX.read_table(spark, sf_dir, "part"))
+    return portable(WH.favourite_genre(WH.enrich_events(silver, subs, content), AS_OF))
+
+
+def dim_subscriber_scored(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    dim = WH.dim_subscriber(silver, FX.read_table(spark, sf_dir, "customer"))
+    scores = SC.score_heuristic(G.gold_by_subscriber(silver, AS_OF).select(*S.SCORING_INPUT_COLS), AS_OF)
+    return portable(WH.write_scores(dim, scores))
+
+
+def kpi_daily(spark, sf_dir):
+    return portable(KP.daily_kpis(_silver(spark, sf_dir)))
+
+
+def kpi_latency(spark, sf_dir):
+    return portable(KP.latency_kpis(FX.bronze(spark, sf_dir)))
+
+
+def kpi_latency_percentiles(spark, sf_dir):
+    return portable(KP.latency_percentiles(FX.bronze(spark, sf_dir)))
+
+
+def alerts(spark, sf_dir):
+    bronze = FX.bronze(spark, sf_dir)
+    g = G.gold(SV.silver(bronze, AS_OF), AS_OF)
+    preds = SC.score_heuristic(g.select(*S.SCORING_INPUT_COLS), AS_OF)
+    return portable(KP.alerts(QU.quality_report(bronze, AS_OF), DR.drift_report(g, preds, AS_OF),
+                              KP.latency_kpis(bronze), AS_OF))
+
+
+def psi(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    before = silver.where(F.col("event_timestamp") < F.lit(EARLIER).cast("timestamp_ntz"))
+    old, new = G.gold(before, EARLIER), G.gold(silver, AS_OF)
+    out = None
+    for f, (_, _, lo, hi) in S.BASELINE_STATS.items():
+        p = DR.psi(old, new, f, lo, hi, bins=10)
+        out = p if out is None else out.unionByName(p)
+    return portable(out)
+
+
+def _scored_snapshots(spark, sf_dir):
+    snaps = G.gold_snapshots(_silver(spark, sf_dir), TIMELINE_FIRST, TIMELINE_LAST)
+    valid, _ = SC.split_valid(snaps)
+    from ..functions import rules as R
+    return valid.withColumn("churn_probability", R.round_half_up(SC.heuristic_probability(), 4))
+
+
+def gold_snapshots(spark, sf_dir):
+    return portable(G.gold_snapshots(_silver(spark, sf_dir), TIMELINE_FIRST, TIMELINE_LAST))
+
+
+def drift_timeline(spark, sf_dir):
+    return portable(DR.drift_timeline(_scored_snapshots(spark, sf_dir), as_of=AS_OF))
+
+
+def alert_days(spark, sf_dir):
+    return portable(DR.alert_days(DR.drift_timeline(_scored_snapshots(spark, sf_dir), as_of=AS_OF)))
+
+
+QUERIES.update({
+    "star_fact": star_fact,
+    "dim_subscriber": dim_subscriber,
+    "dim_content": dim_content,
+    "dim_date": dim_date,
+    "dim_device": dim_device,
+    "favourite_genre": favourite_genre,
+    "dim_subscriber_scored": dim_subscriber_scored,
+    "kpi_daily": kpi_daily,
+    "kpi_latency": kpi_latency,
+    "kpi_latency_percentiles": kpi_latency_percentiles,
+    "alerts": alerts,
+    "psi": psi,
+    "gold_snapshots": gold_snapshots,
+    "drift_timeline": drift_timeline,
+    "alert_days": alert_days,
+})
