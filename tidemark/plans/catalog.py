@@ -399,3 +399,57 @@ QUERIES.update({
     "drift_timeline": drift_timeline,
     "alert_days": alert_days,
 })
+
+
+# --- model and streams (no SQL oracle: rows are checked) -----------------------------------------
+
+from ..operators import model as MO  # noqa: E402
+from ..sources import tables as TB  # noqa: E402
+from ..streaming import streams as ST  # noqa: E402
+
+SMALL_GBT = {"maxIter": 10, "maxDepth": 4}
+
+
+def stratified_split(spark, sf_dir):
+    return portable(MO.stratified_split(_training(spark, sf_dir)).select(
+        "subscriber_id", "plan_type", "country", "churned_30d", "split"))
+
+
+def gbt_scores(spark, sf_dir):
+    res = MO.train(_training(spark, sf_dir), SMALL_GBT)
+    return portable(res.test_predictions)
+
+
+def top_features(spark, sf_dir):
+    res = MO.train(_training(spark, sf_dir), SMALL_GBT, early_stopping=False)
+    return portable(AN.top_k(res.importance, "importance", 5, tie="feature"))
+
+
+def stream_bronze(spark, sf_dir):
+    root = TB.scratch_path(spark, "stream-bronze")
+    src = ST.land_by_day(FX.bronze(spark, sf_dir), f"{root}/landing")
+    q = ST.start_bronze_stream(ST.read_events_stream(spark, src), f"{root}/bronze",
+                               f"{root}/_ckpt", run_id="stream-1")
+    q.awaitTermination()
+    return portable(spark.read.parquet(f"{root}/bronze").drop(ST.BATCH_COL))
+
+
+def stream_silver(spark, sf_dir):
+    root = TB.scratch_path(spark, "stream-silver")
+    src = ST.land_by_day(FX.bronze_clean(spark, sf_dir), f"{root}/landing")
+    b = ST.start_bronze_stream(ST.read_events_stream(spark, src), f"{root}/bronze",
+                               f"{root}/_ckpt_b", run_id="stream-1")
+    b.awaitTermination()
+    s = ST.start_silver_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine",
+                               f"{root}/_ckpt_s", as_of=AS_OF)
+    s.awaitTermination()
+    return portable(spark.read.parquet(f"{root}/silver"))
+
+
+QUERIES.update({
+    "stratified_split": stratified_split,
+    "gbt_scores": gbt_scores,
+    "top_features": top_features,
+    "stream_bronze": stream_bronze,
+    "stream_silver": stream_silver,
+})
