@@ -17,7 +17,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,10 @@ from .ranking import running_totals
 
 MODEL_VERSION = "1.0.0"
 
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
 # Reference hyper-parameters mapped onto GBTClassifier (see README).
 DEFAULT_PARAMS = {
     "maxIter": 200, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
@@ -54,9 +58,13 @@ def stratified_split(df: DataFrame, label: str = "churned_30d", key: str = "subs
                                          F.col(key).cast(T.StringType()).alias("k")))
     ranked = running_totals(keyed.withColumn("_one", F.lit(1)), "_h", ["_one"],
                             with_grand_total=False)
+    # one row per class (a bounded table): its size and the rows of the
+    # classes ordered before it, which the global running count includes
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per class: a bounded table
-    out = ranked.join(F.broadcast(sizes), label)
+    before = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    out = (ranked.join(F.broadcast(sizes), label)
+                 .withColumn("cum__one", F.col("cum__one") - F.col("_before")))
     names = list(shares)
     bounds, acc = [], 0.0
     for name in names[:-1]:
@@ -176,7 +184,7 @@ def log_run(spark: SparkSession, root: str, run_name: str, params: dict, metrics
         "train_size": metrics_row.get("train_size"), "test_size": metrics_row.get("test_size"),
         "model_version": metrics_row.get("model_version"),
         "model_path": model_path, "status": status,
-        "logged_at": _dt.datetime.utcnow(),
+        "logged_at": _now(),
     }
     schema = ("run_id string, run_name string, params map<string,string>, auc_roc double, "
               "f1_score double, precision double, recall double, train_size bigint, "
@@ -190,13 +198,13 @@ def save_model(model: PipelineModel, root: str, metrics: DataFrame,
     """Save into a new version directory and make it current; the version
     before stays readable as the backup (S15)."""
     spark = metrics.sparkSession
-    version = _dt.datetime.utcnow().strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    version = _now().strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     path = f"{root.rstrip('/')}/models/v={version}"
     model.write().save(f"{path}/model")
     metrics.coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
     if importance is not None:
         importance.coalesce(1).write.mode("overwrite").json(f"{path}/feature_importance")
-    spark.createDataFrame([(version, path, _dt.datetime.utcnow(), "")],
+    spark.createDataFrame([(version, path, _now(), "")],
                           "version string, path string, written_at timestamp, note string") \
          .coalesce(1).write.mode("append").parquet(TB.pointer_path(f"{root.rstrip('/')}/models"))
     return path
@@ -223,7 +231,7 @@ def retrain(frame: DataFrame, root: str, params: dict | None = None, force: bool
     res = train(frame, params)
     gate = ME.release_gate(res.metrics.select("auc_roc"), threshold, force).first()
     m = res.metrics.first().asDict()
-    run_name = "retrain-" + _dt.datetime.utcnow().strftime("%Y%m%d-%H%M")
+    run_name = "retrain-" + _now().strftime("%Y%m%d-%H%M")
     if gate["passed"] or force:
         path = save_model(res.model, root, res.metrics, res.importance)
         status = "promoted" if gate["passed"] else "promoted_forced"

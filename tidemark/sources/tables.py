@@ -91,10 +91,10 @@ def write_version(df: DataFrame, root: str, note: str = "") -> str:
     """Full refresh without overwriting what readers use: write a new
     version directory, then append a pointer row naming it current."""
     spark = df.sparkSession
-    version = _dt.datetime.utcnow().strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    version = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     vpath = f"{root.rstrip('/')}/v={version}"
     df.write.mode("errorifexists").parquet(vpath)
-    spark.createDataFrame([(version, vpath, _dt.datetime.utcnow(), note)],
+    spark.createDataFrame([(version, vpath, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), note)],
                           "version string, path string, written_at timestamp, note string") \
          .coalesce(1).write.mode("append").parquet(pointer_path(root))
     return vpath
