@@ -63,12 +63,16 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
     country = (F.when(e % 211 == 0, "US").when(n % 4 == 0, "fr").when(n % 4 == 1, "BE")
                .when(n % 4 == 2, "CH").otherwise("LU"))
 
-    first = kept.select(
+    # every 20th event arrives twice: one scan, and a generator emits the copy
+    copy = F.explode(F.when(e % 20 == 0, F.array(F.lit(1), F.lit(2)))
+                      .otherwise(F.array(F.lit(1)))).alias("_copy")
+    second = F.col("_copy") == 2
+    return kept.select("*", copy).select(
         e.cast(T.StringType()).alias("event_id"),
         F.when(e % 97 == 0, F.lit(None).cast(T.StringType()))
          .otherwise(format_id("sub_", n, 8)).alias("subscriber_id"),
         format_id("content_", e * 7 % 100 + 1, 4).alias("content_id"),
-        device.alias("device_type"),
+        F.when(second, F.lit("web")).otherwise(device).alias("device_type"),
         event_type.alias("event_type"),
         watch.alias("watch_duration_s"),
         completion.alias("completion_pct"),
@@ -77,15 +81,10 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
         F.when(e % 101 == 0, F.lit(None).cast(T.TimestampNTZType()))
          .otherwise(ts).alias("event_timestamp"),
         F.lit("4.3.0").alias("app_version"),
-        (ts + F.expr("INTERVAL 10 MINUTES")).alias("ingested_at"),
-        F.lit("run-1").alias("pipeline_run_id"),
-        (e % 20 == 0).alias("_again"),
+        F.when(second, ts + F.expr("INTERVAL 40 MINUTES"))
+         .otherwise(ts + F.expr("INTERVAL 10 MINUTES")).alias("ingested_at"),
+        F.when(second, F.lit("run-2")).otherwise(F.lit("run-1")).alias("pipeline_run_id"),
     )
-    again = (first.where("_again")
-             .withColumn("device_type", F.lit("web"))
-             .withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 30 MINUTES"))
-             .withColumn("pipeline_run_id", F.lit("run-2")))
-    return first.unionByName(again).drop("_again").select(*S.BRONZE_COLS)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
