@@ -129,6 +129,13 @@ def alert_days(timeline: DataFrame) -> DataFrame:
                         F.count_if("overall_alert").alias("alert_days"))
 
 
+def retrain_decision(report: DataFrame) -> DataFrame:
+    """M16 as a table: retrain when the report alerts, with the reason."""
+    return report.agg(F.bool_or("overall_alert").alias("retrain"),
+                      F.max(F.when(F.col("overall_alert"), F.col("drifted_features")))
+                       .alias("drifted_features"))
+
+
 def should_retrain(report: DataFrame) -> bool:
     """The documented rule, drift starts retraining. One scalar."""
     return bool(report.agg(F.bool_or("overall_alert")).first()[0])

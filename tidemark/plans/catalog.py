@@ -453,3 +453,76 @@ QUERIES.update({
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
 })
+
+
+# --- remaining single operators --------------------------------------------------------------
+
+def silver_empty(spark, sf_dir):
+    """The silver schema with no rows."""
+    return portable(SV.empty_like(_silver(spark, sf_dir)))
+
+
+def landing_scan(spark, sf_dir):
+    """Bronze landed as ingest-day folders, scanned back with partition
+    discovery and schema merging."""
+    root = TB.scratch_path(spark, "landing")
+    TB.write_landing_by_day(FX.bronze(spark, sf_dir), root)
+    return portable(TB.read_landing(spark, root))
+
+
+def events_json_roundtrip(spark, sf_dir):
+    """Bronze as JSON records with ISO times, parsed back."""
+    return portable(IN.parse_events_json(IN.events_to_json(FX.bronze(spark, sf_dir))))
+
+
+def bronze_sample(spark, sf_dir):
+    """The first five bronze rows in event-id order."""
+    return portable(IN.sample(FX.bronze(spark, sf_dir), 5, ["event_id", "ingested_at"]))
+
+
+def retrain_decision(spark, sf_dir):
+    """Drift decides whether to retrain."""
+    g = _gold(spark, sf_dir)
+    rep = DR.drift_report(g, SC.score_heuristic(g.select(*S.SCORING_INPUT_COLS), AS_OF), AS_OF)
+    return portable(DR.retrain_decision(rep))
+
+
+def silver_enriched(spark, sf_dir):
+    """Silver with subscriber and content attributes."""
+    silver = _silver(spark, sf_dir)
+    subs = WH.dim_subscriber(silver, FX.read_table(spark, sf_dir, "customer"))
+    content = WH.dim_content(silver, FX.read_table(spark, sf_dir, "part"))
+    out = WH.enrich_events(silver, subs, content)
+    return portable(out.select("event_id", "subscriber_id", "content_id", "genre", "email",
+                               "signup_date", "event_date"))
+
+
+def gold_dag_table(spark, sf_dir):
+    """Gold in the DAG's shape, with completion trend and the
+    30-day session alias."""
+    silver = _silver(spark, sf_dir)
+    g = G.gold_dag_columns(G.gold(silver, AS_OF))
+    out = g.join(G.completion_trend(silver, AS_OF), G.GRAIN, "left")
+    return portable(out.select("subscriber_id", "plan_type", "country", "total_sessions_30d",
+                               "sessions_last_30d", "sessions_last_7d", "completion_rate_trend",
+                               "churn_risk_label"))
+
+
+def sorted_codes(spark, sf_dir):
+    """category codes learnt from the data in sorted order."""
+    t = FE.label_sorted_codes(_training(spark, sf_dir))
+    return portable(t.select("subscriber_id", "plan_type", "country", "favourite_device",
+                             *[F.col(c + "_idx").cast("bigint").alias(c + "_idx")
+                               for c in ("plan_type", "country", "favourite_device")]))
+
+
+QUERIES.update({
+    "silver_empty": silver_empty,
+    "landing_scan": landing_scan,
+    "events_json_roundtrip": events_json_roundtrip,
+    "bronze_sample": bronze_sample,
+    "retrain_decision": retrain_decision,
+    "silver_enriched": silver_enriched,
+    "gold_dag_table": gold_dag_table,
+    "sorted_codes": sorted_codes,
+})
