@@ -178,3 +178,30 @@ def is_drifted(deviation, threshold: float = S.DRIFT_THRESHOLD) -> Column:
 
 def format_id(prefix: str, n, width: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(as_column(n).cast(T.StringType()), width, "0"))
+
+
+# --- small literal tables -------------------------------------------------------------
+
+def literal_table(spark, rows: list, schema: str):
+    """A small constant table built from literals on the JVM side (a local
+    relation; no Python worker and no RDD). ``schema`` is a DDL string."""
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string(schema)
+
+    def value(v, dtype):
+        if isinstance(dtype, T.MapType):
+            if not v:
+                return F.lit(None).cast(dtype)
+            return F.create_map(*[x for k, val in v.items() for x in (F.lit(k), F.lit(val))]).cast(dtype)
+        if isinstance(v, _dt.datetime):          # wall clock as text: no zone conversion
+            return F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(dtype)
+        return F.lit(v).cast(dtype)
+
+    structs = []
+    for row in rows:
+        vals = row.values() if isinstance(row, dict) else row
+        structs.append(F.struct(*[value(v, f.dataType).alias(f.name)
+                                  for f, v in zip(st.fields, vals)]))
+    if not structs:
+        return spark.createDataFrame([], st)
+    return spark.range(1).select(F.inline(F.array(*structs)))

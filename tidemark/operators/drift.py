@@ -22,9 +22,9 @@ def baseline_table(spark: SparkSession, stats: dict | None = None) -> DataFrame:
     """feature, position, mean, std, min, max: one row per monitored feature."""
     stats = stats or S.BASELINE_STATS
     rows = [(f, i, *map(float, v)) for i, (f, v) in enumerate(stats.items())]
-    return spark.createDataFrame(
-        rows, "feature string, position int, baseline_mean double, baseline_std double, "
-              "baseline_min double, baseline_max double")
+    return R.literal_table(
+        spark, rows, "feature string, position int, baseline_mean double, baseline_std double, "
+                     "baseline_min double, baseline_max double")
 
 
 def monitored(df: DataFrame, stats: dict | None = None) -> list[str]:
@@ -143,25 +143,49 @@ def should_retrain(report: DataFrame) -> bool:
 
 # --- X10: population stability index -----------------------------------------------
 
-def psi(expected: DataFrame, actual: DataFrame, feature: str, lo: float, hi: float,
-        bins: int = 10, floor: float = 1e-4, by_label: str | None = None) -> DataFrame:
-    """PSI of ``feature`` between two tables over ``bins`` equal-width bins
-    of [lo, hi] (values outside are clamped to the edge bins; NULL/NaN
-    skipped). Shares below ``floor`` are raised to it. Two aggregations
-    (bin counts), joined on the bin number (at most ``bins`` rows a side)."""
-    def shares(df, name):
-        x = R.nan_to_null(feature)
-        width = (hi - lo) / bins
-        b = F.least(F.greatest(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(bins - 1))
-        c = df.where(x.isNotNull()).groupBy(b.cast(T.IntegerType()).alias("bin")).agg(
-            F.count(F.lit(1)).alias("n"))
-        # at most ``bins`` rows: the total over all of them is cheap
-        return c.select("bin", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias(name))
+def psi(expected: DataFrame, actual: DataFrame, ranges: dict | None = None,
+        bins: int = 10, floor: float = 1e-4) -> DataFrame:
+    """Population stability index per feature between two tables.
+
+    ``ranges`` maps feature -> (lo, hi); the default is the baseline's
+    min/max. Each range is cut into ``bins`` equal-width bins (values outside
+    are clamped to the edge bins; NULL/NaN skipped); shares below ``floor``
+    are raised to it; PSI = sum over bins of (a - e) * ln(a / e).
+    All features are binned in one aggregation per table (unpivot, then
+    count per (feature, bin)); the result tables have features x bins rows.
+    """
+    if ranges is None:
+        ranges = {f: (v[2], v[3]) for f, v in S.BASELINE_STATS.items()}
+    ranges = {f: r for f, r in ranges.items() if f in expected.columns and f in actual.columns}
     spark = expected.sparkSession
-    all_bins = spark.range(bins).select(F.col("id").cast(T.IntegerType()).alias("bin"))
+
+    def shares(df: DataFrame, name: str) -> DataFrame:
+        cols = []
+        for i, (f, (lo, hi)) in enumerate(ranges.items()):
+            x = R.nan_to_null(f)
+            width = (hi - lo) / bins
+            b = F.least(F.greatest(F.floor((x - F.lit(float(lo))) / F.lit(width)), F.lit(0)),
+                        F.lit(bins - 1)).cast(T.IntegerType())
+            cols.append(F.struct(F.lit(f).alias("feature"), b.alias("bin")))
+        long = df.select(F.explode(F.array(*cols)).alias("fb")).select("fb.*") \
+                 .where(F.col("bin").isNotNull())
+        counts = long.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+        # features x bins rows: a bounded table
+        per_feature = Window.partitionBy("feature")
+        return counts.select("feature", "bin",
+                             (F.col("n") / F.sum("n").over(per_feature)).alias(name))
+
+    grid = literal_table_grid(spark, list(ranges), bins)
     e, a = shares(expected, "e"), shares(actual, "a")
-    j = all_bins.join(F.broadcast(e), "bin", "left").join(F.broadcast(a), "bin", "left")
+    j = (grid.join(F.broadcast(e), ["feature", "bin"], "left")
+             .join(F.broadcast(a), ["feature", "bin"], "left"))
     ev = F.greatest(F.coalesce("e", F.lit(0.0)), F.lit(floor))
     av = F.greatest(F.coalesce("a", F.lit(0.0)), F.lit(floor))
-    return j.agg(F.sum((av - ev) * F.log(av / ev)).alias("psi")).select(
-        F.lit(by_label or feature).alias("feature"), R.round_half_up("psi", 6).alias("psi"))
+    return j.groupBy("feature").agg(
+        R.round_half_up(F.sum((av - ev) * F.log(av / ev)), 6).alias("psi"))
+
+
+def literal_table_grid(spark: SparkSession, features: list[str], bins: int) -> DataFrame:
+    """Every (feature, bin) pair: features x bins rows."""
+    return R.literal_table(spark, [(f, b) for f in features for b in range(bins)],
+                           "feature string, bin int")

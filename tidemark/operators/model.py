@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions import rules as R
 from ..sources import tables as TB
 from . import metrics as ME
 from .features import engineer_features
@@ -163,7 +164,7 @@ def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """Feature name -> importance, one row per feature (15 rows), sorted."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
     rows = [(name, float(v)) for name, v in zip(S.FEATURE_COLS, imp)]
-    return (spark.createDataFrame(rows, "feature string, importance double")
+    return (R.literal_table(spark, rows, "feature string, importance double")
                  .orderBy(F.col("importance").desc(), F.col("feature")))
 
 
@@ -189,8 +190,8 @@ def log_run(spark: SparkSession, root: str, run_name: str, params: dict, metrics
     schema = ("run_id string, run_name string, params map<string,string>, auc_roc double, "
               "f1_score double, precision double, recall double, train_size bigint, "
               "test_size bigint, model_version string, model_path string, status string, "
-              "logged_at timestamp")
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(runs_path(root))
+              "logged_at timestamp_ntz")
+    R.literal_table(spark, [row], schema).coalesce(1).write.mode("append").parquet(runs_path(root))
 
 
 def save_model(model: PipelineModel, root: str, metrics: DataFrame,
@@ -204,9 +205,9 @@ def save_model(model: PipelineModel, root: str, metrics: DataFrame,
     metrics.coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
     if importance is not None:
         importance.coalesce(1).write.mode("overwrite").json(f"{path}/feature_importance")
-    spark.createDataFrame([(version, path, _now(), "")],
-                          "version string, path string, written_at timestamp, note string") \
-         .coalesce(1).write.mode("append").parquet(TB.pointer_path(f"{root.rstrip('/')}/models"))
+    R.literal_table(spark, [(version, path, _now(), "")],
+                    "version string, path string, written_at timestamp_ntz, note string") \
+        .coalesce(1).write.mode("append").parquet(TB.pointer_path(f"{root.rstrip('/')}/models"))
     return path
 
 

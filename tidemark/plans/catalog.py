@@ -356,11 +356,7 @@ def psi(spark, sf_dir):
     silver = _silver(spark, sf_dir)
     before = silver.where(F.col("event_timestamp") < F.lit(EARLIER).cast("timestamp_ntz"))
     old, new = G.gold(before, EARLIER), G.gold(silver, AS_OF)
-    out = None
-    for f, (_, _, lo, hi) in S.BASELINE_STATS.items():
-        p = DR.psi(old, new, f, lo, hi, bins=10)
-        out = p if out is None else out.unionByName(p)
-    return portable(out)
+    return portable(DR.psi(old, new, bins=10))
 
 
 def _scored_snapshots(spark, sf_dir):

@@ -88,8 +88,9 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str,
 def _record(spark: SparkSession, summary: RunSummary, path: str, as_of) -> None:
     row = asdict(summary)
     row["finished_at"] = as_of
-    spark.createDataFrame(
-        [row], "run_id string, bronze_inserted bigint, bronze_skipped bigint, "
+    from ..functions.rules import literal_table
+    literal_table(
+        spark, [row], "run_id string, bronze_inserted bigint, bronze_skipped bigint, "
                "quality_score double, silver_rows bigint, gold_rows bigint, status string, "
                "finished_at timestamp_ntz").coalesce(1).write.mode("append").parquet(path)
 

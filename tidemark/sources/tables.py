@@ -94,9 +94,10 @@ def write_version(df: DataFrame, root: str, note: str = "") -> str:
     version = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     vpath = f"{root.rstrip('/')}/v={version}"
     df.write.mode("errorifexists").parquet(vpath)
-    spark.createDataFrame([(version, vpath, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), note)],
-                          "version string, path string, written_at timestamp, note string") \
-         .coalesce(1).write.mode("append").parquet(pointer_path(root))
+    from ..functions.rules import literal_table
+    literal_table(spark, [(version, vpath, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), note)],
+                  "version string, path string, written_at timestamp_ntz, note string") \
+        .coalesce(1).write.mode("append").parquet(pointer_path(root))
     return vpath
 
 
