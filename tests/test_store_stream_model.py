@@ -129,3 +129,25 @@ def test_train_gate_save_load(spark, tmp_dir):
     scored = score(g.select(*S.SCORING_INPUT_COLS), model, FX.AS_OF)
     assert scored.where("churn_probability < 0 OR churn_probability > 1").count() == 0
     assert MO.load_model(spark, f"{tmp_dir}/none") is None
+
+
+def test_moved_key_leaves_old_partition(spark, tmp_dir):
+    from tidemark import schemas as S
+    import datetime as dt
+
+    def row(eid, ts, ing):
+        return (eid, "sub_00000001", "content_0001", "web", "play", 600, 0.5, "plus", "FR",
+                ts, "4.3.0", ing, "run-1")
+    b1 = spark.createDataFrame([row("x", dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 1, 6)),
+                                row("y", dt.datetime(2024, 1, 1, 7), dt.datetime(2024, 1, 1, 8))],
+                               S.BRONZE_SCHEMA)
+    b2 = spark.createDataFrame([row("x", dt.datetime(2024, 1, 5, 5), dt.datetime(2024, 1, 5, 6))],
+                               S.BRONZE_SCHEMA)
+    for lookback in (None, 7):
+        path = f"{tmp_dir}/silver-{lookback}"
+        TB.write_silver_incremental(spark, b1, path, dt.datetime(2024, 1, 2))
+        r = TB.write_silver_incremental(spark, b1.unionByName(b2), path, dt.datetime(2024, 1, 6),
+                                        moved_keys_lookback_days=lookback)
+        assert sorted(r["partitions"]) == [dt.date(2024, 1, 1), dt.date(2024, 1, 5)]
+        got = sorted((x.event_id, x.event_date) for x in spark.read.parquet(path).collect())
+        assert got == [("x", dt.date(2024, 1, 5)), ("y", dt.date(2024, 1, 1))]

@@ -73,7 +73,14 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str,
         r[0] for r in hist.where(F.col("status") == "failed_quality_gate").select("run_id").collect()]
     if failed:
         bronze = bronze.where(~F.col("pipeline_run_id").isin(failed))
-    TB.write_silver_incremental(spark, bronze, p["silver"], as_of)
+    # the last successful run's clock is the silver high-water mark: read it
+    # from the small run log instead of scanning silver for its maximum
+    kw = {}
+    if hist is not None and TB.read_if_exists(spark, p["silver"]) is not None:
+        last = hist.where(F.col("status") == "succeeded").agg(F.max("finished_at")).first()[0]
+        if last is not None:
+            kw["mark"] = last
+    TB.write_silver_incremental(spark, bronze, p["silver"], as_of, **kw)
     silver = spark.read.parquet(p["silver"])
     summary.silver_rows = silver.count()
 

@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rewrite only the partitions a write touches (silver upsert, S7)
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # MIN/MAX/COUNT answered from Parquet footers where possible (high-water mark)
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

@@ -44,17 +44,29 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None =
 
 # --- S7: incremental silver, partition swap ------------------------------------------------
 
+_UNSET = object()
+
+
 def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
-                             as_of=None, check_moved_keys: bool = True) -> dict:
+                             as_of=None, check_moved_keys: bool = True,
+                             moved_keys_lookback_days: int | None = None,
+                             mark=_UNSET) -> dict:
     """One incremental silver run against the table at ``path``.
 
     Reads only bronze rows newer than the table's last transform, rewrites
     only the ``event_date`` partitions those rows touch (plus the old
     partitions of keys whose date moved) and leaves the rest in place.
     Returns counters.
+
+    ``mark``: the last transform time when the caller knows it (a run log),
+    which spares the scan of the table for its maximum. ``check_moved_keys``
+    looks for earlier copies of the batch's keys in other partitions; it
+    reads the key and date columns of the table, all partitions by default,
+    or only those within ``moved_keys_lookback_days`` of the batch's days.
     """
     target = read_if_exists(spark, path)
-    mark = SV.high_water_mark(target)
+    if mark is _UNSET:
+        mark = SV.high_water_mark(target)
     updates = SV.silver(SV.new_since(bronze, mark), as_of)
     updates = cut_lineage(updates)
     n_updates = updates.count()
@@ -68,7 +80,13 @@ def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
     dates = updates.select("event_date")
     if check_moved_keys:
         # old partitions of re-delivered keys: key column + partition column only
-        moved = (target.select("event_id", "event_date").join(keys, "event_id")
+        scope = target.select("event_id", "event_date")
+        if moved_keys_lookback_days is not None:
+            lo, hi = updates.agg(F.min("event_date"), F.max("event_date")).first()
+            scope = scope.where(F.col("event_date").between(
+                lo - _dt.timedelta(days=moved_keys_lookback_days),
+                hi + _dt.timedelta(days=moved_keys_lookback_days)))
+        moved = (scope.join(keys, "event_id")
                  .where(F.col("event_date") != F.col("_new_date")).select("event_date"))
         dates = dates.unionByName(moved)
     # one value per day: a small, bounded list; as literals they prune partitions
