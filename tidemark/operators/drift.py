@@ -91,8 +91,11 @@ def _report(features: DataFrame, prediction: DataFrame, by: list[str], as_of) ->
         F.array_sort(F.collect_list(F.when(F.col("drifted"), F.struct("position", "feature"))))
          .alias("_d"))
     p = prediction.select(*by, F.col("drifted").alias("prediction_drifted"))
-    j = flags.join(p, by, "full_outer") if by else \
-        flags.withColumn("_k", F.lit(1)).join(p.withColumn("_k", F.lit(1)), "_k")
+    if by:
+        j = flags.join(p, by, "full_outer")
+    else:
+        # both sides are one-row aggregates: a scalar subquery, not a join
+        j = flags.withColumn("prediction_drifted", p.select("prediction_drifted").scalar())
     names = F.transform(F.coalesce(F.col("_d"), F.array()), lambda s: s["feature"])
     any_f = F.coalesce(F.col("any_feature_drift"), F.lit(False))
     pred = F.coalesce(F.col("prediction_drifted"), F.lit(False))

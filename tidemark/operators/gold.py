@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import schemas as S
 from ..functions import rules as R
 
 GRAIN = ["subscriber_id", "plan_type", "country"]

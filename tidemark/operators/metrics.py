@@ -7,7 +7,6 @@ distributed running totals, never by ranking all rows in one task.
 
 from __future__ import annotations
 
-import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,8 +111,8 @@ def evaluation_record(df: DataFrame, label: str = "label", prob: str = "probabil
     """One metrics row (M6): AUC, F1, precision, recall, sizes, version, time."""
     cm = confusion_metrics(df, label, prob)
     a = auc(df, label, prob)
-    # both sides are one-row aggregates; zip them by a constant key
-    return (cm.withColumn("_k", F.lit(1)).join(a.withColumn("_k", F.lit(1)), "_k")
+    # the AUC is a one-row aggregate: a scalar subquery, not a join
+    return (cm.withColumn("auc_roc", a.select("auc_roc").scalar())
               .select(R.round_half_up("auc_roc", 4).alias("auc_roc"), "f1_score", "precision",
                       "recall",
                       F.lit(train_size).cast(T.LongType()).alias("train_size"),

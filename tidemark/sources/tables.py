@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import schemas as S
 from ..operators import silver as SV
 from ..session import cut_lineage
 
