@@ -117,6 +117,7 @@ class TrainResult:
     metrics: DataFrame
     importance: DataFrame
     test_predictions: DataFrame
+    split: DataFrame
     losses: list = field(default_factory=list)
 
 
@@ -155,7 +156,7 @@ def train(frame: DataFrame, params: dict | None = None, label: str = "churned_30
     metrics = ME.evaluation_record(preds, train_size=train_size,
                                    model_version=model_version, trained_at=trained_at)
     return TrainResult(model, n, p, metrics, feature_importance(frame.sparkSession, model),
-                       preds, losses)
+                       preds, split, losses)
 
 
 # --- M7 / S14 / L1-L3 ------------------------------------------------------------------------------
@@ -230,8 +231,8 @@ def retrain(frame: DataFrame, root: str, params: dict | None = None, force: bool
     """Load -> features -> train -> gate -> save (previous kept) -> log."""
     spark = frame.sparkSession
     res = train(frame, params)
-    gate = ME.release_gate(res.metrics.select("auc_roc"), threshold, force).first()
     m = res.metrics.first().asDict()
+    gate = ME.release_gate(res.metrics.select("auc_roc"), threshold, force).first()
     run_name = "retrain-" + _now().strftime("%Y%m%d-%H%M")
     if gate["passed"] or force:
         path = save_model(res.model, root, res.metrics, res.importance)
@@ -239,5 +240,6 @@ def retrain(frame: DataFrame, root: str, params: dict | None = None, force: bool
     else:
         path, status = None, "blocked"
     log_run(spark, root, run_name, res.params, m, path, status)
+    res.split.unpersist()
     return {"status": status, "model_path": path, "n_trees": res.n_trees, **m,
             "params": json.dumps(res.params)}

@@ -58,12 +58,15 @@ def _trigger(writer, trigger: str | None):
 
 # --- bronze ---------------------------------------------------------------------------------
 
-def _bronze_batch_writer(sink: str, run_id: str):
+def _bronze_batch_writer(sink: str, run_id: str, horizon_batches: int | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stored = TB.read_if_exists(spark, sink)
         # the batch's own earlier attempt is not "stored": replays stay exact
         existing = stored.where(F.col(BATCH_COL) != batch_id) if stored is not None else None
+        if existing is not None and horizon_batches is not None:
+            # batch ids are partition values: older batches are pruned, not read
+            existing = existing.where(F.col(BATCH_COL) >= batch_id - horizon_batches)
         rows = IN.ingest_to_bronze(batch, existing, run_id=run_id, stamp_ingested_at=False,
                                    count=False).rows
         (rows.withColumn(BATCH_COL, F.lit(batch_id).cast(T.LongType()))
@@ -74,7 +77,8 @@ def _bronze_batch_writer(sink: str, run_id: str):
 
 def start_bronze_stream(events: DataFrame, sink: str, checkpoint: str, run_id: str = "stream",
                         dedup_delay: str | None = "2 hours",
-                        trigger: str | None = None) -> StreamingQuery:
+                        trigger: str | None = None,
+                        horizon_batches: int | None = None) -> StreamingQuery:
     """Idempotent bronze ingest from an event stream.
 
     The watermark is on ``ingested_at`` (arrival time, never NULL): copies
@@ -83,6 +87,11 @@ def start_bronze_stream(events: DataFrame, sink: str, checkpoint: str, run_id: s
     ``ingested_at`` is already older than the watermark count as late and
     are dropped by Spark; when replaying historical files out of order pass
     ``dedup_delay=None`` to rely on the anti-join alone.
+
+    The anti-join reads the key column of every stored batch (exact for
+    ever); ``horizon_batches`` limits it to the last N batches, which bounds
+    the cost per micro-batch for sources whose re-deliveries are known to
+    arrive within that horizon.
     """
     deduped = events
     if dedup_delay:
@@ -91,7 +100,7 @@ def start_bronze_stream(events: DataFrame, sink: str, checkpoint: str, run_id: s
                          .withWatermark("_arrival", dedup_delay)
                          .dropDuplicatesWithinWatermark(["event_id"])
                          .drop("_arrival"))
-    w = (deduped.writeStream.foreachBatch(_bronze_batch_writer(sink, run_id))
+    w = (deduped.writeStream.foreachBatch(_bronze_batch_writer(sink, run_id, horizon_batches))
                 .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
