@@ -114,20 +114,64 @@ def completion_trend(silver: DataFrame, as_of=None) -> DataFrame:
 def gold_snapshots(silver: DataFrame, first_day, last_day, days: int = 30) -> DataFrame:
     """Gold as it would have been computed at midnight of every day in
     [first_day, last_day]: each snapshot sees the events before its clock
-    and within its 30-day window. Every event is copied once to each
-    snapshot it belongs to (at most ``days`` copies, fewer for short series)
-    and all snapshots come out of one aggregation keyed by the snapshot day.
+    and within its ``days``-day window.
+
+    Events are first reduced to one partial row per (grain, day) - and per
+    (grain, day, device) and (grain, day, content) for the mode and the
+    distinct count - and only those partials are copied to the snapshot days
+    they belong to (at most ``days`` copies each). The three results share
+    the (snapshot, grain) key and are joined on it.
     """
     lo = F.to_date(F.lit(str(first_day)))
     hi = F.to_date(F.lit(str(last_day)))
-    start = F.greatest(F.date_add("event_date", 1), lo)
-    stop = F.least(F.date_add("event_date", days), hi)
-    exploded = (silver.where(start <= stop)
-                .select("*", F.explode(F.sequence(start, stop)).alias("snapshot_date"))
-                .withColumn("snapshot_at", F.col("snapshot_date").cast(T.TimestampNTZType())))
-    as_of = F.col("snapshot_at")
-    act = exploded.groupBy("snapshot_date", "snapshot_at", *GRAIN).agg(*_activity_aggs(as_of))
-    return project_gold_by(with_labels(act, as_of), ["snapshot_date"])
+    # only days that reach some snapshot; literals, so partitions are pruned
+    src = silver.where((F.col("event_date") >= F.date_sub(lo, days))
+                       & (F.col("event_date") < hi))
+
+    def to_snapshots(df: DataFrame) -> DataFrame:
+        start = F.greatest(F.date_add("event_date", 1), lo)
+        stop = F.least(F.date_add("event_date", days), hi)
+        return (df.where(start <= stop)
+                  .select("*", F.explode(F.sequence(start, stop)).alias("snapshot_date")))
+
+    keys = ["snapshot_date", *GRAIN]
+    daily = src.groupBy(*GRAIN, "event_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("watch_duration_s").alias("watch"),
+        F.sum("completion_pct").alias("c_sum"), F.count("completion_pct").alias("c_n"),
+        F.sum("engagement_score").alias("e_sum"), F.count("engagement_score").alias("e_n"),
+        F.max("event_timestamp").alias("last_ts"),
+        F.count_if(F.col("watch_category") == "completed").alias("n_completed"),
+        F.count_if(F.col("watch_category") == "abandoned").alias("n_abandoned"))
+    recent7 = F.col("event_date") >= F.date_sub("snapshot_date", 7)
+    main = to_snapshots(daily).groupBy(*keys).agg(
+        F.sum("n").alias("total_sessions_30d"),
+        F.count(F.lit(1)).alias("active_days_30d"),
+        (F.sum("watch").cast(T.DoubleType()) / F.lit(3600.0)).alias("total_watch_time_h"),
+        (F.sum("c_sum") / F.sum("c_n")).alias("avg_completion_rate"),
+        (F.sum("e_sum") / F.sum("e_n")).alias("avg_engagement_score"),
+        F.max("last_ts").alias("last_watch_at"),
+        (F.sum("n_completed") / F.sum("n")).alias("completion_rate"),
+        (F.sum("n_abandoned") / F.sum("n")).alias("abandonment_rate"),
+        F.coalesce(F.sum(F.when(recent7, F.col("n"))), F.lit(0)).alias("sessions_last_7d"))
+
+    dev = src.groupBy(*GRAIN, "event_date", "device_type").agg(F.count(F.lit(1)).alias("n"))
+    dev = to_snapshots(dev).groupBy(*keys, "device_type").agg(F.sum("n").alias("n"))
+    # most sessions; ties go to the smallest device name
+    fav = dev.groupBy(*keys).agg(
+        F.min_by("device_type", F.struct((-F.col("n")).alias("neg_n"), "device_type"))
+         .alias("favourite_device"))
+
+    content = src.select(*GRAIN, "event_date", "content_id").distinct()
+    content = to_snapshots(content).groupBy(*keys).agg(
+        F.count_distinct("content_id").alias("unique_content_count"))
+
+    snap_at = F.col("snapshot_date").cast(T.TimestampNTZType())
+    act = (main.join(fav, keys).join(content, keys)
+               .withColumn("snapshot_at", snap_at)
+               .withColumn("days_since_last_watch",
+                           R.whole_days_between(snap_at, F.col("last_watch_at"))))
+    return project_gold_by(with_labels(act, F.col("snapshot_at")), ["snapshot_date"])
 
 
 def project_gold_by(labelled: DataFrame, keys: list[str]) -> DataFrame:
