@@ -134,3 +134,40 @@ def test_day_of_week_sunday_zero(spark):
 def test_round_half_up(spark):
     got = one(spark, [(1.005,), (-1.005,), (2.5,)], "x double", R.round_half_up("x", 2))
     assert got == [1.01, -1.01, 2.5]
+
+
+def test_invalid_scoring_rows(spark):
+    """One row per broken range, plus unknown plan, country and device."""
+    from tidemark.operators.scoring import validate_input
+    good = ["s", 8, 12.5, 0.72, 65.0, 3, 3, 7, "plus", "FR", "smart_tv"]
+    cols = S.SCORING_INPUT_COLS
+    broken = {
+        "sessions_high": ("total_sessions_30d", 501, "total_sessions_30d:above_500"),
+        "sessions_neg": ("total_sessions_30d", -1, "total_sessions_30d:below_0"),
+        "watch_neg": ("total_watch_time_h", -0.5, "total_watch_time_h:below_0"),
+        "completion_high": ("avg_completion_rate", 1.5, "avg_completion_rate:above_1"),
+        "engagement_high": ("avg_engagement_score", 101.0, "avg_engagement_score:above_100"),
+        "days_high": ("days_since_last_watch", 31, "days_since_last_watch:above_30"),
+        "seven_high": ("sessions_last_7d", 101, "sessions_last_7d:above_100"),
+        "content_neg": ("unique_content_count", -2, "unique_content_count:below_0"),
+        "plan_bad": ("plan_type", "gold", "plan_type:unknown"),
+        "country_bad": ("country", "US", "country:unknown"),
+        "device_unknown": ("favourite_device", "console", None),
+        "missing": ("days_since_last_watch", None, "days_since_last_watch:missing"),
+    }
+    rows = [tuple(["ok"] + good[1:])]
+    for name, (c, v, _) in broken.items():
+        r = list(good)
+        r[0] = name
+        r[cols.index(c)] = v
+        rows.append(tuple(r))
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {t}" for n, t in zip(
+        cols, ["string", "int", "double", "double", "double", "int", "int", "int",
+               "string", "string", "string"])))
+    out = {r.subscriber_id: r for r in validate_input(df).collect()}
+    assert out["ok"].is_valid and out["ok"].reasons == []
+    for name, (_, _, reason) in broken.items():
+        if reason is None:                       # device is not checked, as in the reference
+            assert out[name].is_valid
+        else:
+            assert out[name].reasons == [reason] and not out[name].is_valid

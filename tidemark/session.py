@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # MIN/MAX/COUNT answered from Parquet footers where possible (high-water mark)
     "spark.sql.parquet.aggregatePushdown": "true",
+    # lineage cuts are reliable checkpoints; drop their files once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
