@@ -41,17 +41,24 @@ def class_share(df: DataFrame, label: str = "churned_30d") -> DataFrame:
 def histogram(df: DataFrame, value: str = "total_sessions_30d", label: str = "churned_30d",
               bins: int = 30) -> DataFrame:
     """Counts per (class, bin) over ``bins`` equal-width bins of one shared
-    [min, max] range (A13). The top edge falls in the last bin. Bounds come
-    from scalar subqueries, so the plan stays on the executors."""
+    [min, max] range (A13). The top edge falls in the last bin.
+
+    One pass: rows are first counted per (class, value); the range comes
+    from that table, which has one row per distinct value of a class (a
+    bounded domain), so the global min/max over it is cheap.
+    """
     x = F.col(value).cast(T.LongType())
-    valid = df.where(F.col(value).isNotNull())
-    lo = valid.select(F.min(x)).scalar()
-    hi = valid.select(F.max(x)).scalar()
+    counts = (df.where(F.col(value).isNotNull())
+                .groupBy(_class_name(label).alias("churn_status"), x.alias("_x"))
+                .agg(F.count(F.lit(1)).alias("_n")))
+    everything = Window.partitionBy()
+    lo, hi = F.min("_x").over(everything), F.max("_x").over(everything)
     span = hi - lo
-    step = F.floor((x - lo).cast(T.DoubleType()) * F.lit(float(bins)) / span.cast(T.DoubleType()))
+    step = F.floor((F.col("_x") - lo).cast(T.DoubleType()) * F.lit(float(bins))
+                   / span.cast(T.DoubleType()))
     b = F.when(span > 0, F.least(step + 1, F.lit(bins))).otherwise(F.lit(1))
-    return valid.groupBy(_class_name(label).alias("churn_status"),
-                         b.cast(T.LongType()).alias("bin")).agg(F.count(F.lit(1)).alias("subscribers"))
+    return (counts.select("churn_status", b.cast(T.LongType()).alias("bin"), "_n")
+                  .groupBy("churn_status", "bin").agg(F.sum("_n").alias("subscribers")))
 
 
 def top_k(df: DataFrame, value: str, k: int, ascending_display: bool = False,

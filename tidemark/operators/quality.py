@@ -2,8 +2,8 @@
 
 The bronze report computes all its counters in **one** aggregation pass
 (the reference ran five scans). Declarative column tests are grouped per
-table: every not-null / accepted-values / accepted-range test of a table is
-one ``count_if`` in a single pass; each ``unique`` test is one group-by.
+table: the row tests (not-null, accepted values, accepted range) and the
+first ``unique`` test of a table share one grouped pass.
 """
 
 from __future__ import annotations
@@ -144,25 +144,31 @@ def run_column_tests(df: DataFrame, spec: TableTests) -> DataFrame:
     """Rows (table_name, column_name, test_name, failures, status).
 
     ``failures`` counts failing rows; for ``unique`` it counts values that
-    occur more than once, as the dbt test does.
+    occur more than once, as the dbt test does. The first ``unique`` test and
+    all row tests share one pass: rows are grouped by the unique column with
+    per-group failure counts (partial aggregation), then summed; any further
+    ``unique`` test is one more group-by.
     """
-    spark = df.sparkSession
     simple = [t for t in spec.tests if t.test != "unique"]
-    parts = []
-    if simple:
-        row = df.agg(*[F.count_if(_failing(t)).alias(f"t{i}") for i, t in enumerate(simple)])
-        stack = ", ".join(f"'{t.column}', '{t.test}', t{i}" for i, t in enumerate(simple))
-        parts.append(row.selectExpr(
-            f"stack({len(simple)}, {stack}) AS (column_name, test_name, failures)"))
-    for t in spec.tests:
-        if t.test == "unique":
-            dup = (df.where(F.col(t.column).isNotNull()).groupBy(t.column).count()
-                     .agg(F.count_if(F.col("count") > 1).alias("failures")))
-            parts.append(dup.select(F.lit(t.column).alias("column_name"),
-                                    F.lit("unique").alias("test_name"), "failures"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    uniques = [t for t in spec.tests if t.test == "unique"]
+    fails = [F.count_if(_failing(t)).alias(f"t{i}") for i, t in enumerate(simple)]
+    names = [(t.column, t.test) for t in simple]
+    if uniques:
+        u = uniques[0].column
+        per_value = df.groupBy(u).agg(F.count(F.lit(1)).alias("_c"), *fails)
+        row = per_value.agg(
+            *[F.coalesce(F.sum(f"t{i}"), F.lit(0)).alias(f"t{i}") for i in range(len(simple))],
+            F.count_if(F.col(u).isNotNull() & (F.col("_c") > 1)).alias(f"t{len(simple)}"))
+        names.append((u, "unique"))
+    else:
+        row = df.agg(*fails)
+    stack = ", ".join(f"'{c}', '{t}', t{i}" for i, (c, t) in enumerate(names))
+    out = row.selectExpr(f"stack({len(names)}, {stack}) AS (column_name, test_name, failures)")
+    for t in uniques[1:]:
+        dup = (df.where(F.col(t.column).isNotNull()).groupBy(t.column).count()
+                 .agg(F.count_if(F.col("count") > 1).alias("failures")))
+        out = out.unionByName(dup.select(F.lit(t.column).alias("column_name"),
+                                         F.lit("unique").alias("test_name"), "failures"))
     return out.select(
         F.lit(spec.table).alias("table_name"), "column_name", "test_name",
         F.col("failures").cast(T.LongType()).alias("failures"),

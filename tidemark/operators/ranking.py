@@ -5,6 +5,11 @@ rows are range-partitioned on the order key instead; each range gets a local
 running sum, and the totals of the ranges before it (one row per range, a
 bounded table) are added through a broadcast join. Equal keys always land in
 the same range, so ties never straddle two ranges.
+
+The range id comes from the physical partition, so the range-partitioned
+rows are materialised once with a reliable ``checkpoint()`` before the two
+branches (local sums, range totals) read them: both then see the same ids,
+whatever AQE does to either branch, and the input is computed only once.
 """
 
 from __future__ import annotations
@@ -12,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def running_totals(df: DataFrame, order_col: str, value_cols: list[str],
                    descending: bool = False, ranges: int | None = None,
@@ -24,7 +31,7 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str],
     spark = df.sparkSession
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    ranged = df.repartitionByRange(n, key).withColumn("_rng", F.spark_partition_id())
+    ranged = cut_lineage(df.repartitionByRange(n, key).withColumn("_rng", F.spark_partition_id()))
 
     local_w = Window.partitionBy("_rng").orderBy(key).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
