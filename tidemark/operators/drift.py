@@ -96,6 +96,10 @@ def _report(features: DataFrame, prediction: DataFrame, by: list[str], as_of) ->
     else:
         # both sides are one-row aggregates: a scalar subquery, not a join
         j = flags.withColumn("prediction_drifted", p.select("prediction_drifted").scalar())
+    return _finish_report(j, by, as_of)
+
+
+def _finish_report(j: DataFrame, by: list[str], as_of) -> DataFrame:
     names = F.transform(F.coalesce(F.col("_d"), F.array()), lambda s: s["feature"])
     any_f = F.coalesce(F.col("any_feature_drift"), F.lit(False))
     pred = F.coalesce(F.col("prediction_drifted"), F.lit(False))
@@ -120,10 +124,37 @@ def drift_report(features_df: DataFrame, preds: DataFrame, as_of=None,
 
 
 def drift_timeline(scored: DataFrame, day: str = "snapshot_date", as_of=None,
-                   prob: str = "churn_probability") -> DataFrame:
-    """One report per day over a scored snapshot table (M14 over a period)."""
-    return _report(feature_drift(scored, by=[day]), prediction_drift(scored, prob, by=[day]),
-                   [day], as_of)
+                   prob: str = "churn_probability", stats: dict | None = None,
+                   threshold: float = S.DRIFT_THRESHOLD,
+                   baseline_rate: float = S.BASELINE_CHURN_RATE) -> DataFrame:
+    """One report per day over a scored snapshot table (M14 over a period).
+
+    One linear plan: a single aggregation per day gives the feature means and
+    the predicted churn rate; the rate is checked by the same relative rule
+    as a feature (baseline 0.25), so it joins the unpivoted means as one more
+    row against the broadcast baseline, and one more grouping per day turns
+    the flags into the report.
+    """
+    feats = monitored(scored, stats)
+    daily = scored.groupBy(day).agg(
+        *[F.avg(R.nan_to_null(f)).alias(f"m{i}") for i, f in enumerate(feats)],
+        positive_rate(prob).alias("m_pred"))
+    stack = ", ".join([f"'{f}', m{i}" for i, f in enumerate(feats)] + ["'prediction', m_pred"])
+    long = daily.selectExpr(day, f"stack({len(feats) + 1}, {stack}) AS (feature, current_mean)")
+    spark = scored.sparkSession
+    base = baseline_table(spark, stats).select("feature", "position", "baseline_mean").unionByName(
+        R.literal_table(spark, [("prediction", len(feats), float(baseline_rate))],
+                        "feature string, position int, baseline_mean double"))
+    dev = R.relative_deviation(F.col("current_mean"), F.col("baseline_mean"))
+    flagged = (long.join(F.broadcast(base), "feature")
+                   .withColumn("drifted", R.is_drifted(dev, threshold)))
+    is_pred = F.col("feature") == "prediction"
+    per_day = flagged.groupBy(day).agg(
+        F.bool_or(F.col("drifted") & ~is_pred).alias("any_feature_drift"),
+        F.bool_or(F.col("drifted") & is_pred).alias("prediction_drifted"),
+        F.array_sort(F.collect_list(F.when(F.col("drifted") & ~is_pred,
+                                           F.struct("position", "feature")))).alias("_d"))
+    return _finish_report(per_day, [day], as_of)
 
 
 def alert_days(timeline: DataFrame) -> DataFrame:
