@@ -171,3 +171,23 @@ def test_invalid_scoring_rows(spark):
             assert out[name].is_valid
         else:
             assert out[name].reasons == [reason] and not out[name].is_valid
+
+
+def test_feature_list_and_codes():
+    assert len(S.FEATURE_COLS) == 15 and len(set(S.FEATURE_COLS)) == 15
+    assert len(set(S.PLAN_ENC.values())) == 3
+    assert len(set(S.COUNTRY_ENC.values())) == 4 and "FR" in S.COUNTRY_ENC
+
+
+def test_profiles_with_the_serving_heuristic(spark):
+    """Inactive subscriber -> HIGH. (The reference's profile tests use a
+    scorer of their own with base 0.3; the shipped fallback starts at 0.5, so
+    an active subscriber lands in MEDIUM, never LOW.)"""
+    from tidemark.operators.scoring import heuristic_probability
+    rows = [(25, 1, 0.1, "plus"), (1, 25, 0.85, "plus")]
+    df = spark.createDataFrame(rows, "days_since_last_watch int, total_sessions_30d int, "
+                                     "avg_completion_rate double, plan_type string")
+    p = [r[0] for r in df.select(heuristic_probability()).collect()]
+    assert p[0] == 0.98 and p[1] == 0.5
+    bands = [r[0] for r in df.select(R.risk_band(heuristic_probability())).collect()]
+    assert bands == ["HIGH", "MEDIUM"]
