@@ -52,3 +52,12 @@ def test_high_water_filter_reaches_scan(spark, tmp_dir):
 def test_gold_aggregates_partially(spark):
     p = plan_of(G.gold(SV.silver(FX.bronze(spark, SF), FX.AS_OF), FX.AS_OF))
     assert "partial_count" in p and "partial_mode" in p
+
+
+def test_high_water_prunes_ingest_days(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    path = f"{tmp_dir}/bronze_by_day"
+    (FX.bronze(spark, SF).withColumn("ingest_date", F.to_date("ingested_at"))
+        .write.partitionBy("ingest_date").parquet(path))
+    p = plan_of(SV.new_since(spark.read.parquet(path), FX.BATCH_CUT))
+    assert "PartitionFilters: [isnotnull(ingest_date" in p and "2024-01-25" in p

@@ -111,10 +111,15 @@ def high_water_mark(target: DataFrame | None, col: str = "transformed_at"):
 
 
 def new_since(bronze: DataFrame, mark) -> DataFrame:
-    """Bronze rows ingested strictly after ``mark`` (a literal, so it prunes)."""
+    """Bronze rows ingested strictly after ``mark`` (a literal, so it is
+    pushed to the scan). When bronze is partitioned by ``ingest_date``, the
+    implied day bound prunes whole partitions as well."""
     if mark is None:
         return bronze
-    return bronze.where(F.col("ingested_at") > R.as_of_literal(mark))
+    out = bronze.where(F.col("ingested_at") > R.as_of_literal(mark))
+    if "ingest_date" in bronze.columns:
+        out = out.where(F.col("ingest_date") >= R.as_of_date(mark))
+    return out
 
 
 def merge_by_key(target: DataFrame, updates: DataFrame, key: str = "event_id") -> DataFrame:

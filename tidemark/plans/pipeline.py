@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions import rules as R
 from ..operators import gold as G
 from ..operators import ingest as IN
 from ..operators import quality as QU
@@ -50,13 +51,17 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str,
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     summary = RunSummary(run_id)
 
-    existing = TB.read_if_exists(spark, p["bronze"], S.BRONZE_SCHEMA)
+    existing = TB.read_if_exists(spark, p["bronze"])
     res = IN.ingest_to_bronze(batch, existing, run_id, as_of)
-    IN.append(res.rows, p["bronze"])
+    # bronze is partitioned by ingest day: later runs prune old days
+    IN.append(res.rows.withColumn("ingest_date", F.to_date("ingested_at")), p["bronze"],
+              partition_by=["ingest_date"])
     summary.bronze_inserted, summary.bronze_skipped = res.inserted, res.skipped
 
-    bronze = spark.read.schema(S.BRONZE_SCHEMA).parquet(p["bronze"])
-    scope = bronze.where(F.col("pipeline_run_id") == run_id) if gate_on == "batch" else bronze
+    bronze = spark.read.parquet(p["bronze"])
+    scope = (bronze.where((F.col("pipeline_run_id") == run_id)
+                          & (F.col("ingest_date") == F.to_date(R.as_of_literal(as_of))))
+             if gate_on == "batch" else bronze)
     report = QU.quality_report(scope, as_of, threshold).first()
     summary.quality_score = report["quality_score"]
     if report["total_rows"] and not report["passed"]:
