@@ -18,6 +18,8 @@ which must be on shared storage.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,35 +113,48 @@ class QualityGateStop(RuntimeError):
     pass
 
 
-def _silver_batch_writer(sink: str, quarantine: str, as_of, gate: bool, threshold: float):
+def _silver_batch_writer(sink: str, quarantine: str, as_of, gate: bool, threshold: float,
+                         lookback_days: int | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = cut_lineage(batch.drop(BATCH_COL) if BATCH_COL in batch.columns else batch)
-        if gate:
-            report = QU.quality_report(batch, as_of, threshold).first()
-            if report["total_rows"] and not report["passed"]:
-                (batch.withColumn(BATCH_COL, F.lit(batch_id).cast(T.LongType()))
-                      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                      .partitionBy(BATCH_COL).parquet(quarantine))
-                raise QualityGateStop(
-                    f"batch {batch_id}: quality score {report['quality_score']}% below {threshold}%")
-        updates = SV.silver(batch, as_of)
-        upsert_latest(spark, updates, sink)
+        # read twice (gate, then silver); a lost executor recomputes from the files
+        batch = (batch.drop(BATCH_COL) if BATCH_COL in batch.columns else batch).persist()
+        try:
+            if gate:
+                report = QU.quality_report(batch, as_of, threshold).first()
+                if report["total_rows"] and not report["passed"]:
+                    (batch.withColumn(BATCH_COL, F.lit(batch_id).cast(T.LongType()))
+                          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                          .partitionBy(BATCH_COL).parquet(quarantine))
+                    raise QualityGateStop(
+                        f"batch {batch_id}: quality score {report['quality_score']}% "
+                        f"below {threshold}%")
+            upsert_latest(spark, SV.silver(batch, as_of), sink, lookback_days)
+        finally:
+            batch.unpersist()
     return write
 
 
-def upsert_latest(spark: SparkSession, updates: DataFrame, path: str) -> None:
+def upsert_latest(spark: SparkSession, updates: DataFrame, path: str,
+                  lookback_days: int | None = None) -> None:
     """Merge ``updates`` into the event_date-partitioned table at ``path``:
     per ``event_id`` the latest ingested row wins, whichever side it is on,
-    so replays and out-of-order batches converge to the same table."""
+    so replays and out-of-order batches converge to the same table.
+
+    Earlier copies of the batch's keys are looked for in all partitions
+    (exact), or only within ``lookback_days`` of the batch's days."""
     updates = cut_lineage(updates)
     target = TB.read_if_exists(spark, path)
     if target is None:
         updates.write.mode("overwrite").partitionBy("event_date").parquet(path)
         return
     keys = updates.select("event_id", F.col("event_date").alias("_nd"))
-    moved = (target.select("event_id", "event_date").join(keys, "event_id")
-                   .select("event_date"))
+    scope = target.select("event_id", "event_date")
+    if lookback_days is not None:
+        lo, hi = updates.agg(F.min("event_date"), F.max("event_date")).first()
+        scope = scope.where(F.col("event_date").between(
+            lo - _dt.timedelta(days=lookback_days), hi + _dt.timedelta(days=lookback_days)))
+    moved = scope.join(keys, "event_id").select("event_date")
     # one value per touched day: a small list, used as literals to prune
     touched = [r[0] for r in updates.select("event_date").unionByName(moved).distinct().collect()]
     affected = target.where(F.col("event_date").isin(touched))
@@ -152,11 +167,13 @@ def upsert_latest(spark: SparkSession, updates: DataFrame, path: str) -> None:
 def start_silver_stream(spark: SparkSession, bronze_path: str, sink: str, quarantine: str,
                         checkpoint: str, as_of=None, gate: bool = True,
                         threshold: float = S.QUALITY_THRESHOLD, trigger: str | None = None,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None,
+                        moved_keys_lookback_days: int | None = None) -> StreamingQuery:
     """Gated, upserting silver stream over the bronze table (T4, T5)."""
     schema = T.StructType(S.BRONZE_SCHEMA.fields + [T.StructField(BATCH_COL, T.LongType())])
     src = read_events_stream(spark, bronze_path, schema, max_files_per_trigger=max_files_per_trigger)
-    w = (src.writeStream.foreachBatch(_silver_batch_writer(sink, quarantine, as_of, gate, threshold))
+    writer = _silver_batch_writer(sink, quarantine, as_of, gate, threshold, moved_keys_lookback_days)
+    w = (src.writeStream.foreachBatch(writer)
             .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
