@@ -151,3 +151,17 @@ def test_moved_key_leaves_old_partition(spark, tmp_dir):
         assert sorted(r["partitions"]) == [dt.date(2024, 1, 1), dt.date(2024, 1, 5)]
         got = sorted((x.event_id, x.event_date) for x in spark.read.parquet(path).collect())
         assert got == [("x", dt.date(2024, 1, 5)), ("y", dt.date(2024, 1, 1))]
+
+
+def test_auc_equals_spark_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from tidemark.operators import metrics as ME
+    from tidemark.operators.scoring import heuristic_probability
+    g = G.gold(SV.silver(FX.bronze(spark, "/root/testdata/sf0.01"), FX.AS_OF), FX.AS_OF)
+    t = FE.training_frame(g)
+    lab = t.select(F.col("churned_30d").cast("double").alias("label"),
+                   heuristic_probability().alias("probability"))
+    ours = ME.auc(lab).first()["auc_roc"]
+    ev = BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol="label",
+                                       metricName="areaUnderROC", numBins=0)
+    assert abs(ours - ev.evaluate(lab)) < 1e-6
