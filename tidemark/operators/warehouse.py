@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from ..functions import rules as R
 from . import gold as G
 
-# Dimensions at most this many rows may be broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
+# Dimensions at most this many rows may be broadcast: narrow dimension rows
+# (an id and a few attributes) keep a broadcast of this size in the tens of MB.
+BROADCAST_MAX_ROWS = 200_000
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
