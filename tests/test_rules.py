@@ -191,3 +191,20 @@ def test_profiles_with_the_serving_heuristic(spark):
     assert p[0] == 0.98 and p[1] == 0.5
     bands = [r[0] for r in df.select(R.risk_band(heuristic_probability())).collect()]
     assert bands == ["HIGH", "MEDIUM"]
+
+
+def test_batch_cap_and_top_k(spark):
+    from tidemark.operators.analysis import top_k
+    from tidemark.operators.scoring import check_batch_size
+    df = spark.range(1001).withColumnRenamed("id", "v")
+    check_batch_size(df.limit(1000))
+    with pytest.raises(ValueError):
+        check_batch_size(df)
+    check_batch_size(df, max_rows=None)
+    imp = spark.createDataFrame([(f"f{i}", float(i % 7)) for i in range(15)],
+                                "feature string, importance double")
+    top = [r.feature for r in top_k(imp, "importance", 5, tie="feature").collect()]
+    assert top == ["f13", "f6", "f12", "f5", "f11"]
+    shown = [r.feature for r in top_k(imp, "importance", 5, ascending_display=True,
+                                      tie="feature").collect()]
+    assert shown == list(reversed(top))

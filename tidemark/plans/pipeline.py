@@ -8,6 +8,7 @@ driver; every table operation is a distributed set write.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ def paths(root: str) -> dict:
             "runs": f"{r}/pipeline_runs", "quarantine": f"{r}/quarantine"}
 
 
-def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str,
+def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str | None = None,
                  as_of=None, threshold: float = S.QUALITY_THRESHOLD,
                  gate_on: str = "batch") -> RunSummary:
     """Ingest ``batch`` into bronze, gate, update silver and refresh gold.
@@ -48,6 +49,7 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str,
     failing gate quarantines the batch, records the run and raises.
     """
     p = paths(root)
+    run_id = run_id or str(uuid.uuid4())          # one id per run (F31)
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     summary = RunSummary(run_id)
 
