@@ -61,3 +61,17 @@ def test_high_water_prunes_ingest_days(spark, tmp_dir):
         .write.partitionBy("ingest_date").parquet(path))
     p = plan_of(SV.new_since(spark.read.parquet(path), FX.BATCH_CUT))
     assert "PartitionFilters: [isnotnull(ingest_date" in p and "2024-01-25" in p
+
+
+def test_key_lookup_keeps_the_store_in_place(spark, tmp_dir):
+    """Insert-if-absent: the batch's keys are broadcast and the stored key
+    column is semi-joined where it is read (no shuffle of the store)."""
+    from tidemark.operators.joins import absent_from
+    path = f"{tmp_dir}/store"
+    FX.bronze(spark, SF).write.parquet(path)
+    stored = spark.read.parquet(path)
+    _, batch = FX.bronze_batches(spark, SF)
+    p = plan_of(absent_from(batch, stored, "event_id"))
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+    semi = [line for line in p.splitlines() if "LeftSemi" in line][0]
+    assert "BroadcastHashJoin" in semi

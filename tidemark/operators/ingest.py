@@ -3,7 +3,7 @@
 Insert-if-absent on ``event_id``: the incoming batch is de-duplicated among
 itself (first arrival wins), anti-joined with the keys already stored, then
 stamped with the run id and ingest time. Only the key column of the target
-is read for the anti-join.
+is read, filtered by the batch's broadcast keys; the target never shuffles.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import rules as R
+from .joins import absent_from
 
 
 @dataclass
@@ -55,14 +56,13 @@ def absent_keys(batch: DataFrame, existing_keys: DataFrame | None,
                 key: str = "event_id") -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet (J1, ``left_anti``).
 
-    Only the key column of the store is scanned. Both sides shuffle on the
-    key (sort-merge or shuffled hash anti-join); AQE switches to a broadcast
-    only when the stored keys turn out small at run time.
-    """
+    Only the key column of the store is scanned. The batch's keys are
+    broadcast after a size check and the stored keys are semi-joined against
+    them where they are read, so the store is never shuffled
+    (``joins.absent_from``)."""
     if existing_keys is None:
         return batch
-    keys = existing_keys.select(key).where(F.col(key).isNotNull())
-    return batch.join(keys, on=key, how="left_anti")
+    return absent_from(batch, existing_keys, key)
 
 
 def ingest_to_bronze(batch: DataFrame, existing: DataFrame | None, run_id: str,

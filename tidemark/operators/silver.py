@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
+from .joins import maybe_broadcast
 
 
 # --- P1 / P2 ---------------------------------------------------------------------
@@ -123,9 +124,12 @@ def new_since(bronze: DataFrame, mark) -> DataFrame:
 
 
 def merge_by_key(target: DataFrame, updates: DataFrame, key: str = "event_id") -> DataFrame:
-    """Upsert: rows of ``updates`` replace target rows with the same key."""
-    return (target.join(updates.select(key), on=key, how="left_anti")
-                  .unionByName(updates))
+    """Upsert: rows of ``updates`` replace target rows with the same key.
+
+    The updates' keys are broadcast after a size check, so the target side
+    of the anti-join is filtered where it is read instead of shuffled."""
+    keys = maybe_broadcast(updates.select(key).distinct())
+    return target.join(keys, on=key, how="left_anti").unionByName(updates)
 
 
 def silver_incremental(bronze: DataFrame, target: DataFrame | None, as_of=None) -> DataFrame:

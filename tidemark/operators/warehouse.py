@@ -15,18 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import rules as R
 from . import gold as G
-
-# Dimensions at most this many rows may be broadcast: narrow dimension rows
-# (an id and a few attributes) keep a broadcast of this size in the tens of MB.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows (counted with
-    a bounded ``limit``), else ``df`` unchanged (shuffle join)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
+from .joins import maybe_broadcast
 
 def date_key(d) -> F.Column:
     """yyyymmdd as an integer."""

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import silver as SV
+from ..operators.joins import stored_matches
 from ..session import cut_lineage
 
 
@@ -75,18 +76,17 @@ def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
     if n_updates == 0:
         return {"high_water_mark": mark, "rows_written": 0, "partitions": []}
 
-    keys = updates.select("event_id", F.col("event_date").alias("_new_date"))
     dates = updates.select("event_date")
     if check_moved_keys:
-        # old partitions of re-delivered keys: key column + partition column only
-        scope = target.select("event_id", "event_date")
+        # partitions holding earlier copies of the batch's keys: the key and
+        # partition columns of the table, filtered by the broadcast batch keys
+        scope = target
         if moved_keys_lookback_days is not None:
             lo, hi = updates.agg(F.min("event_date"), F.max("event_date")).first()
             scope = scope.where(F.col("event_date").between(
                 lo - _dt.timedelta(days=moved_keys_lookback_days),
                 hi + _dt.timedelta(days=moved_keys_lookback_days)))
-        moved = (scope.join(keys, "event_id")
-                 .where(F.col("event_date") != F.col("_new_date")).select("event_date"))
+        moved = stored_matches(scope, updates, "event_id", ["event_date"]).select("event_date")
         dates = dates.unionByName(moved)
     # one value per day: a small, bounded list; as literals they prune partitions
     touched = [r[0] for r in dates.distinct().collect()]

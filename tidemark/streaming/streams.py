@@ -29,6 +29,7 @@ from .. import schemas as S
 from ..operators import ingest as IN
 from ..operators import quality as QU
 from ..operators import silver as SV
+from ..operators.joins import stored_matches
 from ..sources import tables as TB
 from ..session import cut_lineage
 
@@ -148,13 +149,13 @@ def upsert_latest(spark: SparkSession, updates: DataFrame, path: str,
     if target is None:
         updates.write.mode("overwrite").partitionBy("event_date").parquet(path)
         return
-    keys = updates.select("event_id", F.col("event_date").alias("_nd"))
-    scope = target.select("event_id", "event_date")
+    scope = target
     if lookback_days is not None:
         lo, hi = updates.agg(F.min("event_date"), F.max("event_date")).first()
         scope = scope.where(F.col("event_date").between(
             lo - _dt.timedelta(days=lookback_days), hi + _dt.timedelta(days=lookback_days)))
-    moved = scope.join(keys, "event_id").select("event_date")
+    # earlier copies of the batch's keys, found through the broadcast batch keys
+    moved = stored_matches(scope, updates, "event_id", ["event_date"]).select("event_date")
     # one value per touched day: a small list, used as literals to prune
     touched = [r[0] for r in updates.select("event_date").unionByName(moved).distinct().collect()]
     affected = target.where(F.col("event_date").isin(touched))
