@@ -165,3 +165,18 @@ def test_auc_equals_spark_evaluator(spark):
     ev = BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol="label",
                                        metricName="areaUnderROC", numBins=0)
     assert abs(ours - ev.evaluate(lab)) < 1e-6
+
+
+def test_latency_stream_equals_batch(spark, tmp_dir):
+    from tidemark.operators import kpis as KP
+    bronze = FX.bronze(spark, SF)
+    src = ST.land_by_day(bronze, f"{tmp_dir}/landing")
+    # several micro-batches; the file source's order is not guaranteed to be
+    # chronological, so the delay spans the fixture's 30 days and no row is late
+    q = ST.start_latency_stream(ST.read_events_stream(spark, src, max_files_per_trigger=3),
+                                f"{tmp_dir}/lat", f"{tmp_dir}/ck_lat", delay="40 days")
+    q.awaitTermination()
+    streamed = ST.read_latency_sink(spark, f"{tmp_dir}/lat")
+    batch = KP.latency_kpis(bronze)
+    cols = sorted(batch.columns)
+    assert _rows(streamed.select(*cols)) == _rows(batch.select(*cols))

@@ -435,6 +435,16 @@ def sorted_codes(spark, sf_dir):
                                for c in ("plan_type", "country", "favourite_device")]))
 
 
+def stream_latency(spark, sf_dir):
+    """X7 as a stream: windowed latency KPIs over landed bronze files."""
+    root = TB.scratch_path(spark, "stream-latency")
+    src = ST.land_by_day(FX.bronze(spark, sf_dir), f"{root}/landing")
+    q = ST.start_latency_stream(ST.read_events_stream(spark, src), f"{root}/latency",
+                                f"{root}/_ckpt")
+    q.awaitTermination()
+    return portable(ST.read_latency_sink(spark, f"{root}/latency"))
+
+
 QUERIES: dict[str, Query] = {
     "silver_events": silver_events,
     "gold_features": gold_features,
@@ -490,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "top_features": top_features,
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
+    "stream_latency": stream_latency,
     "silver_empty": silver_empty,
     "landing_scan": landing_scan,
     "events_json_roundtrip": events_json_roundtrip,

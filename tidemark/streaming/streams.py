@@ -185,3 +185,66 @@ def land_by_day(bronze: DataFrame, root: str) -> str:
     (bronze.withColumn("ingest_day", F.to_date("ingested_at"))
            .write.mode("overwrite").partitionBy("ingest_day").parquet(root))
     return f"{root.rstrip('/')}/*"
+
+
+# --- X7 as a stream: windowed latency KPIs -----------------------------------------------------
+
+def start_latency_stream(events: DataFrame, sink: str, checkpoint: str,
+                         window: str = "15 minutes", delay: str = "1 hour",
+                         alert_s: int = 15 * 60, trigger: str | None = None) -> StreamingQuery:
+    """Events and end-to-end latency per ingest window (X7), as a stateful
+    windowed aggregation.
+
+    The watermark on arrival time bounds the state: a window's state is
+    dropped once arrivals are ``delay`` past its end. Update mode emits the
+    windows a micro-batch changed; ``foreachBatch`` replaces those windows in
+    the sink (partitioned by day, only touched days rewritten), so the sink
+    always holds complete windows, also for rows that arrive late but within
+    the delay.
+    """
+    from ..operators.kpis import latency_seconds
+    lat = latency_seconds()
+    per_window = (events.where(F.col("event_timestamp").isNotNull())
+                  .withColumn("_arrival", F.col("ingested_at").cast(T.TimestampType()))
+                  .withWatermark("_arrival", delay)
+                  .groupBy(F.window("_arrival", window).alias("w"))
+                  .agg(F.count(F.lit(1)).alias("events"),
+                       F.sum(lat).alias("_lat_sum"),
+                       F.max(lat).alias("_lat_max"),
+                       F.count_if(lat > alert_s).alias("late_events")))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select(
+            F.col("w.start").cast(T.TimestampNTZType()).alias("window_start"),
+            F.to_date(F.col("w.start").cast(T.TimestampNTZType())).alias("window_date"),
+            "events", "late_events",
+            (F.col("_lat_sum") / F.col("events")).alias("_avg"),
+            F.col("_lat_max").alias("_max"))
+        rows = cut_lineage(rows)
+        target = TB.read_if_exists(spark, sink)
+        if target is not None:
+            days = [r[0] for r in rows.select("window_date").distinct().collect()]
+            keep = (target.where(F.col("window_date").isin(days))
+                          .join(rows.select("window_start"), "window_start", "left_anti"))
+            rows = cut_lineage(keep.unionByName(rows))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("window_date").parquet(sink))
+
+    w = (per_window.writeStream.outputMode("update").foreachBatch(write)
+                   .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
+def read_latency_sink(spark: SparkSession, sink: str, window_s: int = 900,
+                      alert_s: int = 15 * 60) -> DataFrame:
+    """The latency sink in the shape of ``kpis.latency_kpis``."""
+    from ..functions import rules as R
+    t = spark.read.parquet(sink)
+    return t.select(
+        "window_start", "events",
+        R.round_half_up(F.col("events") / F.lit(float(window_s)), 4).alias("events_per_sec"),
+        R.round_half_up("_avg", 3).alias("avg_latency_s"),
+        R.round_half_up("_max", 3).alias("max_latency_s"),
+        "late_events",
+        (F.col("_max") > alert_s).alias("latency_alert"))
