@@ -41,7 +41,8 @@ def paths(root: str) -> dict:
 
 def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str | None = None,
                  as_of=None, threshold: float = S.QUALITY_THRESHOLD,
-                 gate_on: str = "batch") -> RunSummary:
+                 gate_on: str = "batch",
+                 silver_partition_cols: tuple[str, ...] = ("event_date",)) -> RunSummary:
     """Ingest ``batch`` into bronze, gate, update silver and refresh gold.
 
     ``gate_on='batch'`` scores the incoming rows (a bad batch never lands in
@@ -87,7 +88,8 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str |
         last = hist.where(F.col("status") == "succeeded").agg(F.max("finished_at")).first()[0]
         if last is not None:
             kw["mark"] = last
-    TB.write_silver_incremental(spark, bronze, p["silver"], as_of, **kw)
+    TB.write_silver_incremental(spark, bronze, p["silver"], as_of,
+                                partition_cols=silver_partition_cols, **kw)
     silver = spark.read.parquet(p["silver"])
     summary.silver_rows = silver.count()
 
