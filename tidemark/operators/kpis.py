@@ -12,6 +12,15 @@ from ..functions import rules as R
 LATENCY_ALERT_S = 15 * 60
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def window_seconds(window: str) -> int:
+    """Length of a window duration such as ``'15 minutes'`` or ``'1 hour'``."""
+    n, unit = window.split()
+    return int(n) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+
+
 def latency_seconds(ingested="ingested_at", event="event_timestamp") -> F.Column:
     """End-to-end latency in seconds (microsecond exact, no time zone)."""
     return (F.timestamp_diff("MICROSECOND", F.col(event), F.col(ingested)).cast(T.DoubleType())
@@ -32,15 +41,13 @@ def latency_kpis(bronze: DataFrame, window: str = "15 minutes",
     """Per ingest window, events, events per second, mean and max
     latency, events later than ``alert_s`` and an alert flag."""
     lat = latency_seconds()
-    secs = {"15 minutes": 900}.get(window)
     w = F.window(F.col("ingested_at"), window)
     df = bronze.where(F.col("event_timestamp").isNotNull())
     out = df.groupBy(w.alias("w")).agg(
         F.count(F.lit(1)).alias("events"),
         F.avg(lat).alias("_avg"), F.max(lat).alias("max_latency_s"),
         F.count_if(lat > alert_s).alias("late_events"))
-    span = F.lit(float(secs)) if secs else (
-        F.unix_seconds(F.col("w.end")) - F.unix_seconds(F.col("w.start"))).cast(T.DoubleType())
+    span = F.lit(float(window_seconds(window)))
     return out.select(
         F.col("w.start").alias("window_start"),
         "events",

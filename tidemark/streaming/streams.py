@@ -236,10 +236,12 @@ def start_latency_stream(events: DataFrame, sink: str, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
-def read_latency_sink(spark: SparkSession, sink: str, window_s: int = 900,
+def read_latency_sink(spark: SparkSession, sink: str, window: str = "15 minutes",
                       alert_s: int = 15 * 60) -> DataFrame:
     """The latency sink in the shape of ``kpis.latency_kpis``."""
     from ..functions import rules as R
+    from ..operators.kpis import window_seconds
+    window_s = window_seconds(window)
     t = spark.read.parquet(sink)
     return t.select(
         "window_start", "events",
