@@ -199,3 +199,25 @@ def test_incremental_write_by_hour(spark, tmp_dir):
     p = spark.read.parquet(path).where(
         (F.col("event_date") == F.lit("2024-01-05").cast("date")) & (F.col("event_hour") == 3))
     assert "PartitionFilters" in p._jdf.queryExecution().executedPlan().toString()
+
+
+def test_text_event_stream_with_quarantine(spark, tmp_dir):
+    """Topic-shaped input (JSON value + arrival time), fed from files here:
+    good records land in bronze, a broken one in quarantine."""
+    from pyspark.sql import types as T
+    b = FX.bronze_clean(spark, SF)
+    text = IN.events_to_json(b).withColumn(
+        "_arrived", F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    broken = spark.createDataFrame([("{oops", None)], "value string, _arrived timestamp")
+    text.unionByName(broken.withColumn("_arrived", F.lit("2024-02-01 00:00:00").cast("timestamp"))) \
+        .write.parquet(f"{tmp_dir}/topic")
+    schema = T.StructType([T.StructField("value", T.StringType()),
+                           T.StructField("_arrived", T.TimestampType())])
+    src = spark.readStream.schema(schema).parquet(f"{tmp_dir}/topic")
+    q = ST.start_bronze_stream(ST.events_from_text(src), f"{tmp_dir}/bronze", f"{tmp_dir}/ck",
+                               quarantine=f"{tmp_dir}/quarantine")
+    q.awaitTermination()
+    assert spark.read.parquet(f"{tmp_dir}/quarantine").count() == 1
+    landed = spark.read.parquet(f"{tmp_dir}/bronze")
+    assert landed.count() == b.select("event_id").distinct().count()
+    assert landed.where("ingested_at = timestamp_ntz'2024-02-01 00:00:00'").count() == landed.count()

@@ -99,20 +99,25 @@ EVENT_JSON_SCHEMA = T.StructType([
 ] + [T.StructField("_corrupt_record", T.StringType(), True)])
 
 
-def parse_events_json(text: DataFrame, column: str = "value") -> DataFrame:
+def parse_events_json(text: DataFrame, column: str = "value",
+                      keep: list[str] | None = None) -> DataFrame:
     """Parse JSON event records (ISO-8601 times) into typed rows; records
-    that do not parse keep their text in ``_corrupt_record`` (quarantine)."""
+    that do not parse keep their text in ``_corrupt_record`` (quarantine).
+    ``keep`` columns of ``text`` pass through unchanged."""
+    keep = keep or []
     parsed = text.select(F.from_json(F.col(column), EVENT_JSON_SCHEMA,
                                      {"mode": "PERMISSIVE",
                                       "columnNameOfCorruptRecord": "_corrupt_record"}).alias("e"),
-                         F.col(column).alias("_raw"))
-    out = parsed.select("e.*", "_raw")
-    ts = F.col("event_timestamp").try_cast(T.TimestampNTZType())
-    bad = F.col("_corrupt_record").isNotNull() | (F.col("event_timestamp").isNotNull() & ts.isNull())
-    return out.select(
-        *[c for c in out.columns if c not in ("event_timestamp", "_corrupt_record", "_raw")],
+                         F.col(column).alias("_raw"), *keep)
+    fields = [f.name for f in EVENT_JSON_SCHEMA.fields]
+    ts = F.col("e.event_timestamp").try_cast(T.TimestampNTZType())
+    bad = (F.col("e._corrupt_record").isNotNull()
+           | (F.col("e.event_timestamp").isNotNull() & ts.isNull()))
+    return parsed.select(
+        *[F.col(f"e.{c}").alias(c) for c in fields if c not in ("event_timestamp", "_corrupt_record")],
         ts.alias("event_timestamp"),
-        F.when(bad, F.coalesce("_corrupt_record", "_raw")).alias("_corrupt_record"))
+        F.when(bad, F.coalesce("e._corrupt_record", "_raw")).alias("_corrupt_record"),
+        *keep)
 
 
 def events_to_json(df: DataFrame) -> DataFrame:

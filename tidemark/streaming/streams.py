@@ -36,11 +36,16 @@ from ..session import cut_lineage
 BATCH_COL = "_batch_id"
 
 
-def read_events_stream(spark: SparkSession, source: str, schema: T.StructType = S.BRONZE_SCHEMA,
+def read_events_stream(spark: SparkSession, source: str | None, schema: T.StructType = S.BRONZE_SCHEMA,
                        fmt: str = "parquet", max_files_per_trigger: int | None = None,
                        options: dict | None = None) -> DataFrame:
-    """File source with a fixed schema (T2); ``fmt='kafka'`` and ``options``
-    select a topic instead (its connector must be on the classpath)."""
+    """Event stream.
+
+    Files: Parquet (or another file format) under ``source`` with a fixed
+    schema. Topic: ``fmt='kafka'`` with the broker and topic in ``options``
+    (the connector jar must be on the classpath); each message value is a
+    JSON event record, parsed with :func:`events_from_text`, and the broker
+    timestamp is the ingest time."""
     r = spark.readStream.format(fmt)
     if fmt != "kafka":
         r = r.schema(schema)
@@ -48,9 +53,24 @@ def read_events_stream(spark: SparkSession, source: str, schema: T.StructType =
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     for k, v in (options or {}).items():
         r = r.option(k, v)
+    if fmt == "kafka":
+        raw = r.load()
+        return events_from_text(raw.select(F.col("value").cast(T.StringType()).alias("value"),
+                                           F.col("timestamp").alias("_arrived")))
     return r.load(source)
 
 
+def events_from_text(text: DataFrame) -> DataFrame:
+    """JSON event records (``value``) plus their arrival time (``_arrived``)
+    as bronze-shaped rows; unparsable records keep ``_corrupt_record`` and
+    are routed to quarantine by the bronze writer."""
+    parsed = IN.parse_events_json(text, "value", keep=["_arrived"])
+    return parsed.select(
+        *[c for c in parsed.columns if c not in ("_arrived",)],
+        F.col("_arrived").cast(T.TimestampNTZType()).alias("ingested_at"),
+        F.lit(None).cast(T.StringType()).alias("pipeline_run_id"))
+
+
 def _trigger(writer, trigger: str | None):
     """``None``/``'available_now'`` drains what is there and stops; any other
     text is a processing-time interval such as ``'15 minutes'`` (T1)."""
@@ -61,9 +81,19 @@ def _trigger(writer, trigger: str | None):
 
 # --- bronze ---------------------------------------------------------------------------------
 
-def _bronze_batch_writer(sink: str, run_id: str, horizon_batches: int | None):
+def _bronze_batch_writer(sink: str, run_id: str, horizon_batches: int | None,
+                         quarantine: str | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if "_corrupt_record" in batch.columns:
+            # records that did not parse go to quarantine, by batch id (idempotent)
+            batch = batch.persist()
+            bad = batch.where(F.col("_corrupt_record").isNotNull())
+            if quarantine is not None:
+                (bad.select("_corrupt_record").withColumn(BATCH_COL, F.lit(batch_id).cast(T.LongType()))
+                    .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                    .partitionBy(BATCH_COL).parquet(quarantine))
+            batch = batch.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
         stored = TB.read_if_exists(spark, sink)
         # the batch's own earlier attempt is not "stored": replays stay exact
         existing = stored.where(F.col(BATCH_COL) != batch_id) if stored is not None else None
@@ -75,13 +105,15 @@ def _bronze_batch_writer(sink: str, run_id: str, horizon_batches: int | None):
         (rows.withColumn(BATCH_COL, F.lit(batch_id).cast(T.LongType()))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BATCH_COL).parquet(sink))
+        batch.unpersist()
     return write
 
 
 def start_bronze_stream(events: DataFrame, sink: str, checkpoint: str, run_id: str = "stream",
                         dedup_delay: str | None = "2 hours",
                         trigger: str | None = None,
-                        horizon_batches: int | None = None) -> StreamingQuery:
+                        horizon_batches: int | None = None,
+                        quarantine: str | None = None) -> StreamingQuery:
     """Idempotent bronze ingest from an event stream.
 
     The watermark is on ``ingested_at`` (arrival time, never NULL): copies
@@ -103,7 +135,8 @@ def start_bronze_stream(events: DataFrame, sink: str, checkpoint: str, run_id: s
                          .withWatermark("_arrival", dedup_delay)
                          .dropDuplicatesWithinWatermark(["event_id"])
                          .drop("_arrival"))
-    w = (deduped.writeStream.foreachBatch(_bronze_batch_writer(sink, run_id, horizon_batches))
+    w = (deduped.writeStream.foreachBatch(_bronze_batch_writer(sink, run_id, horizon_batches,
+                                                               quarantine))
                 .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
