@@ -116,11 +116,13 @@ def gold_snapshots(silver: DataFrame, first_day, last_day, days: int = 30) -> Da
     [first_day, last_day]: each snapshot sees the events before its clock
     and within its ``days``-day window.
 
-    Events are first reduced to one partial row per (grain, day) - and per
-    (grain, day, device) and (grain, day, content) for the mode and the
-    distinct count - and only those partials are copied to the snapshot days
-    they belong to (at most ``days`` copies each). The three results share
-    the (snapshot, grain) key and are joined on it.
+    One scan: every event fans out to three partial keys - the day itself,
+    its device, its content item - and one aggregation reduces them to one
+    partial row per (grain, day, kind, key). Only those partials are copied
+    to the snapshot days they belong to (at most ``days`` copies each), then
+    summed per (snapshot, grain, kind, key) and finished per (snapshot, grain)
+    with conditional aggregates: day totals give the sums and counts, device
+    counts give the mode, content rows give the distinct count. No join.
     """
     lo = F.to_date(F.lit(str(first_day)))
     hi = F.to_date(F.lit(str(last_day)))
@@ -128,49 +130,64 @@ def gold_snapshots(silver: DataFrame, first_day, last_day, days: int = 30) -> Da
     src = silver.where((F.col("event_date") >= F.date_sub(lo, days))
                        & (F.col("event_date") < hi))
 
-    def to_snapshots(df: DataFrame) -> DataFrame:
-        start = F.greatest(F.date_add("event_date", 1), lo)
-        stop = F.least(F.date_add("event_date", days), hi)
-        return (df.where(start <= stop)
-                  .select("*", F.explode(F.sequence(start, stop)).alias("snapshot_date")))
-
-    keys = ["snapshot_date", *GRAIN]
-    daily = src.groupBy(*GRAIN, "event_date").agg(
+    DAY, DEVICE, CONTENT = 0, 1, 2
+    kinds = F.array(
+        F.struct(F.lit(DAY).alias("kind"), F.lit(None).cast(T.StringType()).alias("key")),
+        F.struct(F.lit(DEVICE).alias("kind"), F.col("device_type").alias("key")),
+        F.struct(F.lit(CONTENT).alias("kind"), F.col("content_id").alias("key")))
+    fanned = src.select(*GRAIN, "event_date", "watch_duration_s", "completion_pct",
+                        "engagement_score", "event_timestamp", "watch_category",
+                        F.explode(kinds).alias("k")).select("*", "k.kind", "k.key").drop("k")
+    day_row = F.col("kind") == DAY
+    partial = fanned.groupBy(*GRAIN, "event_date", "kind", "key").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("watch_duration_s").alias("watch"),
-        F.sum("completion_pct").alias("c_sum"), F.count("completion_pct").alias("c_n"),
-        F.sum("engagement_score").alias("e_sum"), F.count("engagement_score").alias("e_n"),
-        F.max("event_timestamp").alias("last_ts"),
-        F.count_if(F.col("watch_category") == "completed").alias("n_completed"),
-        F.count_if(F.col("watch_category") == "abandoned").alias("n_abandoned"))
+        F.sum(F.when(day_row, F.col("watch_duration_s"))).alias("watch"),
+        F.sum(F.when(day_row, F.col("completion_pct"))).alias("c_sum"),
+        F.count(F.when(day_row, F.col("completion_pct"))).alias("c_n"),
+        F.sum(F.when(day_row, F.col("engagement_score"))).alias("e_sum"),
+        F.count(F.when(day_row, F.col("engagement_score"))).alias("e_n"),
+        F.max(F.when(day_row, F.col("event_timestamp"))).alias("last_ts"),
+        F.count_if(day_row & (F.col("watch_category") == "completed")).alias("n_completed"),
+        F.count_if(day_row & (F.col("watch_category") == "abandoned")).alias("n_abandoned"))
+
+    start = F.greatest(F.date_add("event_date", 1), lo)
+    stop = F.least(F.date_add("event_date", days), hi)
+    keys = ["snapshot_date", *GRAIN]
+    copied = (partial.where(start <= stop)
+                     .select("*", F.explode(F.sequence(start, stop)).alias("snapshot_date")))
     recent7 = F.col("event_date") >= F.date_sub("snapshot_date", 7)
-    main = to_snapshots(daily).groupBy(*keys).agg(
-        F.sum("n").alias("total_sessions_30d"),
-        F.count(F.lit(1)).alias("active_days_30d"),
-        (F.sum("watch").cast(T.DoubleType()) / F.lit(3600.0)).alias("total_watch_time_h"),
-        (F.sum("c_sum") / F.sum("c_n")).alias("avg_completion_rate"),
-        (F.sum("e_sum") / F.sum("e_n")).alias("avg_engagement_score"),
-        F.max("last_ts").alias("last_watch_at"),
-        (F.sum("n_completed") / F.sum("n")).alias("completion_rate"),
-        (F.sum("n_abandoned") / F.sum("n")).alias("abandonment_rate"),
-        F.coalesce(F.sum(F.when(recent7, F.col("n"))), F.lit(0)).alias("sessions_last_7d"))
-
-    dev = src.groupBy(*GRAIN, "event_date", "device_type").agg(F.count(F.lit(1)).alias("n"))
-    dev = to_snapshots(dev).groupBy(*keys, "device_type").agg(F.sum("n").alias("n"))
-    # most sessions; ties go to the smallest device name
-    fav = dev.groupBy(*keys).agg(
-        F.min_by("device_type", F.struct((-F.col("n")).alias("neg_n"), "device_type"))
-         .alias("favourite_device"))
-
-    content = src.select(*GRAIN, "event_date", "content_id").distinct()
-    content = to_snapshots(content).groupBy(*keys).agg(
-        F.count_distinct("content_id").alias("unique_content_count"))
+    per_key = copied.groupBy(*keys, "kind", "key").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_days"),
+        F.sum("watch").alias("watch"), F.sum("c_sum").alias("c_sum"), F.sum("c_n").alias("c_n"),
+        F.sum("e_sum").alias("e_sum"), F.sum("e_n").alias("e_n"), F.max("last_ts").alias("last_ts"),
+        F.sum("n_completed").alias("n_completed"), F.sum("n_abandoned").alias("n_abandoned"),
+        F.sum(F.when(recent7, F.col("n"))).alias("n_7d"))
+
+    day_k, dev_k, con_k = (F.col("kind") == DAY), (F.col("kind") == DEVICE), (F.col("kind") == CONTENT)
+    total = F.sum(F.when(day_k, F.col("n")))
+    act = per_key.groupBy(*keys).agg(
+        total.alias("total_sessions_30d"),
+        F.sum(F.when(day_k, F.col("n_days"))).alias("active_days_30d"),
+        (F.sum(F.when(day_k, F.col("watch"))).cast(T.DoubleType()) / F.lit(3600.0))
+         .alias("total_watch_time_h"),
+        (F.sum(F.when(day_k, F.col("c_sum"))) / F.sum(F.when(day_k, F.col("c_n"))))
+         .alias("avg_completion_rate"),
+        (F.sum(F.when(day_k, F.col("e_sum"))) / F.sum(F.when(day_k, F.col("e_n"))))
+         .alias("avg_engagement_score"),
+        F.max(F.when(day_k, F.col("last_ts"))).alias("last_watch_at"),
+        (F.sum(F.when(day_k, F.col("n_completed"))) / total).alias("completion_rate"),
+        (F.sum(F.when(day_k, F.col("n_abandoned"))) / total).alias("abandonment_rate"),
+        F.coalesce(F.sum(F.when(day_k, F.col("n_7d"))), F.lit(0)).alias("sessions_last_7d"),
+        # most sessions; ties go to the smallest device name
+        F.min_by(F.when(dev_k, F.col("key")),
+                 F.when(dev_k, F.struct((-F.col("n")).alias("neg_n"), F.col("key").alias("k"))))
+         .alias("favourite_device"),
+        F.count_if(con_k).alias("unique_content_count"))
 
     snap_at = F.col("snapshot_date").cast(T.TimestampNTZType())
-    act = (main.join(fav, keys).join(content, keys)
-               .withColumn("snapshot_at", snap_at)
-               .withColumn("days_since_last_watch",
-                           R.whole_days_between(snap_at, F.col("last_watch_at"))))
+    act = (act.withColumn("snapshot_at", snap_at)
+              .withColumn("days_since_last_watch",
+                          R.whole_days_between(snap_at, F.col("last_watch_at"))))
     return project_gold_by(with_labels(act, F.col("snapshot_at")), ["snapshot_date"])
 
 
