@@ -67,3 +67,20 @@ def test_round_half_up_matches_decimal(spark, d):
     expected = float(Decimal(repr(x)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
     got = spark.createDataFrame([(x,)], "x double").select(R.round_half_up("x", 2)).first()[0]
     assert got == expected
+
+
+def test_snapshots_equal_gold_per_day(spark):
+    """Brute force: each snapshot day equals gold over the events before its
+    clock, computed on its own."""
+    import datetime as dt
+    silver = SV.silver(FX.bronze(spark, SF), FX.AS_OF)
+    snaps = G.gold_snapshots(silver, "2024-01-20", "2024-01-22")
+    for day in (dt.date(2024, 1, 20), dt.date(2024, 1, 21), dt.date(2024, 1, 22)):
+        clock = dt.datetime.combine(day, dt.time())
+        before = silver.where(F.col("event_timestamp") < F.lit(clock.isoformat(sep=" "))
+                              .cast("timestamp_ntz"))
+        expected = G.gold(before, clock)
+        got = snaps.where(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date")
+        cols = sorted(expected.columns)
+        assert sorted(tuple(r) for r in got.select(*cols).collect()) == \
+            sorted(tuple(r) for r in expected.select(*cols).collect())
