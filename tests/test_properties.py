@@ -84,3 +84,25 @@ def test_snapshots_equal_gold_per_day(spark):
         cols = sorted(expected.columns)
         assert sorted(tuple(r) for r in got.select(*cols).collect()) == \
             sorted(tuple(r) for r in expected.select(*cols).collect())
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(min_value=0, max_value=30),
+                          st.integers(min_value=0, max_value=5)), min_size=1, max_size=60),
+       st.booleans())
+def test_running_totals_match_cumsum(spark, rows, descending):
+    """Distributed running totals over several ranges equal a plain cumulative
+    sum in key order (keys aggregated first, as the callers do)."""
+    from collections import Counter
+    from tidemark.operators.ranking import running_totals
+    agg = Counter()
+    for k, v in rows:
+        agg[k] += v
+    df = spark.createDataFrame(sorted(agg.items()), "k int, v int")
+    out = {r["k"]: (r["cum_v"], r["total_v"])
+           for r in running_totals(df, "k", ["v"], descending=descending, ranges=4).collect()}
+    keys = sorted(agg, reverse=descending)
+    acc, total = 0, sum(agg.values())
+    for k in keys:
+        acc += agg[k]
+        assert out[k] == (acc, total)
