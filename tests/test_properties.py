@@ -106,3 +106,24 @@ def test_running_totals_match_cumsum(spark, rows, descending):
     for k in keys:
         acc += agg[k]
         assert out[k] == (acc, total)
+
+
+def test_psi_matches_numpy(spark):
+    import math
+    import numpy as np
+    from tidemark import schemas as S
+    from tidemark.operators import drift as DR
+    silver = SV.silver(FX.bronze(spark, SF), FX.AS_OF)
+    earlier = "2024-01-26 00:00:00"
+    old = G.gold(silver.where(F.col("event_timestamp") < F.lit(earlier).cast("timestamp_ntz")),
+                 earlier)
+    new = G.gold(silver, FX.AS_OF)
+    got = {r.feature: r.psi for r in DR.psi(old, new, bins=10).collect()}
+    for f, (_, _, lo, hi) in S.BASELINE_STATS.items():
+        def shares(df):
+            x = np.array([r[0] for r in df.select(f).collect() if r[0] is not None], dtype=float)
+            b = np.clip(np.floor((x - lo) / ((hi - lo) / 10)), 0, 9).astype(int)
+            return np.maximum(np.bincount(b, minlength=10) / len(x), 1e-4)
+        e, a = shares(old), shares(new)
+        expected = float(np.sum((a - e) * np.log(a / e)))
+        assert math.isclose(got[f], expected, abs_tol=2e-6), (f, got[f], expected)
