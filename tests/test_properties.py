@@ -127,3 +127,22 @@ def test_psi_matches_numpy(spark):
         e, a = shares(old), shares(new)
         expected = float(np.sum((a - e) * np.log(a / e)))
         assert math.isclose(got[f], expected, abs_tol=2e-6), (f, got[f], expected)
+
+
+def test_roc_points_match_brute_force(spark):
+    from tidemark.operators import features as FE
+    from tidemark.operators import metrics as ME
+    from tidemark.operators.scoring import heuristic_probability
+    g = G.gold(SV.silver(FX.bronze(spark, "/root/testdata/sf0.01"), FX.AS_OF), FX.AS_OF)
+    lab = FE.training_frame(g).select(F.col("churned_30d").alias("label"),
+                                      heuristic_probability().alias("probability"))
+    rows = [(r.label, r.probability) for r in lab.collect()]
+    P = sum(1 for y, _ in rows if y == 1)
+    N = len(rows) - P
+    got = {r.threshold: (r.tp, r.fp, r.tpr, r.fpr) for r in ME.roc_points(lab).collect()}
+    assert set(got) == {p for _, p in rows}
+    for t, (tp, fp, tpr, fpr) in got.items():
+        etp = sum(1 for y, p in rows if p >= t and y == 1)
+        efp = sum(1 for y, p in rows if p >= t and y != 1)
+        assert (tp, fp) == (etp, efp)
+        assert abs(tpr - etp / P) < 1e-6 and abs(fpr - efp / N) < 1e-6
