@@ -146,3 +146,20 @@ def test_roc_points_match_brute_force(spark):
         efp = sum(1 for y, p in rows if p >= t and y != 1)
         assert (tp, fp) == (etp, efp)
         assert abs(tpr - etp / P) < 1e-6 and abs(fpr - efp / N) < 1e-6
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(min_value=0, max_value=8),
+                          st.integers(min_value=0, max_value=10**6)),
+                min_size=1, max_size=40, unique_by=lambda t: t[1]))
+def test_keep_latest_matches_python(spark, rows):
+    """One row per key, the latest ingest wins (distinct ingest times)."""
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    data = [(str(k), base + dt.timedelta(seconds=s), "run") for k, s in rows]
+    df = spark.createDataFrame(data, "event_id string, ingested_at timestamp_ntz, pipeline_run_id string")
+    got = {r.event_id: r.ingested_at for r in SV.keep_latest(df).collect()}
+    expected = {}
+    for k, t, _ in data:
+        expected[k] = max(expected.get(k, t), t)
+    assert got == expected
