@@ -43,23 +43,31 @@ def get_session(master: str | None = None, app: str = "tidemark",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """The shared checkpoint folder of this session.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (a local test) do we create one of our own.
+    A folder that the caller or the cluster (``spark.checkpoint.dir``) has
+    set is used as it is and never replaced. Where none is set, a
+    single-machine session (master ``local[...]``, as in tests) gets a folder
+    of its own; on a cluster that would be one folder per machine, so it is
+    an error there.
     """
     sc = spark.sparkContext
+    path = sc.getCheckpointDir()
+    if path:
+        return path
     path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver "
+                               "and all executors share")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
