@@ -79,6 +79,25 @@ def out_batch(schema: pa.Schema, **cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in schema], schema=schema)
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The groups of batches that are sorted by ``key``, one at a time; only one group is held."""
+    tail: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = batch.column(batch.schema.get_field_index(key)).to_numpy()
+        cut = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
+        for lo, hi in zip(cut, cut[1:]):
+            if lo == 0 and tail and tail[-1].column(tail[-1].schema.get_field_index(key))[-1].as_py() == k[0]:
+                tail.append(batch.slice(lo, hi - lo))
+                continue
+            if tail:
+                yield pa.Table.from_batches(tail).combine_chunks()
+            tail = [batch.slice(lo, hi - lo)]
+    if tail:
+        yield pa.Table.from_batches(tail).combine_chunks()
+
+
 def mix64(z: np.ndarray) -> np.ndarray:
     """Finalising mix of 64-bit values (splitmix64 constants)."""
     z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

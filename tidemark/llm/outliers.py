@@ -28,9 +28,9 @@ COVER = 0.75          # share of a group that the estimate rests on
 STEPS = 2             # concentration steps
 MIN_GROUP = 50        # texts a group needs for an estimate of its own; smaller ones use the language's, then all
 #: Least standard deviation of each transformed statistic: what ordinary texts may differ by even where a group is uniform.
-FLOOR = [0.6, 0.12, 0.25, 0.15, 0.2]
-#: Squared distance beyond which a text is rejected (chi-square, 5 degrees of freedom, is above it once in 10 million).
-CUT = 41.0
+FLOOR = [0.6, 0.12, 0.25, 0.2, 0.2]
+#: Squared distance beyond which a text is rejected (chi-square, 5 degrees of freedom: less than once in 100 million).
+CUT = 45.0
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
