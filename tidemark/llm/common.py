@@ -105,21 +105,17 @@ def mix64(z: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def running_total(df: DataFrame, group: list[str], key: str, value: Column, out: str, ties: list[str],
-                  rows: int, per_bucket: int = 8192) -> DataFrame:
-    """Exclusive running total of ``value`` within ``group`` in the order of a bucketed hash ``key``.
-
-    No window ever spans a whole group: rows are dealt to ``rows / per_bucket``
-    buckets by ``key``; bucket sums (a small table) are summed up over the
-    buckets of a group, and the rows are summed up within their bucket. A
-    group that holds a third of all rows is thus spread over all buckets.
-    Group columns must not be null.
+def running_total(df: DataFrame, group: list[str], bucket: Column, order: list[str], value: Column, out: str) -> DataFrame:
+    """Exclusive running total of ``value`` within ``group``, in the order of ``bucket`` and then ``order``.
+
+    No window spans a whole group: bucket sums (a small table) are summed up
+    over the buckets of a group, and rows are summed up within their bucket.
+    A group that holds a third of all rows is spread over all its buckets,
+    which callers choose by hash or by place. Group columns must not be null.
     """
-    nb = max(1, -(-rows // per_bucket))
-    d = df.withColumn("_b", F.pmod(F.col(key), F.lit(nb))).withColumn("_v", value.cast("long"))
+    d = df.withColumn("_b", bucket).withColumn("_v", value.cast("long"))
     whole = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    inner = (Window.partitionBy(*group, "_b").orderBy(key, *ties)
-             .rowsBetween(Window.unboundedPreceding, -1))
+    inner = Window.partitionBy(*group, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     base = (d.groupBy(*group, "_b").agg(F.sum("_v").alias("_s"))
             .select(*group, "_b", F.coalesce(F.sum("_s").over(whole), F.lit(0)).alias("_base")))
     return (d.join(base, [*group, "_b"])
@@ -127,6 +123,14 @@ def running_total(df: DataFrame, group: list[str], key: str, value: Column, out:
             .drop("_b", "_v", "_base"))
 
 
+PER_BUCKET = 8192
+
+
+def hash_buckets(key: str, rows: int) -> Column:
+    """Bucket of a hash column such that ``rows`` rows make buckets of about PER_BUCKET."""
+    return F.pmod(F.col(key), F.lit(max(1, -(-rows // PER_BUCKET))))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b): rows (id, component), component the smallest id reached.
 
