@@ -84,10 +84,10 @@ def shingle_sets(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
         if hi - lo >= WIDTH:
             out.append(np.unique(z[lo: hi - WIDTH + 1]))
         elif hi > lo:
-            v = np.uint64(hi - lo)
+            v = np.array([hi - lo], np.uint64)
             for x in h[lo:hi]:
                 v = (v ^ x) * _K[1] + _K[2]
-            out.append(C.mix64(np.array([v], np.uint64)))
+            out.append(C.mix64(v))
         else:
             out.append(z[:0])
     return out
@@ -95,7 +95,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
 
 def set_id(s: np.ndarray) -> int:
     """64-bit id of a set (int64); order-free sum of remixed members and the size."""
-    v = C.mix64(C.mix64(s ^ _K[3]).sum(dtype=np.uint64)[None] + np.uint64(len(s)) * _K[4])
+    v = C.mix64(C.mix64(s ^ _K[3]).sum(dtype=np.uint64)[None] + np.array([len(s)], np.uint64) * _K[4])
     return int(v.astype(np.int64)[0])
 
 

@@ -147,16 +147,17 @@ def mcd(d: DataFrame, group: str) -> DataFrame:
     return est
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``docs`` with the base statistics, base_failed, distance2 and kept.
+def judge(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The columns ``keep`` of ``docs`` with the base statistics, base_failed, distance2 and kept.
 
     Null languages and sources are groups like any other. A group with fewer
     than ``MIN_GROUP`` texts is judged with its language's estimate, and a
     language with fewer with that of all texts. Base-failed texts are
     rejected and take no part in the estimates. Empty tables give no rows.
     """
-    d = transformed(statistics(docs, text))
-    d = C.stored(d.drop(text) if text in d.columns else d)
+    d = docs.select(F.struct(*keep).alias("_keep"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
+    d = C.stored(transformed(statistics(d)).drop("text"))
+    lang, source = "lang", "source"
     ls = F.to_json(F.struct(F.col(lang).alias("l"), F.col(source).alias("s")))
     lg = F.to_json(F.struct(F.col(lang).alias("l")))
     d = d.withColumn("_ls", ls).withColumn("_l", lg)
@@ -170,9 +171,9 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     fan = good.select(F.explode(F.array("_ls", "_l", F.lit(""))).alias("_g"), *STATS)
     est = C.stored(mcd(fan.join(level.select("_g").distinct(), "_g"), "_g"))
     judged = _distance(good.join(level, "_ls").join(est, "_g"), "distance2")
-    keep = [c for c in d.columns if c not in ("_ls", "_l")]
-    far = judged.select(*keep, "distance2", (F.col("distance2") <= CUT).alias("kept"))
-    failed = d.filter("base_failed").select(*keep, F.lit(None).cast("double").alias("distance2"), F.lit(False).alias("kept"))
+    out = [*[F.col("_keep")[c].alias(c) for c in keep], *COUNTS, "base_failed"]
+    far = judged.select(*out, "distance2", (F.col("distance2") <= CUT).alias("kept"))
+    failed = d.filter("base_failed").select(*out, F.lit(None).cast("double").alias("distance2"), F.lit(False).alias("kept"))
     return far.unionByName(failed)
 
 
@@ -180,5 +181,4 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def op7_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return judge(docs).select("doc_id", *COUNTS, "base_failed", "kept", "distance2")
+    return judge(C.table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", *COUNTS, "base_failed", "kept", "distance2")

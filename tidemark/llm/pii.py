@@ -11,8 +11,8 @@ surroundings. Platt scaling on held-out rows and a precision target give each
 kind its threshold; a kind whose held-out rows can't show the precision adds
 nothing. Base spans always stay.
 
-Texts are read once; spans and features of a text make one stored row. The
-classifier is fitted on at most ``SAMPLE`` documents.
+The classifier is fitted on at most ``SAMPLE`` documents; all texts are then read
+once, without a shuffle.
 """
 
 from __future__ import annotations
@@ -123,32 +123,27 @@ def candidates(t: str) -> list[list]:
     return out
 
 
-_FOUND = "row long, doc_id long, cands string"
-
-
-def _propose(batches):
-    schema = C.arrow(_FOUND)
+def _sampled(batches):
+    schema = C.arrow("key long, cands string")
     for batch in batches:
-        ids = batch.column(batch.schema.get_field_index("doc_id"))
-        rows = batch.column(batch.schema.get_field_index("row"))
         for at, to, data, off in C.blocks(batch, "text"):
             raw = data.tobytes()
-            found = []
-            for i in range(to - at):
-                c = candidates(raw[off[i]: off[i + 1]].decode())
-                found.append(json.dumps(c) if c else None)
-            yield C.out_batch(schema, row=rows.slice(at, to - at), doc_id=ids.slice(at, to - at), cands=found)
+            found = [(k, candidates(raw[off[i]: off[i + 1]].decode()))
+                     for i, k in zip(range(to - at), batch.column(0).slice(at, to - at).to_pylist())]
+            found = [(k, json.dumps(c[:PER_DOC])) for k, c in found if c]
+            if found:
+                yield C.out_batch(schema, key=[k for k, _ in found], cands=[c for _, c in found])
 
 
 class Selector:
     """The fitted trees, their calibration, and each kind's threshold on the calibrated probability."""
 
     def __init__(self, docs: list[list]):
-        rows = [(k, d % 3 == 0, c) for d, doc in enumerate(docs) for k, c in enumerate(doc[:PER_DOC])]
-        x = np.array([c[4] for _, _, c in rows], float).reshape(len(rows), -1)
-        y = np.array([c[3] for _, _, c in rows], float)
-        held = np.array([h for _, h, _ in rows], bool)
-        kind = np.array([c[0] for _, _, c in rows])
+        rows = [(d % 3 == 0, c) for d, doc in enumerate(docs) for c in doc]
+        x = np.array([c[4] for _, c in rows], float).reshape(len(rows), -1)
+        y = np.array([c[3] for _, c in rows], float)
+        held = np.array([h for h, _ in rows], bool)
+        kind = np.array([c[0] for _, c in rows])
         self.thresholds = dict.fromkeys(KINDS, 2.0)
         self.a, self.b = 1.0, 0.0
         self.model = None
@@ -184,83 +179,100 @@ class Selector:
         return sorted(keep, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
-_SPANS = "row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+def fit(docs: DataFrame, text: str = "text") -> Selector:
+    """The selector from a bounded sample: texts by hash, at most SAMPLE of those with candidates."""
+    d = docs.select(F.xxhash64(text).alias("key"), F.col(text).alias("text"))
+    some = max(1, d.count() // (8 * SAMPLE))
+    rows = (d.filter(F.pmod("key", F.lit(some)) == 0).mapInArrow(_sampled, C.struct("key long, cands string"))
+            .orderBy("key", "cands").limit(SAMPLE).collect())
+    return Selector([json.loads(r["cands"]) for r in rows])
+
+
+_SPANS = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 
 
 def _joined(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def _select(selector_b):
+def _find(selector_b):
     schema = C.arrow(_SPANS)
 
     def run(batches):
         sel = selector_b.value
+        none = hashlib.sha256(b"").hexdigest()
         for batch in batches:
-            rows = []
-            for row, doc, text in zip(*(c.to_pylist() for c in batch.columns)):
-                cands = json.loads(text) if text else []
-                base = [(c[0], c[1], c[2]) for c in cands if c[3]]
-                n = [sum(k == b[0] for b in base) for k in KINDS]
-                rows.append((row, doc, *n, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(sel.spans(cands))))
-            if rows:
+            ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
+            for at, to, data, off in C.blocks(batch, "text"):
+                raw = data.tobytes()
+                rows = []
+                for i in range(to - at):
+                    cands = candidates(raw[off[i]: off[i + 1]].decode())
+                    if not cands:
+                        rows.append((ids[at + i], 0, 0, 0, 0, none, ""))
+                        continue
+                    base = [(c[0], c[1], c[2]) for c in cands if c[3]]
+                    n = [sum(k == b[0] for b in base) for k in KINDS]
+                    rows.append((ids[at + i], *n, hashlib.sha256(_joined(base).encode()).hexdigest(),
+                                 _joined(sel.spans(cands))))
                 yield C.out_batch(schema, **dict(zip(schema.names, map(list, zip(*rows)))))
     return run
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: base counts, digest of the base spans, and all spans (code points, end exclusive).
 
     Null text is empty; equal rows stay rows; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    d = docs.select((F.col(row) if row else F.lit(0).cast("long")).alias("row"),
-                    F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = C.stored(d.mapInArrow(_propose, C.struct(_FOUND)))
-    sample = (found.filter("cands is not null").select(F.xxhash64("doc_id", "cands").alias("h"), "cands")
-              .orderBy("h").limit(SAMPLE).collect())
-    sel = spark.sparkContext.broadcast(Selector([json.loads(r[1]) for r in sample]))
-    return found.mapInArrow(_select(sel), C.struct(_SPANS))
+    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    sel = docs.sparkSession.sparkContext.broadcast(fit(d))
+    return d.mapInArrow(_find(sel), C.struct(_SPANS))
+
+
+def replaced(text: str, spans: list[tuple[str, int, int]]) -> str:
+    """The text with every span replaced by its kind in brackets; overlapping spans by the first one's."""
+    parts, at = [], 0
+    for k, a, b in sorted(spans, key=lambda s: (s[1], s[2])):
+        if b > at:
+            parts.append(text[at:max(a, at)])
+            if a >= at:
+                parts.append(f"[{k.upper()}]")
+            at = b
+    return "".join(parts) + text[at:]
 
 
-_TEXT = "row long, redacted string"
+_DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def _redact(batches):
-    """Rows (row, text, spans): every span replaced by its kind in brackets."""
-    schema = C.arrow(_TEXT)
-    for batch in batches:
-        rows, out = [], []
-        for row, text, spans in zip(*(c.to_pylist() for c in batch.columns)):
-            cuts = sorted((int(a), int(b), k) for k, a, b in (s.split(":") for s in spans.split(",") if s))
-            parts, at = [], 0
-            for a, b, k in cuts:
-                if b <= at:
-                    continue
-                parts.append(text[at:max(a, at)])
-                parts.append(f"[{k.upper()}]")
-                at = b
-            rows.append(row)
-            out.append("".join(parts) + text[at:])
-        yield C.out_batch(schema, row=rows, redacted=out)
+def _redact(selector_b):
+    schema = C.arrow(_DOC)
+
+    def run(batches):
+        sel = selector_b.value
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                doc, text, lang, source, n = batch.slice(lo, 500).columns
+                out, chars = text.to_pylist(), n.to_pylist()
+                for i, t in enumerate(out):
+                    cands = candidates(t) if t else []
+                    spans = sel.spans(cands) if cands else []
+                    if spans:
+                        out[i] = replaced(t, spans)
+                        chars[i] = len(out[i])
+                yield C.out_batch(schema, doc_id=doc, text=out, lang=lang, source=source, n_chars=chars)
+    return run
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` (columns of documents) with every span of its texts replaced by [KIND]; n_chars follows.
 
-    A null text stays null. Documents without spans are untouched.
+    A null text stays null. Documents without spans are untouched. No shuffle.
     """
-    cols = docs.columns
-    d = C.stored(docs.withColumn("_row", F.monotonically_increasing_id()))
-    hit = find(d.select("_row", "doc_id", "text"), row="_row").filter("spans != ''").select(F.col("row").alias("_row"), "spans")
-    both = d.join(hit, "_row", "left")
-    new = (both.filter("spans is not null").select(F.col("_row").alias("row"), "text", "spans")
-           .mapInArrow(_redact, C.struct(_TEXT)).withColumnRenamed("row", "_row"))
-    changed = d.drop("text", "n_chars").join(new, "_row").withColumnRenamed("redacted", "text").withColumn(
-        "n_chars", F.length("text").cast("long"))
-    same = both.filter("spans is null")
-    return same.select(*cols).unionByName(changed.select(*cols))
+    sel = docs.sparkSession.sparkContext.broadcast(fit(docs))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source",
+                    F.col("n_chars").cast("long").alias("n_chars"))
+    return d.mapInArrow(_redact(sel), C.struct(_DOC))
 
 
 def op6_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find(C.table(spark, sf_dir, "documents")).drop("row")
+    return find(C.table(spark, sf_dir, "documents"))
