@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans import catalog
 from tidemark.operators import gold as G
 from tidemark.operators import silver as SV
 from tidemark.sources import fixtures as FX
@@ -18,7 +19,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SIDE_EFFECTS))
 def test_no_python_udf_no_cross_join(spark, name):
     p = plan_of(E.queries()[name](spark, SF))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
