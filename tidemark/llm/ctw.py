@@ -289,10 +289,9 @@ def train(docs: DataFrame, text: str = "text") -> Model:
                      .repartition("ctx2").groupBy("ctx2", "code").agg(F.sum("n").alias("n")))
     parts = grams.repartition("ctx2").select("code", "n")
     # at most 256 * 255 rows: one for each depth-1 context and decision
-    rows = (parts.mapInArrow(_to_top, C.struct(_TOP))
-            .groupBy("key").agg(F.sum("a"), F.sum("b"), F.sum("child")).toPandas().sort_values("key"))
-    cols = [rows.iloc[:, i].to_numpy(float) for i in (1, 2, 3)]
-    top = Top(rows.iloc[:, 0].to_numpy(np.int64).astype(np.uint64), *cols)
+    rows = (parts.mapInArrow(_to_top, C.struct(_TOP)).groupBy("key")
+            .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("child").alias("child")).toArrow().sort_by("key"))
+    top = Top(rows["key"].to_numpy().astype(np.uint64), *(rows[c].to_numpy() for c in ("a", "b", "child")))
     m = Model(spark, grams, words, top, n_words + n_docs, n_types + (n_docs > 0))
     m.n_docs = n_docs
     m.scored = C.stored(parts.mapInArrow(_predictor(m.top), C.struct(_LP)))
@@ -314,8 +313,6 @@ def _most_frequent(df: DataFrame, n: str, limit: int) -> DataFrame:
 class _Slots:
     """Open addressing over the local grams; built once in each Python worker."""
 
-    held: dict = {}
-
     def __init__(self, code: np.ndarray, lp: np.ndarray):
         self.shift = np.uint64(64 - max(4, int(len(code) * 4).bit_length()))
         self.code, self.lp = code, lp
@@ -346,31 +343,30 @@ class _Slots:
             miss = miss[(i >= 0) & (self.code[i] != q[miss])]
         return out
 
-    @classmethod
-    def of(cls, bc):
-        if bc.id not in cls.held:
-            cls.held.clear()
-            cls.held[bc.id] = cls(*bc.value)
-        return cls.held[bc.id]
 
+class _Local:
+    """The broadcast tables in the form that a Python worker looks them up in, made once a worker."""
 
-class _Id:
-    def __init__(self, bc, key):
-        self.bc, self.id = bc, key
+    held: tuple = (None,)
 
-    @property
-    def value(self):
-        return self.bc.value
+    @classmethod
+    def of(cls, grams_b, words_b):
+        key = (grams_b.id, words_b.id)
+        if cls.held[0] != key:
+            cls.held = (None,)
+            t = words_b.value
+            cls.held = (key, _Slots(*grams_b.value), dict(zip(t["word"].to_pylist(), t["lp"].to_pylist())))
+        return cls.held[1:]
 
 
 _PART = "uid long, doc_id long, held boolean, n_tokens long, n_known long, base double, score double, word binary, code long, n long"
 
 
-def _scorer(grams: _Id, words_b, end_lp: float, end_known: int):
+def _scorer(grams_b, words_b, end_lp: float, end_known: int):
     schema = C.arrow(_PART)
 
     def run(batches):
-        slots, words = _Slots.of(grams), words_b.value
+        slots, words = _Local.of(grams_b, words_b)
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
@@ -424,16 +420,14 @@ def score(model: Model, docs: DataFrame, text: str = "text", doc_id: str = "doc_
     """
     spark = model.spark
     sc = spark.sparkContext
-    local = _most_frequent(model.scored, "n", LOCAL_GRAMS).select("code", "lp").toPandas()
-    grams = _Id(sc.broadcast((local["code"].to_numpy(np.int64).astype(np.uint64), local["lp"].to_numpy(float))),
-                id(model) ^ hash(str(sc.applicationId)) ^ int(model.n_tokens))
-    frequent = _most_frequent(model.words, "c", LOCAL_WORDS)
-    wl = frequent.select("word", model.base_lp(F.col("c")).alias("lp")).toPandas()
-    words_b = sc.broadcast(dict(zip(map(bytes, wl["word"]), wl["lp"])))
+    local = _most_frequent(model.scored, "n", LOCAL_GRAMS).select("code", "lp").toArrow()
+    grams_b = sc.broadcast((local["code"].to_numpy().astype(np.uint64), local["lp"].to_numpy()))
+    frequent = _most_frequent(model.words, "c", LOCAL_WORDS).select("word", model.base_lp(F.col("c")).alias("lp"))
+    words_b = sc.broadcast(frequent.toArrow())
     end_lp = math.log10((model.n_docs + .5) / (model.n_tokens + .5 * (model.n_types + 1)))
     d = docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("doc_id"),
                     (F.lit(False) if held is None else held).alias("held"))
-    parts = C.stored(d.mapInArrow(_scorer(grams, words_b, end_lp, int(model.n_docs > 0)), C.struct(_PART)))
+    parts = C.stored(d.mapInArrow(_scorer(grams_b, words_b, end_lp, int(model.n_docs > 0)), C.struct(_PART)))
 
     # words outside the local table: counted ones are known, the rest have c = 0
     rest = (parts.filter("word is not null").select("uid", "word", "n")

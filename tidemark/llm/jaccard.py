@@ -361,8 +361,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     rows = told.filter("n is not null").select("doc_id", "n", "sid", "bitmap")
     total = rows.count()
     heavy = (told.filter("heavy is not null").groupBy("heavy").agg(F.sum("here").alias("c"))
-             .filter((F.col("c") * HEAVY >= total) & (F.col("c") >= 8)).select("heavy").toPandas()["heavy"])
-    heavy_b = sc.broadcast(np.sort(heavy.to_numpy(np.int64).astype(np.uint64)))
+             .filter((F.col("c") * HEAVY >= total) & (F.col("c") >= 8)).select("heavy").toArrow()["heavy"])
+    heavy_b = sc.broadcast(np.sort(heavy.to_numpy().astype(np.uint64)))
 
     w = Window.partitionBy("h")
     pre = (d.select("text").mapInArrow(_prefixes(heavy_b), C.struct(_PREFIX)).repartition("h").dropDuplicates(["h", "sid"])
