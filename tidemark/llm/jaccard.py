@@ -37,7 +37,7 @@ from tidemark.llm import common as C
 
 WIDTH = 5
 NUM, DEN = 75, 100       # intersection >= NUM/DEN of the union
-HEAVY = 256
+HEAVY = 2048
 BLOCK = 1024             # classes a side in an exact tile
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 _SPACE = np.zeros(256, bool)
