@@ -29,6 +29,7 @@ Work at scale:
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -350,8 +351,7 @@ class _Local:
     held: tuple = (None,)
 
     @classmethod
-    def of(cls, grams_b, words_b):
-        key = (grams_b.id, words_b.id)
+    def of(cls, key, grams_b, words_b):
         if cls.held[0] != key:
             cls.held = (None,)
             t = words_b.value
@@ -362,11 +362,11 @@ class _Local:
 _PART = "uid long, doc_id long, held boolean, n_tokens long, n_known long, base double, score double, word binary, code long, n long"
 
 
-def _scorer(grams_b, words_b, end_lp: float, end_known: int):
+def _scorer(key, grams_b, words_b, end_lp: float, end_known: int):
     schema = C.arrow(_PART)
 
     def run(batches):
-        slots, words = _Local.of(grams_b, words_b)
+        slots, words = _Local.of(key, grams_b, words_b)
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
@@ -427,7 +427,7 @@ def score(model: Model, docs: DataFrame, text: str = "text", doc_id: str = "doc_
     end_lp = math.log10((model.n_docs + .5) / (model.n_tokens + .5 * (model.n_types + 1)))
     d = docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("doc_id"),
                     (F.lit(False) if held is None else held).alias("held"))
-    parts = C.stored(d.mapInArrow(_scorer(grams_b, words_b, end_lp, int(model.n_docs > 0)), C.struct(_PART)))
+    parts = C.stored(d.mapInArrow(_scorer(uuid.uuid4().hex, grams_b, words_b, end_lp, int(model.n_docs > 0)), C.struct(_PART)))
 
     # words outside the local table: counted ones are known, the rest have c = 0
     rest = (parts.filter("word is not null").select("uid", "word", "n")
