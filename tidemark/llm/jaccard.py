@@ -8,9 +8,11 @@ How the exact join stays small:
    is at that share in some task's documents, so each task reports only its
    own heavy ones; there are at most HEAVY * (mean set size) of them. They
    come last in the global order of shingles, all others first by hash.
-3. Prefix: sets that overlap enough share one of their first
-   n - ceil(0.75 n) + 1 shingles in that order. Classes are grouped by prefix
-   shingle; groups with the same members are one tile.
+3. Prefix: sets that overlap enough share one of the larger one's first
+   n - ceil(0.75 n) + 1 shingles in that order, which is also among the
+   smaller one's first n - ceil(6/7 n) + 1 (a partner is no smaller than it,
+   so more of it must be shared). Classes are grouped by prefix shingle;
+   groups with the same members are one tile.
 4. Size-banded tiles: band b holds sizes in [2^b, 2^(b+1)), and its lower
    third also visits the band below, so each pair whose sizes can match meets
    in a tile. Each class brings a hashed bitmap; the bits one set has beyond
@@ -151,7 +153,7 @@ def _describe(batches):
         yield heavies()
 
 
-_PREFIX = "h long, sid long, n long"
+_PREFIX = "h long, sid long, n long"      # n below 0: a place beyond the shorter prefix of the pair's smaller set
 
 
 def prefix(s: np.ndarray, heavy: np.ndarray) -> np.ndarray:
@@ -180,7 +182,9 @@ def _prefixes(heavy_b):
                         seen.add(sid)
                     hs.append(prefix(s, heavy))
                     ids.append(np.full(len(hs[-1]), sid, np.int64))
-                    ns.append(np.full(len(hs[-1]), len(s), np.int64))
+                    size = np.full(len(hs[-1]), len(s), np.int64)
+                    size[len(s) - need(len(s), len(s)) + 1:] *= -1
+                    ns.append(size)
                 if hs:
                     yield C.out_batch(schema, h=np.concatenate(hs).astype(np.int64), sid=np.concatenate(ids),
                                       n=np.concatenate(ns))
@@ -366,6 +370,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     w = Window.partitionBy("h")
     pre = (d.select("text").mapInArrow(_prefixes(heavy_b), C.struct(_PREFIX)).repartition("h").dropDuplicates(["h", "sid"])
+           # a pair meets where its smaller set has the shingle in its shorter prefix
+           .withColumn("least", F.min(F.when(F.col("n") > 0, F.col("n"))).over(w)).filter("abs(n) >= least")
+           .withColumn("n", F.abs("n"))
            .withColumn("c", F.count(F.lit(1)).over(w))
            .withColumn("x", F.expr("bit_xor(xxhash64(sid)) over (partition by h)"))
            .filter("c > 1"))
