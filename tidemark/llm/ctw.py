@@ -43,7 +43,7 @@ from tidemark.llm import common as C
 DEPTH = 5                 # context bytes
 LOCAL_GRAMS = 1 << 21     # most entries of the broadcast gram table
 LOCAL_WORDS = 1 << 18     # most entries of the broadcast word table
-CHUNK = 1 << 23           # bytes whose grams are combined before they leave a task
+CHUNK = 1 << 22           # bytes whose grams are combined before they leave a task
 END = 0xFF
 
 
@@ -85,7 +85,7 @@ def _count(batches):
                            n=list(words.values()))
 
     for batch in batches:
-        for _, _, data, off in C.blocks(batch, "text"):
+        for _, _, data, off in C.blocks(batch, "text", 1 << 20):
             codes, _ = _codes(data, off)
             held.append(codes)
             size += len(codes)
@@ -95,7 +95,7 @@ def _count(batches):
             if size >= CHUNK:
                 yield grams()
                 held, size = [], 0
-            if len(words) > 400_000:
+            if len(words) > 200_000:
                 yield counted()
                 words = Counter()
     if held:
@@ -371,7 +371,7 @@ def _scorer(key, grams_b, words_b, end_lp: float, end_known: int):
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             held = batch.column(batch.schema.get_field_index("held"))
-            for at, to, data, off in C.blocks(batch, "text"):
+            for at, to, data, off in C.blocks(batch, "text", 1 << 20):
                 n = to - at
                 codes, start = _codes(data, off)
                 lp = slots.find(codes)
