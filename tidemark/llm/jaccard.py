@@ -102,8 +102,8 @@ def set_id(s: np.ndarray) -> int:
 
 
 def _bits(n: int) -> int:
-    """Bitmap length of a set's own band: twice to four times its size."""
-    return max(64, 2 << max(1, n).bit_length())
+    """Bitmap length of a set's own band: one to two times its size."""
+    return max(64, 1 << max(1, n).bit_length())
 
 
 def bitmap(s: np.ndarray, bits: int) -> bytes:
@@ -253,7 +253,7 @@ def _filter_tiles(batches):
         if len(n) < 2:
             continue
         own = t.column("own").to_numpy(zero_copy_only=False)
-        bits = 4 << int(t.column("band")[0].as_py())
+        bits = 2 << int(t.column("band")[0].as_py())
         size = max(64, bits) // 8
         rows = []
         for x in t.column("bitmap").to_pylist():
