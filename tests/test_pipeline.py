@@ -34,3 +34,31 @@ def test_two_runs_then_gate(spark, tmp_dir):
     # a later clean run does not carry the quarantined rows into silver
     s5 = PL.run_pipeline(spark, first.limit(0), tmp_dir, "run-e", FX.AS_OF)
     assert s5.silver_rows == s2.silver_rows
+
+
+def _bad(df):
+    from pyspark.sql import functions as F
+    return df.withColumn("completion_pct", F.lit(500).cast(df.schema["completion_pct"].dataType))
+
+
+def test_nothing_is_lost_or_let_through(spark, tmp_dir):
+    """Corrected re-delivery after a failed gate, rows of an interrupted run, and an equal or earlier clock."""
+    from pyspark.sql import functions as F
+    clean = FX.bronze_clean(spark, SF).dropDuplicates(["event_id"])
+    ids = [r[0] for r in clean.select("event_id").orderBy("event_id").limit(6).collect()]
+    part = [clean.where(F.col("event_id") == i) for i in ids]
+    PL.run_pipeline(spark, part[0], tmp_dir, "r1", FX.AS_OF)
+
+    with pytest.raises(QU.QualityGateError):
+        PL.run_pipeline(spark, _bad(part[1]), tmp_dir, "r2", FX.AS_OF, threshold=100.0)
+    s3 = PL.run_pipeline(spark, part[1], tmp_dir, "r3", FX.AS_OF)     # corrected, same id, same clock
+    assert (s3.bronze_inserted, s3.bronze_skipped) == (1, 0)
+
+    # an interrupted run: bronze rows without an admission
+    (_bad(part[2]).withColumn("pipeline_run_id", F.lit("crashed"))
+     .withColumn("ingest_date", F.to_date("ingested_at"))
+     .write.mode("append").partitionBy("ingest_date").parquet(f"{tmp_dir}/bronze"))
+    PL.run_pipeline(spark, part[3], tmp_dir, "r4", FX.BATCH_CUT)      # an earlier clock
+    silver = {r[0] for r in spark.read.parquet(f"{tmp_dir}/silver").select("event_id").collect()}
+    admitted = {r[0] for r in SV.silver(clean.where(F.col("event_id").isin(ids)), FX.AS_OF).select("event_id").collect()}
+    assert silver == admitted & {ids[0], ids[1], ids[3]} and silver

@@ -1,12 +1,10 @@
-"""Join helpers shared by the operators: size-checked broadcast, and key
-look-ups of a small batch against a large stored table.
+"""Join helpers shared by the operators: key look-ups of a batch against a large stored table.
 
-A batch (a 15-minute ingest, an incremental silver run) is small next to the
-table it is checked against. Looking its keys up the other way round -
-broadcast the batch's keys after a row-count check, semi-join the stored key
-column against them (a map-side filter; the stored side is scanned, never
-shuffled), then anti-join the batch against the few keys found - keeps the
-large side in place. Above the row bound the same plan runs as shuffle joins.
+The batch's distinct keys are semi-joined with the stored key column, and the
+batch is anti-joined with the few keys found. Whether a side is broadcast is
+left to Spark's size estimates and adaptive execution
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``); nothing is counted while
+a query is planned.
 """
 
 from __future__ import annotations
@@ -14,32 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Key sets and dimensions at most this many rows may be broadcast: narrow
-# rows (an id and a few attributes) keep a broadcast of this size in the
-# tens of MB.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows (counted with
-    a bounded ``limit``), else ``df`` unchanged (shuffle join)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def stored_matches(stored: DataFrame, batch: DataFrame, key: str,
-                   extra: list[str] | None = None,
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   extra: list[str] | None = None) -> DataFrame:
     """Rows of ``stored`` (``key`` and ``extra`` columns only) whose key
-    occurs in ``batch``: the batch's distinct keys are broadcast when they
-    pass the size check, so the stored side is filtered where it is read."""
+    occurs in ``batch``. Where the batch's distinct keys are small, Spark
+    broadcasts them and the stored side is filtered where it is read."""
     keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
     return (stored.select(key, *(extra or [])).where(F.col(key).isNotNull())
-                  .join(maybe_broadcast(keys, max_rows), key, "left_semi"))
+                  .join(keys, key, "left_semi"))
 
 
-def absent_from(batch: DataFrame, stored: DataFrame, key: str,
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def absent_from(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``stored`` (insert-if-absent)."""
-    found = stored_matches(stored, batch, key, max_rows=max_rows)
+    found = stored_matches(stored, batch, key)
     return batch.join(found, key, "left_anti")

@@ -213,15 +213,13 @@ def save_model(model: PipelineModel, root: str, metrics: DataFrame,
 
 
 def load_model(spark: SparkSession, root: str, back: int = 0) -> PipelineModel | None:
-    """Current model (``back=1``: the backup), or None so callers fall back
-    to the heuristic scorer (S16)."""
+    """Current model (``back=1``: the backup), or None where no version was
+    saved, so callers fall back to the heuristic scorer (S16). A version that
+    is there but can't be read is an error, not a fallback."""
     path = TB.current_path(spark, f"{root.rstrip('/')}/models", back=back)
     if path is None:
         return None
-    try:
-        return PipelineModel.load(f"{path}/model")
-    except Exception:  # a missing or unreadable model means: use the fallback
-        return None
+    return PipelineModel.load(f"{path}/model")
 
 
 # --- M15 ----------------------------------------------------------------------------------------------

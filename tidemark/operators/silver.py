@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
-from .joins import maybe_broadcast
 
 
 # --- P1 / P2 ---------------------------------------------------------------------
@@ -128,7 +127,7 @@ def merge_by_key(target: DataFrame, updates: DataFrame, key: str = "event_id") -
 
     The updates' keys are broadcast after a size check, so the target side
     of the anti-join is filtered where it is read instead of shuffled."""
-    keys = maybe_broadcast(updates.select(key).distinct())
+    keys = updates.select(key).distinct()
     return target.join(keys, on=key, how="left_anti").unionByName(updates)
 
 

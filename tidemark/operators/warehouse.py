@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from ..functions import rules as R
 from . import gold as G
-from .joins import maybe_broadcast
 
 def date_key(d) -> F.Column:
     """yyyymmdd as an integer."""
@@ -58,7 +57,7 @@ def dim_content(silver: DataFrame, part: DataFrame | None = None) -> DataFrame:
     genres = part.select(F.col("p_partkey").cast(T.LongType()).alias("_n"),
                          F.lower(F.split("p_type", " ").getItem(0)).alias("genre"))
     return (base.withColumn("_n", _number("content_id"))
-                .join(maybe_broadcast(genres), "_n", "left").drop("_n")
+                .join(genres, "_n", "left").drop("_n")
                 .select("content_id", F.coalesce("genre", F.lit("unknown")).alias("genre")))
 
 
@@ -98,8 +97,8 @@ def enrich_events(silver: DataFrame, subscribers: DataFrame, content: DataFrame)
     attributes. Content is broadcast after a size check; subscribers grow
     with the business, so that join shuffles unless the check passes."""
     sub = subscribers.select("subscriber_id", "email", "signup_date")
-    return (silver.join(maybe_broadcast(content), "content_id", "left")
-                  .join(maybe_broadcast(sub), "subscriber_id", "left"))
+    return (silver.join(content, "content_id", "left")
+                  .join(sub, "subscriber_id", "left"))
 
 
 def write_scores(dim: DataFrame, scores: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from ..functions import rules as R
 from ..operators import gold as G
 from ..operators import ingest as IN
 from ..operators import quality as QU
+from ..session import cut_lineage
 from ..sources import tables as TB
 
 
@@ -36,7 +37,8 @@ class RunSummary:
 def paths(root: str) -> dict:
     r = root.rstrip("/")
     return {"bronze": f"{r}/bronze", "silver": f"{r}/silver", "gold": f"{r}/gold",
-            "runs": f"{r}/pipeline_runs", "quarantine": f"{r}/quarantine"}
+            "runs": f"{r}/pipeline_runs", "quarantine": f"{r}/quarantine",
+            "admitted": f"{r}/admitted_runs"}
 
 
 def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str | None = None,
@@ -46,7 +48,7 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str |
     """Ingest ``batch`` into bronze, gate, update silver and refresh gold.
 
     ``gate_on='batch'`` scores the incoming rows (a bad batch never lands in
-    silver); ``'table'`` scores all of bronze as the reference does. A
+    bronze or silver); ``'table'`` scores all of bronze as the reference does. A
     failing gate quarantines the batch, records the run and raises.
     """
     p = paths(root)
@@ -54,42 +56,39 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str |
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     summary = RunSummary(run_id)
 
-    existing = TB.read_if_exists(spark, p["bronze"])
+    # only rows of admitted runs count as stored: what a failed or interrupted
+    # run left behind neither hides a corrected delivery nor reaches silver
+    admitted = TB.read_if_exists(spark, p["admitted"])
+    bronze = TB.read_if_exists(spark, p["bronze"])
+    existing = None if bronze is None or admitted is None else _of_runs(bronze, admitted)
     res = IN.ingest_to_bronze(batch, existing, run_id, as_of)
-    # bronze is partitioned by ingest day: later runs prune old days
-    IN.append(res.rows.withColumn("ingest_date", F.to_date("ingested_at")), p["bronze"],
-              partition_by=["ingest_date"])
+    rows = cut_lineage(res.rows.withColumn("ingest_date", F.to_date("ingested_at")))
     summary.bronze_inserted, summary.bronze_skipped = res.inserted, res.skipped
 
-    bronze = spark.read.parquet(p["bronze"])
-    scope = (bronze.where((F.col("pipeline_run_id") == run_id)
-                          & (F.col("ingest_date") == F.to_date(R.as_of_literal(as_of))))
-             if gate_on == "batch" else bronze)
+    # the gate comes before bronze: a failing batch goes to quarantine only
+    scope = rows if gate_on == "batch" or existing is None else existing.unionByName(rows)
     report = QU.quality_report(scope, as_of, threshold).first()
     summary.quality_score = report["quality_score"]
     if report["total_rows"] and not report["passed"]:
-        scope.write.mode("append").parquet(p["quarantine"])
+        rows.write.mode("append").parquet(p["quarantine"])
         summary.status = "failed_quality_gate"
         _record(spark, summary, p["runs"], as_of)
         raise QU.QualityGateError(
             f"run {run_id}: quality score {summary.quality_score}% below {threshold}%")
 
-    # rows of runs that failed their gate stay in bronze (raw) and quarantine,
-    # but never reach silver; the list of such runs is small
+    # bronze is partitioned by ingest day: later runs prune old days
+    IN.append(rows, p["bronze"], partition_by=["ingest_date"])
+    R.literal_table(spark, [(run_id,)], "run_id string").coalesce(1).write.mode("append").parquet(p["admitted"])
+
+    # silver takes the runs that are admitted and not yet in it, by run id: equal
+    # or earlier clocks (backfills) lose nothing, and an interrupted run is redone
+    pending = spark.read.parquet(p["admitted"])
     hist = TB.read_if_exists(spark, p["runs"])
-    failed = [] if hist is None else [
-        r[0] for r in hist.where(F.col("status") == "failed_quality_gate").select("run_id").collect()]
-    if failed:
-        bronze = bronze.where(~F.col("pipeline_run_id").isin(failed))
-    # the last successful run's clock is the silver high-water mark: read it
-    # from the small run log instead of scanning silver for its maximum
-    kw = {}
-    if hist is not None and TB.read_if_exists(spark, p["silver"]) is not None:
-        last = hist.where(F.col("status") == "succeeded").agg(F.max("finished_at")).first()[0]
-        if last is not None:
-            kw["mark"] = last
-    TB.write_silver_incremental(spark, bronze, p["silver"], as_of,
-                                partition_cols=silver_partition_cols, **kw)
+    if hist is not None:
+        done = hist.where(F.col("status") == "succeeded").select("run_id")
+        pending = pending.join(done, "run_id", "left_anti")
+    TB.write_silver_incremental(spark, _of_runs(spark.read.parquet(p["bronze"]), pending), p["silver"], as_of,
+                                partition_cols=silver_partition_cols, mark=_dt.datetime(1970, 1, 1))
     silver = spark.read.parquet(p["silver"])
     summary.silver_rows = silver.count()
 
@@ -101,6 +100,12 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str |
     return summary
 
 
+def _of_runs(bronze: DataFrame, runs: DataFrame) -> DataFrame:
+    """Bronze rows of the listed runs (one short id a run)."""
+    ids = runs.select(F.col("run_id").alias("pipeline_run_id")).distinct()
+    return bronze.join(ids, "pipeline_run_id", "left_semi")
+
+
 def _record(spark: SparkSession, summary: RunSummary, path: str, as_of) -> None:
     row = asdict(summary)
     row["finished_at"] = as_of

@@ -85,14 +85,14 @@ def _bronze_batch_writer(sink: str, run_id: str, horizon_batches: int | None,
                          quarantine: str | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        held = None
         if "_corrupt_record" in batch.columns:
             # records that did not parse go to quarantine, by batch id (idempotent)
-            batch = batch.persist()
+            batch = held = batch.persist()
             bad = batch.where(F.col("_corrupt_record").isNotNull())
-            if quarantine is not None:
-                (bad.select("_corrupt_record").withColumn(BATCH_COL, F.lit(batch_id).cast(T.LongType()))
-                    .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                    .partitionBy(BATCH_COL).parquet(quarantine))
+            (bad.select("_corrupt_record").withColumn(BATCH_COL, F.lit(batch_id).cast(T.LongType()))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy(BATCH_COL).parquet(quarantine))
             batch = batch.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
         stored = TB.read_if_exists(spark, sink)
         # the batch's own earlier attempt is not "stored": replays stay exact
@@ -105,29 +105,31 @@ def _bronze_batch_writer(sink: str, run_id: str, horizon_batches: int | None,
         (rows.withColumn(BATCH_COL, F.lit(batch_id).cast(T.LongType()))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BATCH_COL).parquet(sink))
-        batch.unpersist()
+        if held is not None:
+            held.unpersist()
     return write
 
 
 def start_bronze_stream(events: DataFrame, sink: str, checkpoint: str, run_id: str = "stream",
-                        dedup_delay: str | None = "2 hours",
+                        dedup_delay: str | None = None,
                         trigger: str | None = None,
                         horizon_batches: int | None = None,
                         quarantine: str | None = None) -> StreamingQuery:
     """Idempotent bronze ingest from an event stream.
 
-    The watermark is on ``ingested_at`` (arrival time, never NULL): copies
-    of an event that arrive within ``dedup_delay`` are dropped in state, and
-    the anti-join in ``foreachBatch`` catches any later copy. Rows whose
-    ``ingested_at`` is already older than the watermark count as late and
-    are dropped by Spark; when replaying historical files out of order pass
-    ``dedup_delay=None`` to rely on the anti-join alone.
+    The anti-join in ``foreachBatch`` drops every copy of a stored event,
+    whatever the order of arrival, and loses nothing. ``dedup_delay`` also
+    drops copies in state, by a watermark on ``ingested_at``; Spark then drops
+    rows older than the watermark, so set it only where arrivals are in order.
+    A stream that may hold records that do not parse needs ``quarantine``.
 
     The anti-join reads the key column of every stored batch (exact for
     ever); ``horizon_batches`` limits it to the last N batches, which bounds
     the cost per micro-batch for sources whose re-deliveries are known to
     arrive within that horizon.
     """
+    if "_corrupt_record" in events.columns and quarantine is None:
+        raise ValueError("name a quarantine path: the stream may hold records that do not parse")
     deduped = events
     if dedup_delay:
         # watermarks need TIMESTAMP (not _NTZ); the cast only orders arrivals
