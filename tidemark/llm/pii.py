@@ -140,7 +140,7 @@ class Selector:
 
     def __init__(self, docs: list[list]):
         rows = [(d % 3 == 0, c) for d, doc in enumerate(docs) for c in doc]
-        x = np.array([c[4] for _, c in rows], float).reshape(len(rows), -1)
+        x = np.array([c[4] for _, c in rows], float).reshape(len(rows), len(rows[0][1][4]) if rows else 0)
         y = np.array([c[3] for _, c in rows], float)
         held = np.array([h for h, _ in rows], bool)
         kind = np.array([c[0] for _, c in rows])
