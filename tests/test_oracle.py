@@ -54,5 +54,5 @@ def test_every_query_has_oracle_or_is_listed():
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() == 553
+    assert df.count() == 605
     assert "churn_risk_label" in df.columns

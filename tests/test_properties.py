@@ -20,12 +20,12 @@ def test_fixture_counts(spark):
     b = FX.bronze(spark, SF)
     s = SV.silver(b, FX.AS_OF)
     g = G.gold(s, FX.AS_OF)
-    assert (b.count(), s.count(), g.count()) == (960, 875, 553)
-    assert FX.bronze_clean(spark, SF).count() == 922
+    assert (b.count(), s.count(), g.count()) == (1050, 957, 605)
+    assert FX.bronze_clean(spark, SF).count() == 1011
     labels = {r[0]: r[1] for r in g.groupBy("churn_risk_label").count().collect()}
-    assert labels == {"high": 539, "medium": 1, "low": 13}
+    assert labels == {"high": 591, "medium": 1, "low": 13}
     q = QU.quality_report(b, FX.AS_OF).first()
-    assert q.quality_score == 69.38 and not q.passed
+    assert q.quality_score == 66.76 and not q.passed
     assert QU.quality_report(FX.bronze_clean(spark, SF), FX.AS_OF).first().quality_score == 100.0
 
 
