@@ -47,6 +47,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _P = np.uint64(0x5851F42D4C957F2D)
+_MEET = np.uint64((1 << 48) - 1)
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
@@ -186,7 +187,8 @@ def _prefixes(heavy_b):
                     size[len(s) - need(len(s), len(s)) + 1:] *= -1
                     ns.append(size)
                 if hs:
-                    yield C.out_batch(schema, h=np.concatenate(hs).astype(np.int64), sid=np.concatenate(ids),
+                    # 48 bits decide who meets: a chance collision only adds a candidate
+                    yield C.out_batch(schema, h=(np.concatenate(hs) & _MEET).astype(np.int64), sid=np.concatenate(ids),
                                       n=np.concatenate(ns))
     return run
 
