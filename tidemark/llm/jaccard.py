@@ -377,7 +377,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
            .withColumn("n", F.abs("n"))
            .withColumn("c", F.count(F.lit(1)).over(w))
            .withColumn("x", F.expr("bit_xor(xxhash64(sid)) over (partition by h)"))
-           .filter("c > 1"))
+           # only rows with a partner of fitting size; the next size up or down is the best one there is
+           .withColumn("below", F.lag("n").over(w.orderBy("n"))).withColumn("above", F.lead("n").over(w.orderBy("n")))
+           .filter(f"{DEN} * below >= {NUM} * n or {DEN} * n >= {NUM} * above"))
     tiles = pre.groupBy("c", "x", "sid").agg(F.max("n").alias("n"))     # groups of the same members are one
     band = F.floor(F.log2("n")).cast("int")
     low = F.expr("3 * n < shiftleft(4L, b) and b > 0")
