@@ -270,6 +270,21 @@ def test_distance_is_mahalanobis_and_junk_goes(spark):
     assert (lab[lab.quality == 1].kept).mean() > .99 and (~lab[lab.quality == 0].kept).mean() > .95
 
 
+def test_long_clean_text_with_a_few_repeated_lines_stays(spark):
+    rng = np.random.default_rng(7)
+    words = [f"{a}{b}" for a in ("ta", "re", "mi", "so", "lan", "ver") for b in ("n", "do", "st", "ling", "ra", "e", "gu")]
+    line = lambda n: " ".join(rng.choice(words, n)) + "."
+    rows = [(k, "\n".join(line(12) for _ in range(rng.integers(6, 90))), "en", "web") for k in range(300)]
+    rows += [(300 + k, r[1] + "\n" + r[1].split("\n")[0], "en", "web") for k, r in enumerate(rows[:5])]
+    long = [f"{line(50)} {k}" for k in range(400)]
+    rows += [(900, "\n".join(long + long[:3]), "en", "web")]
+    copies = [line(2) for _ in range(8)]
+    rows += [(901, "\n".join([*copies * 4, *(line(12) for _ in range(8))]), "en", "web")]
+    got = {r.doc_id: r for r in outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), ["doc_id"]).collect()}
+    assert got[900].n_words > 20_000 and got[900].n_dup_lines == 3 and got[900].kept
+    assert all(got[300 + k].kept for k in range(5)) and not got[901].kept
+
+
 # ---------------------------------------------------------------- 8
 
 def test_cut_equals_all_labellings():

@@ -34,7 +34,7 @@ CUT = 45.0
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed; null text counts as none.
+    """Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed; null text counts as none.
 
     n_repeat_words counts the words inside some 3-word window that the text
     holds twice or more (each word once, all occurrences).
@@ -64,6 +64,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     return (d.withColumn("word_chars", F.aggregate("_w", F.lit(0).cast("long"), lambda a, x: a + F.length(x)))
             .withColumn("n_symbols", F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long"))
             .withColumn("_l", lines)
+            .withColumn("n_lines", F.size("_l").cast("long"))
             .withColumn("n_dup_lines", (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"))
             .withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
             .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
@@ -71,12 +72,17 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def transformed(d: DataFrame) -> DataFrame:
-    """The statistics on scales where ordinary texts are roughly normal."""
+    """The statistics on scales where ordinary texts are roughly normal.
+
+    All but the length are shares, so a long text with a few repeated lines is
+    as near as a short one; copies alone reach ``CUT`` where they are over half
+    of the lines that hold a word.
+    """
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     return (d.withColumn("z_words", F.log1p("n_words"))
             .withColumn("z_wordlen", F.log1p(F.col("word_chars") / n))
             .withColumn("z_symbols", F.log1p(20 * F.col("n_symbols") / n))
-            .withColumn("z_lines", F.log1p(F.col("n_dup_lines")))
+            .withColumn("z_lines", F.log1p(5 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))))
             .withColumn("z_repeats", F.asin(F.sqrt(F.least(F.lit(1.), F.col("n_repeat_words") / n)))))
 
 
