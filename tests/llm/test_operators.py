@@ -323,6 +323,21 @@ def test_links_equal_all_pairs(spark):
     assert all(got[i].n_links == 0 and got[i].component_id == i for i in (300, 301, 302))
 
 
+def test_rare_links_are_found_and_count_for_both(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    u = rng.normal(size=(300, 64))
+    u -= (u * x[:300]).sum(1)[:, None] * x[:300]
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    c = rng.uniform(.901, .99, (300, 1))
+    x[3000:3300] = c * x[:300] + np.sqrt(1 - c ** 2) * u
+    got = {r.vec_id: r for r in multi_index.near_duplicates(
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    found = [k for k in range(300) if got[3000 + k].component_id == k]
+    assert len(found) >= 299 and all(got[k].n_links == got[3000 + k].n_links == 1 for k in found)
+
+
 # ---------------------------------------------------------------- 10 and the pipeline
 
 def test_held_out_languages(spark):

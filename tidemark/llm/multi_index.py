@@ -4,8 +4,12 @@ Two codebooks, one for each half of the vectors, are learned on a bounded
 sample; a vector's cell is the pair of its nearest codewords. A query visits
 cells in the order of the summed half distances (the multi-sequence order)
 and compares itself exactly, in double precision, with all vectors listed
-there. How many cells are visited is measured: sampled queries are compared
-with all rows, and the number that reaches ``RECALL`` of their links is used.
+there. A link found from one side counts for both. How many cells are visited
+is measured: blocks of sampled queries are compared with all rows until
+``LINKS`` links (none of a vector with itself) are seen, and the number that
+finds ``RECALL`` of them from either side is used. Where all sampled queries
+have fewer links and are not all rows, the number must also find ``RECALL`` of
+made-up partners at a cosine of just ``COSINE``, the farthest a link can be.
 
 Equal vectors are one class with a count, so copies are compared once. Cells
 with many classes, or many visitors, are dealt into blocks; what leaves a
@@ -26,7 +30,8 @@ from tidemark.llm import common as C
 COSINE = 0.9
 WORDS = 32             # codewords a half: 1,024 cells
 SAMPLE = 20_000        # vectors that the codebooks are fitted on, at most
-QUERIES = 256          # sampled queries that the number of visited cells is measured with
+QUERIES = 256          # first block of sampled queries that the number of visited cells is measured with; each next one is larger
+LINKS = 1000           # links that the measure rests on, unless all sampled queries have fewer
 RECALL = 0.999
 LEAST, MOST = 8, 256   # visited cells: at least, and at most unless recall asks for more
 BLOCK = 2048
@@ -109,35 +114,68 @@ class Codebooks:
 _RANKS = "rank int, n long"
 
 
+def _either(books: Codebooks, x: np.ndarray, y: np.ndarray, i: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Rank of the pairs (x[i], y[k]): how late the cell of one comes in the order of the other, from the better side."""
+    rank = None
+    for one, at, other, of in ((x, i, y, k), (y, k, x, i)):
+        rows, row = np.unique(at, return_inverse=True)
+        order = books.order(one[rows], len(books.a) * len(books.b))
+        place = np.empty_like(order)
+        np.put_along_axis(place, order, np.arange(order.shape[1])[None].repeat(len(rows), 0), 1)
+        r = place[row, books.cell(other)[of]]
+        rank = r if rank is None else np.minimum(rank, r)
+    return rank
+
+
 def _ranks(books_b, queries_b):
-    """How late in a sampled query's order the cell of each linked vector comes."""
+    """The ranks of the links that sampled queries have with other classes."""
     schema = C.arrow(_RANKS)
 
     def run(batches):
-        books, q = books_b.value, queries_b.value
-        cells = len(books.a) * len(books.b)
-        order = books.order(q, cells)
-        place = np.empty_like(order)
-        np.put_along_axis(place, order, np.arange(order.shape[1])[None].repeat(len(q), 0), 1)
-        n = np.zeros(cells, np.int64)
+        books, (ids, q) = books_b.value, queries_b.value
+        n = np.zeros(len(books.a) * len(books.b), np.int64)
         for b in batches:
-            raw = [r for r, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if d == books.dim]
-            if not raw:
-                continue
-            x = np.frombuffer(b"".join(raw)).reshape(-1, books.dim)
-            cell = books.cell(x)
-            i, k = np.nonzero(q @ x.T >= COSINE)
-            np.add.at(n, place[i, cell[k]], 1)
+            for at in range(0, b.num_rows, 2048):
+                rep, vec, dim = (c.to_pylist() for c in b.slice(at, 2048).columns)
+                own = [j for j in range(len(rep)) if dim[j] == books.dim]
+                if not own:
+                    continue
+                x, mine = np.frombuffer(b"".join(vec[j] for j in own)).reshape(-1, books.dim), np.array(rep)[own]
+                for lo in range(0, len(q), 512):
+                    p = q[lo: lo + 512]
+                    i, k = np.nonzero((p @ x.T >= COSINE) & (ids[lo: lo + 512, None] != mine[None]))
+                    if len(i):
+                        n += np.bincount(_either(books, p, x, i, k), minlength=len(n))
         hit = np.flatnonzero(n)
         yield C.out_batch(schema, rank=hit.astype(np.int32), n=n[hit])
     return run
 
 
-_VISITS = "cell long, rep long, copies long, query boolean, vec binary"
+def _enough(ranks: np.ndarray) -> int:
+    """The least number of visited cells that finds RECALL of the links whose ranks are counted."""
+    have = np.cumsum(ranks)
+    return int(np.searchsorted(have, RECALL * have[-1])) + 1 if len(have) and have[-1] else 0
+
+
+def _made_up(books: Codebooks, x: np.ndarray, seed: int = 7) -> np.ndarray:
+    """Counted ranks of partners at COSINE of sampled vectors, each away from it in the direction of another."""
+    rng = np.random.default_rng(seed)
+    n = np.zeros(len(books.a) * len(books.b), np.int64)
+    for lo in range(0, min(len(x), 4096), 512):
+        q = x[lo: lo + 512]
+        u = x[rng.integers(0, len(x), len(q))] + 1e-3 * rng.normal(size=q.shape)
+        u -= (u * q).sum(1)[:, None] * q
+        u /= np.maximum(np.linalg.norm(u, axis=1), 1e-12)[:, None]
+        at = np.arange(len(q))
+        n += np.bincount(_either(books, q, COSINE * q + (1 - COSINE ** 2) ** .5 * u, at, at), minlength=len(n))
+    return n
+
+
+_VISITS = "cell long, rep long, copies long, query boolean, vec binary, home long, seen binary"
 
 
 def _visits(books_b, n: int):
-    """Each class once in the list of its cell, and as a query in the cells that it visits."""
+    """Each class once in the list of its cell, with the cells that it visits, and as a query in these, with its own cell."""
     schema = C.arrow(_VISITS)
 
     def run(batches):
@@ -151,8 +189,9 @@ def _visits(books_b, n: int):
                 seen = dict(zip(own, books.order(x, n).tolist())) if own else {}
                 rows = []
                 for k in range(len(rep)):
-                    for q, cells in ((False, home.get(k, [-dim[k]])), (True, seen.get(k, [-dim[k]]))):
-                        rows.extend((c, rep[k], copies[k], q, vec[k]) for c in cells)
+                    own_cell, visited = home.get(k, [-dim[k]]), seen.get(k, [-dim[k]])
+                    rows.extend((c, rep[k], copies[k], False, vec[k], None, np.array(visited, np.int64).tobytes()) for c in own_cell)
+                    rows.extend((c, rep[k], copies[k], True, vec[k], own_cell[0], None) for c in visited)
                 yield C.out_batch(schema, **dict(zip(schema.names, map(list, zip(*rows)))))
     return run
 
@@ -161,7 +200,11 @@ _LINKS = "rep long, n long, other long"
 
 
 def _compare(batches):
-    """Queries against the list of a tile: counted links (n) of each query, and stars (rep, other) that span them."""
+    """Queries against the list of a tile: counted links (n), and stars (rep, other) that span them.
+
+    A link counts for the query, and for the listed vector too where that one
+    doesn't visit the query's cell: there it will not find the link itself.
+    """
     schema = C.arrow(_LINKS)
     for t in C.sorted_groups(batches, "tile"):
         is_q = t.column("query").to_numpy(zero_copy_only=False)
@@ -172,12 +215,20 @@ def _compare(batches):
         q, v = np.flatnonzero(is_q), np.flatnonzero(~is_q)
         ids, label = np.unique(rep, return_inverse=True)
         group = np.arange(len(ids))
-        n = np.zeros(len(q), np.int64)
+        n, back = np.zeros(len(q), np.int64), np.zeros(len(v), np.int64)
+        home = t.column("home").to_numpy(zero_copy_only=False)[q].astype(np.int64)
+        seen = np.frombuffer(b"".join(t.column("seen").filter(pa.array(~is_q)).to_pylist()), np.int64).reshape(len(v), -1)
+        returns = None                      # whether a listed vector visits a query's cell; one shared list always does
+        if home[0] >= 0:
+            returns = np.zeros((len(v), max(home.max(), seen.max()) + 1), bool)
+            returns[np.arange(len(v))[:, None], seen] = True
         for lo in range(0, len(q), 512):
             part = q[lo: lo + 512]
             near = x[part] @ x[v].T >= COSINE
             near &= rep[part][:, None] != rep[v][None]
             n[lo: lo + 512] = near @ copies[v]
+            if returns is not None:
+                back += copies[part] @ (near & ~returns[:, home[lo: lo + 512]].T)
             for r in np.flatnonzero(near.any(1)):
                 both = np.unique(group[np.append(label[v[near[r]]], label[part[r]])])
                 if len(both) > 1:
@@ -186,6 +237,9 @@ def _compare(batches):
         away = np.flatnonzero(group != np.arange(len(ids)))
         if len(hit):
             yield C.out_batch(schema, rep=rep[q[hit]], n=n[hit], other=pa.nulls(len(hit), pa.int64()))
+        hit = np.flatnonzero(back)
+        if len(hit):
+            yield C.out_batch(schema, rep=rep[v[hit]], n=back[hit], other=pa.nulls(len(hit), pa.int64()))
         if len(away):
             yield C.out_batch(schema, rep=ids[away], n=pa.nulls(len(away), pa.int64()), other=ids[group[away]])
 
@@ -210,17 +264,22 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     else:
         dim, total = dims
         some = (classes.filter(F.col("dim") == dim).filter(F.pmod(F.xxhash64("class"), F.lit(max(1, total // SAMPLE))) == 0)
-                .orderBy(F.xxhash64("class", F.lit(1))).limit(SAMPLE).select("vec").collect())
+                .orderBy(F.xxhash64("class", F.lit(1))).limit(SAMPLE).select("vec", "rep").collect())
         sample = np.frombuffer(b"".join(bytes(r[0]) for r in some)).reshape(-1, dim)
-        books = sc.broadcast(Codebooks(sample))
-        asked = sc.broadcast(sample[:QUERIES])
-        found = classes.select("vec", "dim").mapInArrow(_ranks(books, asked), C.struct(_RANKS))
-        ranks = found.groupBy("rank").agg(F.sum("n").alias("n")).orderBy("rank").collect()   # a row a cell at most
-        need, have, visit = RECALL * sum(r["n"] for r in ranks), 0, LEAST
-        for r in ranks:
-            if have < need:
-                visit = max(visit, r["rank"] + 1)
-            have += r["n"]
+        reps = np.array([r[1] for r in some])
+        model = Codebooks(sample)
+        books = sc.broadcast(model)
+        ranks = np.zeros(len(model.a) * len(model.b), np.int64)
+        at, block = 0, QUERIES
+        while at < len(sample) and ranks.sum() < LINKS:
+            asked = sc.broadcast((reps[at: at + block], sample[at: at + block]))
+            found = classes.select("rep", "vec", "dim").mapInArrow(_ranks(books, asked), C.struct(_RANKS))
+            for r in found.groupBy("rank").agg(F.sum("n").alias("n")).collect():   # a row a cell at most
+                ranks[r["rank"]] += r["n"]
+            at, block = at + block, 4 * block
+        visit = max(LEAST, _enough(ranks))
+        if ranks.sum() < LINKS and len(sample) < total:
+            visit = max(visit, _enough(_made_up(model, sample)))
         visits = C.stored(classes.select("rep", "copies", "dim", "vec").mapInArrow(_visits(books, visit), C.struct(_VISITS)))
         size = (visits.groupBy("cell").agg(F.sum(F.when(F.col("query"), 0).otherwise(1)).alias("nv"),
                                            F.sum(F.when(F.col("query"), 1).otherwise(0)).alias("nq"))
@@ -234,7 +293,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
                                                lambda j: F.xxhash64("cell", j.cast("long"), F.pmod(salt, F.col("bv")))))
         links = C.stored(visits.join(size, "cell").withColumn("tile", F.explode(tiles))
                          .repartition("tile").sortWithinPartitions("tile")
-                         .select("tile", "rep", "copies", "query", "vec").mapInArrow(_compare, C.struct(_LINKS)))
+                         .select("tile", "rep", "copies", "query", "vec", "home", "seen").mapInArrow(_compare, C.struct(_LINKS)))
     counts = links.filter("n is not null").groupBy("rep").agg(F.sum("n").alias("found"))
     comps = C.components(links.filter("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))
     by_class = (classes.select("class", "rep", "copies").join(counts, "rep", "left")
