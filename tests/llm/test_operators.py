@@ -220,6 +220,16 @@ def test_shards_are_even_and_gapless(spark):
     assert len(got) == 200 and per.max() <= got["size"].sum() / 40 + got["size"].max()
 
 
+def test_rewritten_files_hold_every_row(spark, tmp_dir):
+    rows = [(None if k % 5 == 0 else k // 4, None if k == 7 else f"text {k} " * (k % 9), "x" * (k % 3), k) for k in range(200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, slot string, n long")
+    moves = resharding.rewrite(d, F.col("n") % 3, f"{tmp_dir}/out", shards=4)
+    got = spark.read.parquet(f"{tmp_dir}/out")
+    assert sorted((r.n, r.doc_id, r.text, r.slot) for r in got.collect()) == sorted((r[3], *r[:3]) for r in rows)
+    assert ({r[0]: r[1] for r in got.groupBy("shard").count().collect()}
+            == {r[0]: r[1] for r in moves.groupBy("shard").count().collect()} and moves.count() == 200)
+
+
 # ---------------------------------------------------------------- 6
 
 def test_base_spans_equal_plain_patterns(docs):

@@ -101,12 +101,16 @@ def reshard(docs: DataFrame, old_shard: Column, capacity=None, shards: int = SHA
     Null text has 16 bytes and the crc of no bytes; a null old shard counts
     as shard 0. Equal rows are interchangeable. Empty tables give no rows.
     """
+    return _reshard(docs, old_shard, capacity, shards, doc_id, text, F.monotonically_increasing_id()).drop("uid")
+
+
+def _reshard(docs: DataFrame, old_shard: Column, capacity, shards: int, doc_id: str, text: str, uid: Column) -> DataFrame:
+    """The rows of ``reshard`` with ``uid``, which is different for each row."""
     spark = docs.sparkSession
     t = F.coalesce(F.col(text), F.lit("")).cast("binary")
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (F.octet_length(t) + OVERHEAD).cast("long").alias("size"),
-                    F.crc32(t).alias("text_crc32"), F.coalesce(old_shard, F.lit(0)).cast("int").alias("old_shard"))
-    d = C.stored(d.withColumn("key", F.xxhash64("doc_id", "size", "text_crc32"))
-                 .withColumn("uid", F.monotonically_increasing_id()))
+                    F.crc32(t).alias("text_crc32"), F.coalesce(old_shard, F.lit(0)).cast("int").alias("old_shard"), uid.alias("uid"))
+    d = C.stored(d.withColumn("key", F.xxhash64("doc_id", "size", "text_crc32")))
     per = {r[0]: (int(r[1]), int(r[2])) for r in d.groupBy("old_shard").agg(F.sum("size"), F.count(F.lit(1))).collect()}
     total, rows = sum(x for x, _ in per.values()), sum(n for _, n in per.values())
     cap = (capacity or equal_capacity)(total, shards)
@@ -129,7 +133,7 @@ def reshard(docs: DataFrame, old_shard: Column, capacity=None, shards: int = SHA
     out = (placed.join(F.broadcast(m_df), "uid", "left")
            .withColumn("shard", F.coalesce("better", "to")).drop("better", "to", "at"))
     return C.running_total(out, ["shard"], C.hash_buckets("key", max(1, rows // shards)), ["key", "doc_id", "size", "uid"], F.lit(1), "slot").select(
-        "doc_id", "size", "text_crc32", "old_shard", "shard", "slot")
+        "doc_id", "size", "text_crc32", "old_shard", "shard", "slot", "uid")
 
 
 def _deal(placed: DataFrame, loose: list[tuple[int, int, int]], cap: list[int]) -> list[tuple[int, int]]:
@@ -147,12 +151,25 @@ def _deal(placed: DataFrame, loose: list[tuple[int, int, int]], cap: list[int])
     return out
 
 
-def rewrite(docs: DataFrame, moves: DataFrame, out: str, doc_id: str = "doc_id") -> None:
-    """Write the affected shards of ``docs`` (those that lose or gain a document) below ``out``, one folder a shard."""
-    hit = (moves.filter("shard != old_shard").select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct())
-    (docs.join(moves.select(doc_id, "shard", "slot"), doc_id).join(F.broadcast(hit), "shard", "left_semi")
+def rewrite(docs: DataFrame, old_shard: Column, out: str, capacity=None, shards: int = SHARDS, doc_id: str = "doc_id",
+            text: str = "text", folder: str = "shard") -> DataFrame:
+    """Write the affected shards (those that lose or gain a document) below ``out``, one folder a shard; gives the moves.
+
+    All columns of ``docs`` are written, each row of an affected shard once:
+    rows are known by an id stored with them, so null and repeated document ids
+    lose and add nothing. A shard that ends without documents has no folder.
+    """
+    if folder in docs.columns:
+        raise ValueError(f"docs has a column {folder!r}: name the folders' column otherwise")
+    d = C.stored(docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
+                             old_shard.alias("old_shard"), F.monotonically_increasing_id().alias("uid")))
+    moves = C.stored(_reshard(d, F.col("old_shard"), capacity, shards, "doc_id", "text", F.col("uid")))
+    hit = moves.filter("shard != old_shard").select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
+    rows = moves.join(F.broadcast(hit), "shard", "left_semi").select("uid", "shard", "slot")
+    (d.select("doc", "uid").join(rows, "uid")
      .repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(out))
+     .select(F.col("shard").alias(folder), "doc.*").write.partitionBy(folder).parquet(out))
+    return moves.drop("uid")
 
 
 def op5_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
