@@ -317,6 +317,17 @@ def test_article_is_extracted(spark):
     assert [(r.text, r.n_chars) for r in sorted(got)][:2] == [("", 0), ("", 0)]
 
 
+def test_scripts_and_missing_end_tags_do_not_swallow_the_article():
+    w = mincut.fit([])
+    text = "<article><h1>A</h1><p>First, one long line of it.</p>%s<p>Second line, as long as that.</p></article>"
+    whole = "A\n\nFirst, one long line of it.\n\nSecond line, as long as that."
+    for s in ("<script>for(var i=0;i<n;i++){f(i)}</script>", "<SCRIPT>if(a<b)x='</p'</Script >", "<style>a<b{}</style>",
+              "<noscript><img alt='a<b'></noscript>", "<textarea><i</textarea>", "<iframe><b <</iframe>", "<script>'<!--'</script>",
+              "<svg><g><svg></svg></g><title>t<u</title></svg>", "<div><svg><path d='M0'></div>", "<div><object data='x'><param name='y'></div>",
+              "<div><select><option>1<option>2</div>", "<ul><li><canvas></li></ul>", "<div><noscript><img></div>", "<span><svg></span>"):
+        assert mincut.extract(f"<html><body>{text % s}<script>i<n</script></body></html>", w) == whole, s
+
+
 # ---------------------------------------------------------------- 9
 
 def test_links_equal_all_pairs(spark):

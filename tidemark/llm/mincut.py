@@ -38,6 +38,8 @@ _TAG = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # fixed values: HTML's element kinds
 _RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "select", "title", "object", "canvas", "math"}
+# their bodies hold no markup: only their own end tag ends them
+_OPAQUE = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in ("script", "style", "title", "textarea", "noscript", "iframe")}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
            "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
@@ -70,12 +72,18 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """Non-empty blocks of a page in order, character references decoded, white space as one space."""
+    """Non-empty blocks of a page in order, character references decoded, white space as one space.
+
+    Scripts and their like are skipped up to their own end tag, whatever is
+    between; without one, a script or style takes the rest of the page, as in
+    browsers. Other skipped elements without an end tag end with their parent.
+    """
     out: list[Block] = []
     stack: list[tuple[str, tuple[bool, bool], int]] = []
     text: list[str] = []
     link, in_link, skip, serial = 0, 0, None, 0
-    depth_skip = 0
+    inner: list[str] = []      # open elements within the skipped one
+    endless: set[str] = set()  # without an end tag from some place on
 
     def flush():
         nonlocal link
@@ -87,7 +95,10 @@ def blocks(page: str) -> list[Block]:
             text.clear()
         link = 0
 
-    for m in _TOKEN.finditer(page):
+    at = 0
+    while at < len(page):
+        m = _TOKEN.match(page, at)
+        at = m.end()
         tok = m.group()
         if tok[0] != "<" or len(tok) == 1:
             if skip is None:
@@ -99,15 +110,34 @@ def blocks(page: str) -> list[Block]:
             continue
         name = _TAG.match(tok).group(1).lower()
         closing = tok[1] == "/"
+        if name in _OPAQUE and not closing and not tok.endswith("/>"):
+            end = None if name in endless else _OPAQUE[name].search(page, at)
+            if end:
+                at = end.start()
+                continue
+            endless.add(name)
+            if name in ("script", "style"):
+                break
         if skip is not None:
+            if not closing:
+                if name not in _VOID and not tok.endswith("/>"):
+                    inner.append(name)
+                continue
+            if name in inner:
+                while inner.pop() != name:
+                    pass
+                continue
             if name == skip:
-                depth_skip += -1 if closing else (0 if tok.endswith("/>") or skip in ("script", "style", "title", "textarea") else 1)
-                if depth_skip <= 0:
-                    skip = None
-            continue
+                skip = None
+                continue
+            if name not in _INLINE and all(name != x for x, _, _ in stack):
+                continue
+            skip = None        # the parent's end; it is handled as any other
+            inner.clear()
         if name in _RAW:
             if not closing and not tok.endswith("/>"):
-                skip, depth_skip = name, 1
+                skip = name
+                inner.clear()
             continue
         if name in _INLINE:
             if name == "a":
