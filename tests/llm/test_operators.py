@@ -367,6 +367,16 @@ def test_held_out_languages(spark):
     assert p.filter("lang = lang_pred").count() >= .97 * p.count()
 
 
+def test_every_language_is_learned_and_copies_take_one_place(spark, monkeypatch):
+    monkeypatch.setattr(language, "PER_LANG", 6)
+    seen = {}
+    monkeypatch.setattr(language, "Centroids", lambda idf, texts: seen.update(texts))
+    rows = [(f"der text nummer {k}", "de") for k in range(4) for _ in range(100)] + [(f"the text {k}", "en") for k in range(50)]
+    rows += [("one text of very many copies", "fr")] * 400 + [(f"un autre {k}", "fr") for k in range(5)] + [(None, "it"), ("x", None)]
+    language.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert {k: len(v) for k, v in seen.items()} == {"de": 4, "en": 6, "fr": 6} and all(len(set(v)) == len(v) for v in seen.values())
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as P
     d = spark.read.parquet(f"{SF}/documents.parquet")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import common as C
 
 DIMS = 1 << 12
-PER_LANG = 1500          # sampled training texts a language, about
+PER_LANG = 1500          # sampled training texts a language, at most
 CENTROIDS = 4            # a language
 REJECT = 0.005           # share of a centroid's own texts that lie beyond its distance
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -131,15 +131,21 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Centroids:
     for r in rows:
         df[r["feature"]], total = r["n"], r["t"]
     idf = np.log((total + 1) / (df + 1)) + 1
-    per = {r[0]: r[1] for r in d.groupBy("lang").count().collect()}           # a row a language
-    one_in = F.create_map(*[F.lit(x) for k, n in per.items() for x in (k, max(1, n // PER_LANG))]) if per else None
+    # copies are one text; the smallest hashes of each language, found among those below a bound that holds about twice as many
+    texts = C.stored(d.select("lang", F.xxhash64("text").alias("h")).distinct())
+    per = {r[0]: r[1] for r in texts.groupBy("lang").count().collect()}       # a row a language
     sample: dict[str, list[str]] = {}
     if per:
-        picked = d.filter(F.pmod(F.xxhash64("text"), one_in[F.col("lang")]) == 0)
-        for r in picked.select("lang", "text").toLocalIterator():
-            if len(sample.setdefault(r["lang"], [])) < 2 * PER_LANG:
-                sample[r["lang"]].append(r["text"])
-    return Centroids(idf, {k: v for k, v in sample.items() if v})
+        below = F.create_map(*[F.lit(x) for k, n in per.items() for x in (k, 2.0 * PER_LANG / n)])
+        few: dict[str, list[int]] = {}
+        for r in texts.filter(F.col("h") / F.lit(2.0 ** 64) + .5 <= below[F.col("lang")]).collect():   # about twice PER_LANG a language
+            few.setdefault(r["lang"], []).append(r["h"])
+        last = F.create_map(*[F.lit(x).cast(t) for k, h in few.items() for x, t in ((k, "string"), (sorted(h)[:PER_LANG][-1], "long"))])
+        picked = (d.withColumn("h", F.xxhash64("text")).filter(F.col("h") <= last[F.col("lang")])
+                  .groupBy("lang", "h").agg(F.first("text").alias("text")))
+        for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["h"])):   # PER_LANG a language at most
+            sample.setdefault(r["lang"], []).append(r["text"])
+    return Centroids(idf, sample)
 
 
 def predict(model: Centroids, docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
