@@ -250,6 +250,25 @@ def test_selection_adds_only_what_held_out_rows_support():
     assert pii.replaced("mail a@b.cd now", [("email", 5, 11)]) == "mail [EMAIL] now"
 
 
+def test_wide_forms_are_added_and_look_alikes_are_not(spark):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abdeilmnorstu"), rng.integers(2, 9)))
+    some = lambda k: " ".join(word() for _ in range(k))
+    num = lambda k: "".join(map(str, rng.integers(0, 10, k)))
+    rows = [(k, f"{some(9)} {word()}.{num(2)}@{word()}.{word()}.com {some(4)} +{rng.integers(1, 99)} ({num(3)}) {num(3)}-{num(4)} "
+                f"{some(5)} {num(16)} {some(3)}", "en", "a") for k in range(1500)]
+    ask = ["write to jane (at) host (dot) org today", "or bob.k [at] mail.host [dot] com please", "call (415) 555-2671 now",
+           "call 00 49 30 901820 now", "order #20418377 of", "built on 2024-05-17 again", "hash 9f3ab18822347765cd1 is", "paid $12345.99 in",
+           "come (at) noon. Then we go", "isbn 978-3-16-148410-0 is", "at 1234567890123456 then"]
+    d = spark.createDataFrame(rows + [(5000 + i, f"{some(5)} {t} {some(5)}", "en", "a") for i, t in enumerate(ask)], "doc_id long, text string, lang string, source string")
+    text = {r.doc_id: r.text for r in d.filter("doc_id >= 5000").collect()}
+    got = {r.doc_id: [(s.split(":")[0], text[r.doc_id][int(s.split(":")[1]): int(s.split(":")[2])]) for s in r.spans.split(",") if s]
+           for r in pii.find(d).filter("doc_id >= 5000").collect()}
+    assert [got[5000 + i] for i in range(4)] == [[("email", "jane (at) host (dot) org")], [("email", "bob.k [at] mail.host [dot] com")],
+                                                 [("phone", "(415) 555-2671")], [("phone", "00 49 30 901820")]]
+    assert not any(got[5000 + i] for i in range(4, len(ask)))
+
+
 def test_boosting_learns_an_interaction():
     x = np.random.default_rng(0).integers(0, 4, (800, 3)).astype(float)
     y = ((x[:, 0] > 1) & (x[:, 1] > 1)).astype(float)

@@ -3,13 +3,17 @@
 Generators with high recall propose spans, which may overlap: the base
 patterns, and wider ones (digit groups of any separator, numbers without a
 plus sign, dotted quads of any size, spelled-out addresses). A boosted-tree
-classifier scores the wider ones by format and context. It learns from weak
-labels: what the base rules accept is personal data, what a generator of the
-same kind proposes and they refuse is not. The tests behind those rules
-(check digits, ranges) are no features, so the model generalises by look and
-surroundings. Platt scaling on held-out rows and a precision target give each
-kind its threshold; a kind whose held-out rows can't show the precision adds
-nothing. Base spans always stay.
+classifier scores the wider ones by format and context. What it learns from
+has the wide form on both sides, so the base form tells nothing: positive are
+base spans rewritten in their place into wide forms (spelled-out addresses,
+national phone numbers, cards with other separators); negative are look-alikes
+put in such places (ids, prices, dates, hashes, prose with an "(at)") and
+proposals that other evidence speaks against (check digits, ranges, letters
+around a number, a base span of another kind). Other proposals are not learned
+from. Platt scaling on held-out rows and a precision target give each kind its
+threshold; a kind whose held-out rows can't show the precision adds nothing.
+So does "ip": a proposal that is no base span is out of range. Base spans
+always stay.
 
 The classifier is fitted on at most ``SAMPLE`` documents; all texts are then read
 once, without a shuffle.
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 import re
 
 import numpy as np
@@ -30,7 +35,7 @@ from tidemark.llm.boosting import Boosted, sigmoid
 
 KINDS = ["email", "ip", "card", "phone"]
 SAMPLE = 4000            # documents that the classifier is fitted on, at most
-PER_DOC = 40             # candidates of one sampled document that are learned from, at most
+PER_DOC = 40             # lessons of one sampled document that are learned from, at most
 PRECISION = 0.99         # what an added kind must reach on held-out candidates
 LEAST = 100              # held-out candidates above a threshold that can show it
 
@@ -92,19 +97,22 @@ def base_spans(t: str) -> list[tuple[str, int, int]]:
 
 
 def features(t: str, kind: str, a: int, b: int) -> list[float]:
-    """Format of the span and its surroundings; nothing that the base rules test as a whole."""
+    """Format of the span and its surroundings, and a card's check digits; nothing that only base forms have."""
     s = t[a:b]
     before, after = t[max(0, a - 24): a], t[b: b + 24]
     digits = sum(c.isdigit() for c in s)
     prev, nxt = before[-1:], after[:1]
     word = re.search(r"([^\W\d_]*)\W*$", before)
+    runs = [len(x) for x in re.findall(r"[0-9]+", s)] or [0]
+    tail = re.search(r"[^\W\d_]*$", s).group()
     return [KINDS.index(kind), len(s), digits, s.count(" "), s.count("-"), s.count("."), s.count("/"),
-            s.count("(") + s.count(")"), s.startswith("+"), ord(s[0]) - 48 if s[0].isdigit() else -1,
-            max((len(x) for x in re.findall(r"[0-9]+", s)), default=0),
-            min((len(x) for x in re.findall(r"[0-9]+", s)), default=0),
+            s.count("(") + s.count(")"), s.startswith("("), ord(s[0]) - 48 if s[0].isdigit() else -1,
+            max(runs), min(runs), len(runs), runs[0], runs[1] if len(runs) > 1 else 0, runs[-1], s.startswith("00"),
+            kind == "card" and luhn("".join(c for c in s if "0" <= c <= "9")),
+            ". " in s, len(tail), tail[:1].isupper(), "ot)" in s.lower() or "ot]" in s.lower() or "ot}" in s.lower(),
             prev.isalpha(), prev.isdigit(), prev.isspace(), prev in ("\"", "'", "=", ":", "#", "$"),
             nxt.isalpha(), nxt.isdigit(), nxt.isspace() or nxt == "", sum(c.isdigit() for c in before),
-            sum(c.isdigit() for c in after), len(word.group(1)) if word else 0, "@" in s, sum(c.isalpha() for c in s)]
+            sum(c.isdigit() for c in after), len(word.group(1)) if word else 0, sum(c.isalpha() for c in s)]
 
 
 def candidates(t: str) -> list[list]:
@@ -123,12 +131,107 @@ def candidates(t: str) -> list[list]:
     return out
 
 
+_MARKS = [("(at)", "(dot)"), ("[at]", "[dot]"), ("{at}", "{dot}"), ("(AT)", "(DOT)")]
+_DATE = re.compile(r"[12][0-9]{3}([-/.])[0-9]{2}\1[0-9]{2}(?![0-9])|[0-9]{2}([./-])[0-9]{2}\2[12][0-9]{3}(?![0-9])")
+
+
+def wide_form(kind: str, s: str, rng: random.Random) -> str:
+    """The base span ``s`` as people write it beside the base form; empty if there is no such form."""
+    if kind == "email":
+        (at, dot), gap = rng.choice(_MARKS), rng.choice(["", " "])
+        name, host = s.split("@", 1)
+        # addresses of one corpus may all look the same: with and without digits, points and subdomains
+        if rng.random() < .5:
+            name = re.sub(r"[^A-Za-z]", "", name) or name
+        if rng.random() < .5:
+            host = ".".join(x.strip("0123456789") or x for x in host.split(".")[-2:])
+        if rng.random() < .5:
+            host = host.rsplit(".", 1)[0] + "." + rng.choice(["com", "org", "net", "de", "info", "io"])
+        return f"{name}{gap}{at}{gap}" + host.replace(".", rng.choice([f"{gap}{dot}{gap}", f"{gap}{dot}{gap}", "."]))
+    d = "".join(c for c in s if "0" <= c <= "9")
+    if kind == "card":
+        sep = rng.choice("./")
+        return sep.join(d[i: i + 4] for i in range(0, len(d), 4))
+    if kind == "phone":
+        land = re.match(r"\+([0-9]{1,3})", s).group(1)
+        r = d[len(land):]
+        if len(r) < 7:          # no separator after the country
+            land, r = d[:2], d[2:]
+        cut = rng.choice([2, 3, 4])
+        a, b, c = (r[:3], r[3:6], r[6:]) if cut == 3 or len(r) < 9 else (r[:cut], r[cut: cut + 3], r[cut + 3:])
+        sep = rng.choice(" -.")
+        return rng.choice([f"({a}) {b}-{c}", f"({a}) {b} {c}", f"{a}{sep}{b}{sep}{c}", f"00 {land} {a} {b}{c}", f"00 {land} {a} {b} {c}",
+                           f"00{land} {a} {b}{c}", f"0{a} {b}{c}", f"0{a}/{b}{c}", f"(0{a}) {b}{c}", f"0{a}-{b}-{c}"]) if c else ""
+    return ""
+
+
+def look_alike(kind: str, text: str, rng: random.Random) -> str:
+    """Something that a wide generator of ``kind`` may propose and that is no personal data."""
+    n = lambda k: "".join(rng.choices("0123456789", k=k))
+    if kind == "email":
+        w = [x for x in re.findall(r"[A-Za-z]{2,12}", text[:2000])] or ["we"]
+        a, b, c, d = (rng.choice(w) for _ in range(4))
+        return rng.choice([f"{a} (at) {b}. {c.title()} {d}", f"{a} [at] {b}. {c.title()}", f"{a}(at){b}. {c}", f"{a} (at) {n(2)}.{n(2)} {b}"])
+    if kind == "card":
+        x = n(16)
+        if rng.random() < .3:
+            return f"{rng.randint(1950, 2030)}/{n(2)}/{n(2)}.{n(2)}.{n(2)}.{n(4)}"
+        return "" if luhn(x) else rng.choice([x, *(sep.join(x[i: i + 4] for i in range(0, 16, 4)) for sep in "./")])
+    y, m, d = rng.randint(1900, 2035), rng.randint(1, 12), rng.randint(1, 28)
+    return rng.choice([f"#{n(9)}", f"#{n(4)}-{n(6)}", f"id {n(rng.randint(8, 14))}", n(rng.randint(8, 18)), f"${n(5)}.{n(2)} {n(5)}.{n(2)}",
+                       f"{n(5)}.{n(2)}-{n(5)}.{n(2)}", f"{y}-{m:02}-{d:02}", f"{d:02}.{m:02}.{y}", f"{d:02}/{m:02}/{y}", f"{y}/{m:02}/{d:02}",
+                       f"{y}-{y + 9}", f"{d:02}.{m:02}.{y} - {d:02}.{m:02}.{y + 1}", f"978-{n(1)}-{n(2)}-{n(6)}-{n(1)}", f"10.{n(4)}/{n(6)}",
+                       f"{rng.randbytes(6).hex()}a{n(9)}b{rng.randbytes(5).hex()}", f"{n(8)}-{n(4)}-{n(4)}-{n(4)}-{n(12)}",
+                       f"{n(1)}.{n(3)}.{n(3)}.{n(3)}", f"{n(2)} {n(2)} {n(2)} {n(2)} {n(2)} {n(2)}", f"{n(6)}.{n(6)}"])
+
+
+def _against(t: str, kind: str, a: int, b: int, base: list[tuple[str, int, int]]) -> bool:
+    """Evidence other than the base form that a proposal is not of its kind."""
+    s = t[a:b]
+    d = "".join(c for c in s if "0" <= c <= "9")
+    if any(k != kind and a < y and x < b for k, x, y in base):
+        return True
+    if kind == "ip":
+        return True
+    if kind == "card":
+        return not luhn(d)
+    if kind == "phone":
+        return (len(d) > 15 or t[max(0, a - 1): a].isalpha() or t[b: b + 1].isalpha() or t[max(0, a - 1): a] in tuple("#$€£")
+                or bool(_DATE.fullmatch(s)))
+    return False
+
+
+def lessons(t: str) -> list[list]:
+    """[kind, start, end, personal data?, features] of wide forms: what the classifier learns from a text."""
+    rng = random.Random(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest())
+    cands = candidates(t)
+    base = [(c[0], c[1], c[2]) for c in cands if c[3]]
+    out = []
+    for kind, a, b in base:
+        for label, form in [(1, wide_form(kind, t[a:b], rng)) for _ in range(4)] + [
+                (0, look_alike(kind, t, rng)) for _ in range(4 if kind != "ip" else 0)]:
+            if not form:
+                continue
+            lead = t[max(0, a - 40): a]
+            near = lead + form + t[b: b + 40]
+            for c in candidates(near):
+                x, y = c[1] - len(lead), c[2] - len(lead)
+                if c[0] != kind or c[3] or y <= 0 or x >= len(form):
+                    continue
+                if not label or (x, y) == (0, len(form)):       # a part of a wide form is left out
+                    out.append([kind, a, b, label, c[4]])
+    # proposals as they are
+    out.extend([k, a, b, 0, f] for k, a, b, is_base, f in cands if not is_base and _against(t, k, a, b, base))
+    rng.shuffle(out)                                             # PER_DOC takes of all
+    return out
+
+
 def _sampled(batches):
     schema = C.arrow("key long, cands string")
     for batch in batches:
         for at, to, data, off in C.blocks(batch, "text"):
             raw = data.tobytes()
-            found = [(k, candidates(raw[off[i]: off[i + 1]].decode()))
+            found = [(k, lessons(raw[off[i]: off[i + 1]].decode()))
                      for i, k in zip(range(to - at), batch.column(0).slice(at, to - at).to_pylist())]
             found = [(k, json.dumps(c[:PER_DOC])) for k, c in found if c]
             if found:
@@ -165,7 +268,9 @@ class Selector:
             last = np.append(q[1:] != q[:-1], True) if len(q) else np.zeros(0, bool)
             ok = np.flatnonzero((right >= PRECISION) & last & (np.arange(1, len(q) + 1) >= LEAST))
             if len(ok):
-                self.thresholds[k] = float(max(0.5, q[ok[-1]]))
+                # halfway to the next candidate, which the held-out rows refuse
+                low = q[ok[-1] + 1] if ok[-1] + 1 < len(q) else 0.0
+                self.thresholds[k] = float(max(0.5, (q[ok[-1]] + low) / 2))
 
     def spans(self, cands: list[list]) -> list[tuple[str, int, int]]:
         """Base spans and the selected others, best first where they overlap; by kind, then start."""
