@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ctw, jaccard, language, mincut, mixing, multi_index, outliers, packing, pii, resharding
+from tidemark.llm import (ctw, jaccard, language, licences, mincut, mixing, multi_index, outliers, packing, pii, ranked,
+                          resharding, whitening)
 
 QUERIES = {
     "op1_ctw": ctw.op1_ctw,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_mincut_text": mincut.op8_mincut_text,
     "op9_multi_index": multi_index.op9_multi_index,
     "op10_centroids": language.op10_centroids,
+    "op11_length_strata": ranked.op11_length_strata,
+    "op12_licence_expressions": licences.op12_licence_expressions,
+    "op13_spectrum_slices": whitening.op13_spectrum_slices,
 }
 
 # all pairs that share a shingle, counted; then the smallest id reachable
@@ -44,4 +48,32 @@ SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, r.component_id
 FROM s JOIN (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
 """
 
-ORACLE_SQL = {"op4_jaccard_join": _JACCARD}
+# every document that shares a term with an item is scored; then the best 20
+_RANKED = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents WHERE text IS NOT NULL
+), s AS (SELECT count(*) AS docs, sum(len(ts))::BIGINT AS total FROM d WHERE len(ts) > 0
+), tf AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(ts) AS n, unnest(ts) AS term FROM d) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, s GROUP BY term, docs
+), q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark) GROUP BY ALL
+), scored AS (
+  SELECT item_id, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // total))))) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term), s GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE_SQL = {"op4_jaccard_join": _JACCARD, "op11_length_strata": _RANKED}
