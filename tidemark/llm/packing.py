@@ -39,7 +39,7 @@ SMALL = 0.45
 GROUPS = 128
 CELL = 1 << 17
 TOKENIZER = "byte_bpe_50k.tiktoken"      # the vocabulary of byte_bpe_50k.json as ranks
-CACHE = 1_000_000        # remembered words in a worker (some 200 MB)
+CACHE = 24 << 20         # bytes of remembered words in a worker, with what Python keeps for each
 
 
 # -------------------------------------------------------------- token ids
@@ -64,6 +64,7 @@ class Tokens(dict):
 
         with open(ranks_file, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.bytes_held = 0
         self.encode = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks,
                                         special_tokens={}).encode_ordinary
 
@@ -75,7 +76,10 @@ class Tokens(dict):
 
     def __missing__(self, word: str) -> bytes:
         ids = array("I", self.encode(" " + word)).tobytes()
-        if len(self) < CACHE:
+        # two objects of some 50 bytes and a place in the table
+        cost = 200 + 4 * len(word) + len(ids)
+        if self.bytes_held + cost <= CACHE:
+            self.bytes_held += cost
             self[word] = ids
         return ids
 
