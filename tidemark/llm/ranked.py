@@ -216,7 +216,7 @@ def _visit(hits: DataFrame, blocks: DataFrame, visits: DataFrame, asked: DataFra
     right = (visits.join(blocks, "m").join(asked, "row")
              .select("key", F.pmod(F.xxhash64("row"), F.lit(chunks)).alias("chunk"), "row", "least", "terms", "weights"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))
-    left = (hits.join(visits.select("m").distinct(), "m", "left_semi")
+    left = (hits.join(F.broadcast(visits.select("m").distinct()), "m", "left_semi")     # of the strata, see build
             .select(F.col("key").alias("block"), every.alias("part"), "term",
                     F.coalesce(_impact(), F.lit(0)).alias("impact"), "docs", "ids"))
     return (left.groupBy("block", "part").cogroup(right.groupBy("key", "chunk"))
