@@ -42,6 +42,13 @@ def as_of_date(as_of=None) -> Column:
     return F.to_date(as_of_literal(as_of))
 
 
+def day_of(as_of) -> _dt.date:
+    """Calendar day of a clock given as datetime, date or ISO text."""
+    if isinstance(as_of, _dt.datetime):
+        return as_of.date()
+    return as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of)[:10])
+
+
 def whole_days_between(later, earlier) -> Column:
     """Day part of ``later - earlier`` as an interval (A4g, F14, F15).
 

@@ -21,10 +21,19 @@ def window_seconds(window: str) -> int:
     return int(n) * _UNIT_SECONDS[unit.lower().rstrip("s")]
 
 
+def latency_micros(ingested="ingested_at", event="event_timestamp") -> F.Column:
+    """End-to-end latency in whole microseconds."""
+    return F.timestamp_diff("MICROSECOND", F.col(event), F.col(ingested))
+
+
+def latency_window(window: str = "15 minutes", ingested="ingested_at") -> F.Column:
+    """Start of the ingest window of a row."""
+    return F.window(F.col(ingested), window)["start"]
+
+
 def latency_seconds(ingested="ingested_at", event="event_timestamp") -> F.Column:
     """End-to-end latency in seconds (microsecond exact, no time zone)."""
-    return (F.timestamp_diff("MICROSECOND", F.col(event), F.col(ingested)).cast(T.DoubleType())
-            / F.lit(1e6))
+    return latency_micros(ingested, event).cast(T.DoubleType()) / F.lit(1e6)
 
 
 def daily_kpis(silver: DataFrame) -> DataFrame:

@@ -18,17 +18,20 @@ from ..operators import analysis as AN
 from ..operators import drift as DR
 from ..operators import features as FE
 from ..operators import gold as G
+from ..operators import gold_state as GS
 from ..operators import ingest as IN
 from ..operators import kpis as KP
 from ..operators import metrics as ME
 from ..operators import model as MO
 from ..operators import quality as QU
+from ..operators import quantiles as QN
 from ..operators import scoring as SC
 from ..operators import silver as SV
 from ..operators import warehouse as WH
 from ..sources import fixtures as FX
 from ..sources import tables as TB
 from ..streaming import streams as ST
+from . import pipeline as PL
 from .portable import portable
 
 AS_OF = FX.AS_OF
@@ -445,6 +448,63 @@ def stream_latency(spark, sf_dir):
     return portable(ST.read_latency_sink(spark, f"{root}/latency"))
 
 
+# --- incremental gold and whole runs -----------------------------------------------------------
+
+LATE_DAYS = ("2024-01-10", "2024-01-15")
+
+
+def _late_batches(bronze):
+    """(first, second) run: events of two days whose number ends in 3 come with
+    the second one, weeks late, beside those after the cut."""
+    late = (F.to_date("event_timestamp").isin(*[F.lit(d).cast("date") for d in LATE_DAYS])
+            & F.coalesce(F.col("event_id").cast("bigint") % 10 == 3, F.lit(False)))
+    late = F.coalesce(late, F.lit(False))
+    early = F.col("ingested_at") <= F.lit(str(FX.BATCH_CUT)).cast("timestamp_ntz")
+    return bronze.where(early & ~late), bronze.where(~early | late)
+
+
+def gold_incremental(spark, sf_dir):
+    """Two silver runs, the second with late rows; gold is merged from
+    daily partials of which only the days that run touched are computed again."""
+    root = TB.scratch_path(spark, "gold-incremental")
+    first, second = _late_batches(FX.bronze(spark, sf_dir))
+    silver, state = f"{root}/silver", f"{root}/state"
+    TB.write_silver_incremental(spark, first, silver, FX.BATCH_CUT)
+    GS.write_state(spark, spark.read.parquet(silver), state)
+    done = TB.write_silver_incremental(spark, second, silver, AS_OF, mark=None)
+    GS.write_state(spark, spark.read.parquet(silver), state, done["partitions"])
+    return portable(GS.gold_from_state(spark.read.parquet(state), AS_OF))
+
+
+def gold_state_stats(spark, sf_dir):
+    """A4e / A4f from the daily partials: exact spread and last watch."""
+    act = GS.activity_from_state(GS.daily_partials(_silver(spark, sf_dir)), AS_OF)
+    return portable(act.select(*G.GRAIN,
+                               R.round_half_up("completion_rate_stddev", 6).alias("completion_rate_stddev"),
+                               "last_watch_at"))
+
+
+def pipeline_run(spark, sf_dir):
+    """Four whole runs over one table root, as the run history tells them:
+    a load, an incremental load, a batch that fails the gate, the same rows again."""
+    root = TB.scratch_path(spark, "pipeline-run")
+    bronze, clean = FX.bronze(spark, sf_dir), FX.bronze_clean(spark, sf_dir)
+    first, second = _late_batches(clean)
+    PL.run_pipeline(spark, first, root, "run-a", FX.BATCH_CUT)
+    PL.run_pipeline(spark, second, root, "run-b", AS_OF)
+    try:
+        PL.run_pipeline(spark, bronze, root, "run-c", AS_OF)
+    except QU.QualityGateError:
+        pass                                  # the history has it
+    PL.run_pipeline(spark, second, root, "run-d", AS_OF)
+    return portable(PL.run_history(spark, root).drop("finished_at"))
+
+
+def kpi_latency_exact(spark, sf_dir):
+    """Exact p50 and p99 latency per ingest window."""
+    return portable(QN.latency_quantiles(FX.bronze(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "silver_events": silver_events,
     "gold_features": gold_features,
@@ -509,4 +569,8 @@ QUERIES: dict[str, Query] = {
     "silver_enriched": silver_enriched,
     "gold_dag_table": gold_dag_table,
     "sorted_codes": sorted_codes,
+    "gold_incremental": gold_incremental,
+    "gold_state_stats": gold_state_stats,
+    "pipeline_run": pipeline_run,
+    "kpi_latency_exact": kpi_latency_exact,
 }

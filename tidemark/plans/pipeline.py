@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import rules as R
-from ..operators import gold as G
+from ..operators import gold_state as GS
 from ..operators import ingest as IN
 from ..operators import quality as QU
 from ..session import cut_lineage
@@ -38,7 +38,8 @@ def paths(root: str) -> dict:
     r = root.rstrip("/")
     return {"bronze": f"{r}/bronze", "silver": f"{r}/silver", "gold": f"{r}/gold",
             "runs": f"{r}/pipeline_runs", "quarantine": f"{r}/quarantine",
-            "admitted": f"{r}/admitted_runs"}
+            "admitted": f"{r}/admitted_runs", "gold_state": f"{r}/gold_state",
+            "gold_pending": f"{r}/gold_pending"}
 
 
 def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str | None = None,
@@ -76,23 +77,36 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str |
         raise QU.QualityGateError(
             f"run {run_id}: quality score {summary.quality_score}% below {threshold}%")
 
-    # bronze is partitioned by ingest day: later runs prune old days
+    # bronze is partitioned by ingest day; the days a run landed in (one, as its
+    # rows are stamped with the clock) are kept with its admission
+    landed = [r[0] for r in rows.select("ingest_date").distinct().collect()] or [R.day_of(as_of)]
     IN.append(rows, p["bronze"], partition_by=["ingest_date"])
-    R.literal_table(spark, [(run_id,)], "run_id string").coalesce(1).write.mode("append").parquet(p["admitted"])
+    R.literal_table(spark, [(run_id, d) for d in landed], ADMITTED).coalesce(1).write.mode("append").parquet(p["admitted"])
 
     # silver takes the runs that are admitted and not yet in it, by run id: equal
     # or earlier clocks (backfills) lose nothing, and an interrupted run is redone
-    pending = spark.read.parquet(p["admitted"])
     hist = TB.read_if_exists(spark, p["runs"])
-    if hist is not None:
-        done = hist.where(F.col("status") == "succeeded").select("run_id")
-        pending = pending.join(done, "run_id", "left_anti")
-    TB.write_silver_incremental(spark, _of_runs(spark.read.parquet(p["bronze"]), pending), p["silver"], as_of,
-                                partition_cols=silver_partition_cols, mark=_dt.datetime(1970, 1, 1))
+    pending = _unfinished(spark.read.schema(ADMITTED).parquet(p["admitted"]), hist)
+
+    def note(partitions: list[tuple]) -> None:
+        """The days about to change, kept until a run succeeds: an interrupted run leaves no day stale."""
+        R.literal_table(spark, [(run_id, d) for d in sorted({t[0] for t in partitions})], PENDING) \
+            .coalesce(1).write.mode("append").parquet(p["gold_pending"])
+
+    done = TB.write_silver_incremental(spark, pending_rows(spark.read.parquet(p["bronze"]), pending), p["silver"], as_of,
+                                       partition_cols=silver_partition_cols, mark=_dt.datetime(1970, 1, 1),
+                                       before_swap=note)
     silver = spark.read.parquet(p["silver"])
     summary.silver_rows = silver.count()
 
-    gold = G.gold(silver, as_of)
+    # gold merges stored daily partials; only the touched days are computed again
+    days = None
+    if done["partitions"] is not None and GS.read_state(spark, p["gold_state"]) is not None:
+        noted = TB.read_if_exists(spark, p["gold_pending"])
+        days = [] if noted is None else sorted(
+            r[0] for r in _unfinished(noted, hist).select("event_date").distinct().collect())
+    GS.write_state(spark, silver, p["gold_state"], days)
+    gold = GS.gold_from_state(spark.read.parquet(p["gold_state"]), as_of)
     TB.write_version(gold, p["gold"], note=run_id)
     summary.gold_rows = TB.read_current(spark, p["gold"]).count()
     summary.status = "succeeded"
@@ -100,6 +114,27 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str |
     return summary
 
 
+ADMITTED = "run_id string, ingest_date date"
+PENDING = "run_id string, event_date date"
+
+
+def _unfinished(runs: DataFrame, history: DataFrame | None) -> DataFrame:
+    """Rows of runs that are not recorded as succeeded."""
+    if history is None:
+        return runs
+    done = history.where(F.col("status") == "succeeded").select("run_id")
+    return runs.join(done, "run_id", "left_anti")
+
+
+def pending_rows(bronze: DataFrame, pending: DataFrame) -> DataFrame:
+    """Bronze rows of the pending runs. Their ingest days (a few) are literals,
+    so other days are pruned; a run admitted without its day is looked for in all."""
+    days = [r[0] for r in pending.select("ingest_date").distinct().collect()]
+    if None not in days:
+        bronze = bronze.where(F.col("ingest_date").isin(days) if days else F.lit(False))
+    return _of_runs(bronze, pending)
+
+
 def _of_runs(bronze: DataFrame, runs: DataFrame) -> DataFrame:
     """Bronze rows of the listed runs (one short id a run)."""
     ids = runs.select(F.col("run_id").alias("pipeline_run_id")).distinct()

@@ -65,7 +65,8 @@ def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
                              as_of=None, check_moved_keys: bool = True,
                              moved_keys_lookback_days: int | None = None,
                              mark=_UNSET,
-                             partition_cols: tuple[str, ...] = ("event_date",)) -> dict:
+                             partition_cols: tuple[str, ...] = ("event_date",),
+                             before_swap=None) -> dict:
     """One incremental silver run against the table at ``path``.
 
     Reads only bronze rows newer than the table's last transform, rewrites
@@ -79,6 +80,8 @@ def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
     looks for earlier copies of the batch's keys in other partitions; it
     reads the key and partition columns of the table, all partitions by
     default, or only days within ``moved_keys_lookback_days`` of the batch's.
+    ``before_swap`` is called with the touched partitions before any of them
+    changes, so that what depends on them can be noted first.
     """
     cols = list(partition_cols)
     target = read_if_exists(spark, path)
@@ -108,6 +111,8 @@ def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
     # one value per touched partition: a small, bounded list; as literals
     # they prune partitions at the scan
     touched = [tuple(r) for r in parts.distinct().collect()]
+    if before_swap is not None:
+        before_swap(touched)
     affected = target.where(_partition_filter(cols, touched))
     merged = SV.merge_by_key(SV.sync_columns(affected, updates), updates)
     merged = cut_lineage(merged)
