@@ -43,22 +43,18 @@ def histogram(df: DataFrame, value: str = "total_sessions_30d", label: str = "ch
     """Counts per (class, bin) over ``bins`` equal-width bins of one shared
     [min, max] range (A13). The top edge falls in the last bin.
 
-    One pass: rows are first counted per (class, value); the range comes
-    from that table, which has one row per distinct value of a class (a
-    bounded domain), so the global min/max over it is cheap.
+    Fractions keep their value (a rate spreads over all bins). The range is a
+    one-row aggregate; rows are counted per (class, bin) with partial sums.
     """
-    x = F.col(value).cast(T.LongType())
-    counts = (df.where(F.col(value).isNotNull())
-                .groupBy(_class_name(label).alias("churn_status"), x.alias("_x"))
-                .agg(F.count(F.lit(1)).alias("_n")))
-    everything = Window.partitionBy()
-    lo, hi = F.min("_x").over(everything), F.max("_x").over(everything)
-    span = hi - lo
-    step = F.floor((F.col("_x") - lo).cast(T.DoubleType()) * F.lit(float(bins))
-                   / span.cast(T.DoubleType()))
+    x = F.col(value).cast(T.DoubleType())
+    rows = df.where(F.col(value).isNotNull()).select(_class_name(label).alias("churn_status"), x.alias("_x"))
+    ends = rows.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi")).alias("_e"))
+    binned = rows.withColumn("_e", ends.scalar())
+    lo, span = F.col("_e.lo"), F.col("_e.hi") - F.col("_e.lo")
+    step = F.floor((F.col("_x") - lo) * F.lit(float(bins)) / span)
     b = F.when(span > 0, F.least(step + 1, F.lit(bins))).otherwise(F.lit(1))
-    return (counts.select("churn_status", b.cast(T.LongType()).alias("bin"), "_n")
-                  .groupBy("churn_status", "bin").agg(F.sum("_n").alias("subscribers")))
+    return (binned.select("churn_status", b.cast(T.LongType()).alias("bin"))
+                  .groupBy("churn_status", "bin").agg(F.count(F.lit(1)).alias("subscribers")))
 
 
 def top_k(df: DataFrame, value: str, k: int, ascending_display: bool = False,

@@ -105,6 +105,26 @@ def roc_points(df: DataFrame, label: str = "label", prob: str = "probability") -
         R.round_half_up(_safe_div(F.col("cum_pos"), F.col("total_pos")), 6).alias("tpr"))
 
 
+def roc_curve_min(df: DataFrame, label: str = "label", prob: str = "probability") -> DataFrame:
+    """The ROC curve without points on a straight line between their neighbours.
+
+    A distinct score adds (neg, pos) to the point before it, so its point lies
+    on a line exactly where the next score adds the same; first and last
+    points stay. Starts at (0, 0) with a NULL threshold.
+    """
+    rt = running_totals(score_counts(df, label, prob), "score", ["pos", "neg"], descending=True,
+                        neighbours=["pos", "neg"])
+    first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+    bend = (F.col("next_pos").isNull() | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg")))
+    points = rt.where(first | bend).select(
+        F.col("score").alias("threshold"),
+        R.round_half_up(_safe_div(F.col("cum_neg"), F.col("total_neg")), 6).alias("fpr"),
+        R.round_half_up(_safe_div(F.col("cum_pos"), F.col("total_pos")), 6).alias("tpr"))
+    start = df.sparkSession.range(1).select(F.lit(None).cast(T.DoubleType()).alias("threshold"),
+                                            F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return start.unionByName(points)
+
+
 def evaluation_record(df: DataFrame, label: str = "label", prob: str = "probability",
                       train_size: int | None = None, model_version: str = "1.0.0",
                       trained_at=None) -> DataFrame:

@@ -54,7 +54,8 @@ def stratified_split(df: DataFrame, label: str = "churned_30d", key: str = "subs
     (label, hash), so no class is ever sorted in a single task.
     """
     shares = shares or {"train": 0.8, "test": 0.2}
-    h = F.xxhash64(F.col(key).cast(T.StringType()), F.lit(seed))
+    # md5 as text orders alike in every engine, so the split can be checked in SQL
+    h = F.md5(F.concat(F.coalesce(F.col(key).cast(T.StringType()), F.lit("")), F.lit(f"|{seed}")))
     keyed = df.withColumn("_h", F.struct(F.col(label).alias("l"), h.alias("h"),
                                          F.col(key).cast(T.StringType()).alias("k")))
     ranked = running_totals(keyed.withColumn("_one", F.lit(1)), "_h", ["_one"],

@@ -1,7 +1,7 @@
 """Exact order statistics of many groups at once, without sorting a group.
 
-Every (group, quantile) keeps the range of values that holds its rank. A
-round cuts all ranges into equal parts, counts the values of each part in one
+Every (group, quantile) keeps the range of values that holds its rank;
+quantiles of a group that share a range share its counts. A round cuts all ranges into equal parts, counts the values of each part in one
 grouped aggregation (combined before the shuffle) and keeps the part that the
 rank falls into. Ranges shrink by ``PARTS`` a round, so whole numbers of 64
 bits end after seven rounds at most, whatever the size of a group; a group
@@ -41,21 +41,23 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, shares: dict[s
         for name, s in shares.items()])
     ranges = cut_lineage(bounds.withColumn("_r", F.explode(ranks))
                          .select(F.col("_g").alias("_h"), "n", "lo", "hi", "_r.q", "_r.rank"))
-    key = ["_h", "q"]
-    before = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    part_of = ["_h", "lo", "hi"]
+    before = Window.partitionBy(*part_of).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     big = "decimal(20,0)"              # the width of a range may not fit 64 bits
+    width = F.expr(f"(cast(hi as {big}) - cast(lo as {big}) + {PARTS}) div {PARTS}")
     while True:
-        width = F.expr(f"(cast(hi as {big}) - cast(lo as {big}) + {PARTS}) div {PARTS}")
         open_ = cut_lineage(ranges.where("hi > lo").withColumn("width", width))
         if not open_.limit(1).count():
             break
+        # ranges of a group are the same or apart, so a value is in one at most
+        listed = (open_.groupBy("_h").agg(F.collect_set(F.struct("lo", "hi", "width")).alias("_in")))
+        held = rows.join(listed, F.col("_g").eqNullSafe(F.col("_h"))).select(
+            "_h", "_v", F.explode(F.filter("_in", lambda r: v.between(r["lo"], r["hi"]))).alias("_r")).select("_h", "_v", "_r.*")
         part = F.expr(f"(cast(_v as {big}) - cast(lo as {big})) div cast(width as {big})")
-        counts = (rows.join(open_.select("_h", "q", "lo", "hi", "width"), F.col("_g").eqNullSafe(F.col("_h")))
-                  .where(v.between(F.col("lo"), F.col("hi")))
-                  .groupBy(*key, part.alias("part")).agg(F.count(F.lit(1)).alias("c")))
+        counts = held.groupBy(*part_of, part.alias("part")).agg(F.count(F.lit(1)).alias("c"))
         below = (counts.withColumn("below", F.coalesce(F.sum("c").over(before), F.lit(0)))
-                 .withColumnsRenamed({"_h": "_h2", "q": "q2"}))
-        found = (below.join(open_, F.col("_h2").eqNullSafe(F.col("_h")) & (F.col("q2") == F.col("q")))
+                 .withColumnsRenamed({"_h": "_h2", "lo": "lo2", "hi": "hi2"}))
+        found = (below.join(open_, F.col("_h2").eqNullSafe(F.col("_h")) & (F.col("lo2") == F.col("lo")) & (F.col("hi2") == F.col("hi")))
                  .where((F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("c"))))
         start = f"cast(lo as {big}) + cast(part as {big}) * cast(width as {big})"
         closer = found.select("_h", "n", F.expr(f"cast({start} as long)").alias("lo"),

@@ -22,11 +22,14 @@ from ..session import cut_lineage
 
 def running_totals(df: DataFrame, order_col: str, value_cols: list[str],
                    descending: bool = False, ranges: int | None = None,
-                   prefix: str = "cum_", with_grand_total: bool = True) -> DataFrame:
+                   prefix: str = "cum_", with_grand_total: bool = True,
+                   neighbours: list[str] | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over all rows up to and including this
     one in ``order_col`` order, and ``total_<c>`` (grand total) per column.
 
     ``order_col`` should be unique (aggregate ties first) for a strict order.
+    ``neighbours``: columns of which the next row's value is added as
+    ``next_<c>`` (NULL in the last row), also across the borders of ranges.
     """
     spark = df.sparkSession
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -35,14 +38,20 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str],
 
     local_w = Window.partitionBy("_rng").orderBy(key).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in value_cols])
+    follow = Window.partitionBy("_rng").orderBy(key)
+    local = ranged.select("*", *[F.lead(c).over(follow).alias(f"_lead_{c}") for c in neighbours or []], *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in value_cols])
 
-    totals = ranged.groupBy("_rng").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
+    near = neighbours or []
+    first_of = (F.min_by if not descending else F.max_by)
+    totals = ranged.groupBy("_rng").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols],
+                                        *[first_of(c, order_col).alias(f"_first_{c}") for c in near])
     # one row per range: a bounded table, so the global window here is cheap
     before = Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     offsets = totals.select(
         "_rng",
+        # the next range that holds rows: totals have no row for an empty one
+        *[F.lead(f"_first_{c}").over(Window.orderBy("_rng")).alias(f"_then_{c}") for c in near],
         *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
           for c in value_cols],
         *([F.sum(f"_tot_{c}").over(everything).alias(f"total_{c}") for c in value_cols]
@@ -51,6 +60,8 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str],
     out = local.join(F.broadcast(offsets), "_rng")
     cols = [c for c in df.columns]
     cols += [(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"{prefix}{c}") for c in value_cols]
+    # values of ``neighbours`` are not NULL, so a NULL lead is a range's last row
+    cols += [F.coalesce(f"_lead_{c}", f"_then_{c}").alias(f"next_{c}") for c in near]
     if with_grand_total:
         cols += [F.col(f"total_{c}") for c in value_cols]
     return out.select(*cols)

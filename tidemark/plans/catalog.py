@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -23,6 +24,7 @@ from ..operators import ingest as IN
 from ..operators import kpis as KP
 from ..operators import metrics as ME
 from ..operators import model as MO
+from ..operators import newton as NT
 from ..operators import quality as QU
 from ..operators import quantiles as QN
 from ..operators import scoring as SC
@@ -367,16 +369,35 @@ def stream_bronze(spark, sf_dir):
 
 def stream_silver(spark, sf_dir):
     root = TB.scratch_path(spark, "stream-silver")
-    src = ST.land_by_day(FX.bronze_clean(spark, sf_dir), f"{root}/landing")
-    b = ST.start_bronze_stream(ST.read_events_stream(spark, src), f"{root}/bronze",
-                               f"{root}/_ckpt_b", run_id="stream-1")
-    b.awaitTermination()
+    _bronze_stream(spark, sf_dir, root)
     s = ST.start_silver_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine",
-                               f"{root}/_ckpt_s", as_of=AS_OF)
+                               f"{root}/_ckpt_s", as_of=AS_OF, gate=False)
     s.awaitTermination()
     return portable(spark.read.parquet(f"{root}/silver"))
 
 
+def stream_quarantine(spark, sf_dir):
+    """T5: the gated silver stream over all of bronze, faults included: the batch
+    fails the gate, goes to quarantine whole, and the query stops."""
+    root = TB.scratch_path(spark, "stream-quarantine")
+    _bronze_stream(spark, sf_dir, root)
+    s = ST.start_silver_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine",
+                               f"{root}/_ckpt_s", as_of=AS_OF)
+    try:
+        s.awaitTermination()
+    except StreamingQueryException as e:
+        if "QualityGateStop" not in str(e):
+            raise
+    return portable(spark.read.parquet(f"{root}/quarantine").drop(ST.BATCH_COL))
+
+
+def _bronze_stream(spark, sf_dir, root):
+    src = ST.land_by_day(FX.bronze(spark, sf_dir), f"{root}/landing")
+    b = ST.start_bronze_stream(ST.read_events_stream(spark, src), f"{root}/bronze",
+                               f"{root}/_ckpt_b", run_id="stream-1")
+    b.awaitTermination()
+
+
 # --- remaining single operators --------------------------------------------------------------
 
 def silver_empty(spark, sf_dir):
@@ -505,6 +526,133 @@ def kpi_latency_exact(spark, sf_dir):
     return portable(QN.latency_quantiles(FX.bronze(spark, sf_dir)))
 
 
+# --- second-order trees and evaluation ---------------------------------------------------------
+
+BINS = 32
+
+
+def _features(spark, sf_dir):
+    return FE.engineer_features(_training(spark, sf_dir))
+
+
+def _root_gains(spark, sf_dir):
+    """Every candidate split of the first tree's root, over all rows and features."""
+    rows = _features(spark, sf_dir).withColumn("split", F.lit("train"))
+    p = NT.Params(bins=BINS)
+    cuts = NT.feature_cuts(rows, S.FEATURE_COLS, p.bins)
+    d = NT._prepared(rows, "subscriber_id", "churned_30d", S.FEATURE_COLS, cuts)
+    g, h = NT.gradients(F.col("y"), F.col("z"), p.positive_weight)
+    table = NT.split_table(d.select(F.lit(0).alias("node"), "b", g.alias("g"), h.alias("h")),
+                           list(range(len(S.FEATURE_COLS))), p.ridge)
+    named = F.array(*[F.lit(f) for f in S.FEATURE_COLS])
+    at = F.array(*[F.array(*[F.lit(c) for c in cs]).cast("array<bigint>") for cs in cuts])
+    return (table.withColumn("cut", F.get(F.get(at, "f"), "bin")).where("cut is not null")
+            .select(F.get(named, "f").alias("feature"), (F.col("cut") / F.lit(float(NT.SCALE))).alias("threshold"),
+                    (F.col("gl") / F.lit(float(NT.UNIT))).alias("gradient_left"),
+                    (F.col("hl") / F.lit(float(NT.UNIT))).alias("hessian_left"), R.round_half_up("gain", 6).alias("gain")))
+
+
+def newton_root_gains(spark, sf_dir):
+    """M3: gradient and Hessian left of every cut, and its gain."""
+    return portable(_root_gains(spark, sf_dir))
+
+
+def top_gain_features(spark, sf_dir):
+    """L1-L3: the ten features whose best root split gains most, shown ascending."""
+    best = _root_gains(spark, sf_dir).groupBy("feature").agg(F.max("gain").alias("gain"))
+    return portable(AN.top_k(best, "gain", 10, ascending_display=True, tie="feature"))
+
+
+def _split_features(spark, sf_dir):
+    rows = MO.stratified_split(_features(spark, sf_dir), shares={"train": 0.7, "validation": 0.1, "test": 0.2})
+    return rows.select("subscriber_id", "churned_30d", "split", *S.FEATURE_COLS)
+
+
+def newton_stages(spark, sf_dir):
+    """M5: validation AUC after every tree grown; patience 20 ends the training
+    and the trees up to the best AUC are kept. Full steps, so that it ends soon."""
+    model = NT.train(_split_features(spark, sf_dir), S.FEATURE_COLS, NT.Params(depth=2, rate=1.0, block=10))
+    stages = R.literal_table(spark, [(i + 1, a, i < model.kept) for i, a in enumerate(model.stages)],
+                             "trees bigint, auc double, kept boolean")
+    return portable(stages)
+
+
+def newton_scores(spark, sf_dir):
+    """Trained trees are stored, read back and score the test part."""
+    rows = _split_features(spark, sf_dir)
+    model = NT.train(rows.where("split <> 'validation'"), S.FEATURE_COLS, NT.Params(trees=10, depth=3, rate=0.3))
+    root = TB.scratch_path(spark, "newton")
+    NT.save(spark, model, root)
+    return portable(NT.score(rows.where("split = 'test'"), NT.load(spark, root))
+                    .select("subscriber_id", F.col("churned_30d").alias("label"), "probability"))
+
+
+def evaluation_record(spark, sf_dir):
+    """M6: one metrics row, of the heuristic score."""
+    return portable(ME.evaluation_record(_labelled(spark, sf_dir), trained_at=AS_OF))
+
+
+def model_run_log(spark, sf_dir):
+    """Two recorded runs with the metrics of the heuristic score."""
+    root = TB.scratch_path(spark, "model-runs")
+    m = ME.evaluation_record(_labelled(spark, sf_dir), trained_at=AS_OF).first().asDict()
+    MO.log_run(spark, root, "first", {"depth": 6, "rate": 0.05}, m, None, "blocked")
+    MO.log_run(spark, root, "second", {"depth": 4}, m, "models/2", "promoted")
+    runs = spark.read.parquet(MO.runs_path(root))
+    params = F.array_join(F.array_sort(F.transform(F.map_entries("params"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+    return portable(runs.select("run_name", params.alias("params"), "auc_roc", "f1_score", "precision", "recall",
+                                "test_size", "model_version", "model_path", "status"))
+
+
+def roc_curve_min(spark, sf_dir):
+    """The ROC curve of a score with many values, without collinear points."""
+    t = _training(spark, sf_dir).where("avg_completion_rate is not null")
+    return portable(ME.roc_curve_min(t.select(F.col("churned_30d").alias("label"),
+                                              (F.lit(1.0) - F.col("avg_completion_rate")).alias("probability"))))
+
+
+# --- single operators on inputs that exercise them ----------------------------------------------
+
+FRESH_AS_OF = "2024-01-30 12:00:00"
+
+
+def quality_fresh(spark, sf_dir):
+    """The quality report with a clock inside the data, so that rows are fresh."""
+    return portable(QU.quality_report(FX.bronze(spark, sf_dir), FRESH_AS_OF))
+
+
+def feature_drift_partial(spark, sf_dir):
+    """Drift of a table that lacks a monitored feature."""
+    return portable(DR.feature_drift(_gold(spark, sf_dir).drop("avg_engagement_score")))
+
+
+def completion_estimate(spark, sf_dir):
+    """completion estimated from the time watched, beside the one reported, per device."""
+    b = FX.bronze(spark, sf_dir)
+    return portable(b.groupBy("device_type").agg(
+        R.round_half_up(F.avg(R.completion_from_duration("watch_duration_s")), 6).alias("estimated"),
+        R.round_half_up(F.avg("completion_pct"), 6).alias("reported"), F.count(F.lit(1)).alias("events")))
+
+
+def scoring_rejects(spark, sf_dir):
+    """The rows that scoring turns away, with reasons; a tighter session range makes some."""
+    wide = _scoring_input(spark, sf_dir).withColumn(
+        "avg_engagement_score", F.when(F.col("total_sessions_30d") > 8, F.lit(None)).otherwise(F.col("avg_engagement_score")))
+    _, bad = SC.split_valid(wide)
+    return portable(bad.select("subscriber_id", F.array_join("reasons", ";").alias("reasons")))
+
+
+def silver_ctas_append(spark, sf_dir):
+    """A table created empty from silver's schema, then filled by two appends."""
+    path = TB.scratch_path(spark, "ctas") + "/silver"
+    silver = _silver(spark, sf_dir)
+    SV.empty_like(silver).write.parquet(path)
+    old = F.col("event_date") < F.lit("2024-01-16").cast("date")
+    IN.append(silver.where(old), path)
+    IN.append(silver.where(~old), path)
+    return portable(spark.read.parquet(path))
+
+
 QUERIES: dict[str, Query] = {
     "silver_events": silver_events,
     "gold_features": gold_features,
@@ -573,4 +721,17 @@ QUERIES: dict[str, Query] = {
     "gold_state_stats": gold_state_stats,
     "pipeline_run": pipeline_run,
     "kpi_latency_exact": kpi_latency_exact,
+    "stream_quarantine": stream_quarantine,
+    "newton_root_gains": newton_root_gains,
+    "top_gain_features": top_gain_features,
+    "newton_stages": newton_stages,
+    "newton_scores": newton_scores,
+    "evaluation_record": evaluation_record,
+    "model_run_log": model_run_log,
+    "roc_curve_min": roc_curve_min,
+    "quality_fresh": quality_fresh,
+    "feature_drift_partial": feature_drift_partial,
+    "completion_estimate": completion_estimate,
+    "scoring_rejects": scoring_rejects,
+    "silver_ctas_append": silver_ctas_append,
 }
