@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 # queries that run side effects (files, streams, model fits) when built
 SIDE_EFFECTS = {"gbt_scores", "top_features", "stream_bronze", "stream_silver", "stream_latency",
                 "landing_scan", "gold_incremental", "pipeline_run", "stream_quarantine", "newton_stages",
-                "newton_scores", "silver_ctas_append", "model_run_log"}
+                "newton_scores", "silver_ctas_append", "model_run_log", "landing_evolved"}
 
 
 def plan_of(df):

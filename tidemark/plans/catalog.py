@@ -20,6 +20,7 @@ from ..operators import drift as DR
 from ..operators import features as FE
 from ..operators import gold as G
 from ..operators import gold_state as GS
+from ..operators import history as HI
 from ..operators import ingest as IN
 from ..operators import kpis as KP
 from ..operators import metrics as ME
@@ -31,6 +32,7 @@ from ..operators import scoring as SC
 from ..operators import silver as SV
 from ..operators import warehouse as WH
 from ..sources import fixtures as FX
+from ..sources import landing as LA
 from ..sources import tables as TB
 from ..streaming import streams as ST
 from . import pipeline as PL
@@ -653,6 +655,43 @@ def silver_ctas_append(spark, sf_dir):
     return portable(spark.read.parquet(path))
 
 
+# --- history and schema history ------------------------------------------------------------------
+
+def subscriber_history(spark, sf_dir):
+    """Validity intervals of plan and country per subscriber."""
+    return portable(HI.versions(_silver(spark, sf_dir)))
+
+
+def fact_asof(spark, sf_dir):
+    """Every silver event with the plan and country in force at its time,
+    where plan and country are known from play events only."""
+    silver = _silver(spark, sf_dir)
+    history = HI.versions(silver.where("event_type = 'play'"))
+    out = HI.as_of_join(silver.select("event_id", "subscriber_id", "event_timestamp"), history)
+    return portable(out)
+
+
+def landing_evolved(spark, sf_dir):
+    """Bronze landed in three folders whose schemas differ: no app
+    version and whole seconds, fractions of seconds, and a list of countries
+    (in conflict). Good rows come in the joined schema, the others from quarantine."""
+    root = TB.scratch_path(spark, "landing-evolved")
+    b = FX.bronze(spark, sf_dir)
+    day = F.to_date("ingested_at")
+    old, new = day < F.lit("2024-01-11").cast("date"), day >= F.lit("2024-01-21").cast("date")
+    b.where(old).drop("app_version").write.parquet(f"{root}/v1")
+    (b.where(~old & ~new).withColumn("watch_duration_s", F.col("watch_duration_s").cast("double") / 2)
+     .write.parquet(f"{root}/v2"))
+    b.where(new).withColumn("country", F.array("country")).write.parquet(f"{root}/v3")
+    rows, bad = LA.read_evolved(spark, root)
+    good = rows.select("event_id", "watch_duration_s", "app_version", F.lit(None).cast("string").alias("folder"),
+                       F.lit(None).cast("string").alias("reason"))
+    return portable(good.unionByName(bad.select(
+        F.get_json_object("record", "$.event_id").alias("event_id"),
+        F.get_json_object("record", "$.watch_duration_s").cast("double").alias("watch_duration_s"),
+        F.get_json_object("record", "$.app_version").alias("app_version"), "folder", "reason")))
+
+
 QUERIES: dict[str, Query] = {
     "silver_events": silver_events,
     "gold_features": gold_features,
@@ -734,4 +773,7 @@ QUERIES: dict[str, Query] = {
     "completion_estimate": completion_estimate,
     "scoring_rejects": scoring_rejects,
     "silver_ctas_append": silver_ctas_append,
+    "subscriber_history": subscriber_history,
+    "fact_asof": fact_asof,
+    "landing_evolved": landing_evolved,
 }
