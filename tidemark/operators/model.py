@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import rules as R
+from ..session import cut_lineage
 from ..sources import tables as TB
 from . import metrics as ME
 from .features import engineer_features
@@ -62,10 +63,11 @@ def stratified_split(df: DataFrame, label: str = "churned_30d", key: str = "subs
                             with_grand_total=False)
     # one row per class (a bounded table): its size and the rows of the
     # classes ordered before it, which the global running count includes
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    out = (ranked.join(F.broadcast(sizes), label)
+    # rows without a label are a class like others
+    out = (ranked.join(F.broadcast(sizes), F.col(label).eqNullSafe(F.col("_class")))
                  .withColumn("cum__one", F.col("cum__one") - F.col("_before")))
     names = list(shares)
     bounds, acc = [], 0.0
@@ -131,7 +133,7 @@ def train(frame: DataFrame, params: dict | None = None, label: str = "churned_30
     feats = engineer_features(frame)
     split = stratified_split(feats, label, shares={"train": 0.7, "validation": 0.1, "test": 0.2})
     split = with_weights(split, label)
-    split = split.persist()
+    split = cut_lineage(split)          # read by every step below; nothing stays in memory
     train_df = split.where(F.col("split") == "train")
     val_df = split.where(F.col("split") == "validation")
     test_df = split.where(F.col("split") == "test")
@@ -239,6 +241,5 @@ def retrain(frame: DataFrame, root: str, params: dict | None = None, force: bool
     else:
         path, status = None, "blocked"
     log_run(spark, root, run_name, res.params, m, path, status)
-    res.split.unpersist()
     return {"status": status, "model_path": path, "n_trees": res.n_trees, **m,
             "params": json.dumps(res.params)}

@@ -125,8 +125,8 @@ def new_since(bronze: DataFrame, mark) -> DataFrame:
 def merge_by_key(target: DataFrame, updates: DataFrame, key: str = "event_id") -> DataFrame:
     """Upsert: rows of ``updates`` replace target rows with the same key.
 
-    The updates' keys are broadcast after a size check, so the target side
-    of the anti-join is filtered where it is read instead of shuffled."""
+    Where Spark finds the updates' keys small it broadcasts them, and the target
+    side of the anti-join is filtered where it is read instead of shuffled."""
     keys = updates.select(key).distinct()
     return target.join(keys, on=key, how="left_anti").unionByName(updates)
 

@@ -47,20 +47,6 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None =
 _UNSET = object()
 
 
-def _partition_filter(cols: list[str], touched: list[tuple]):
-    """Rows in the touched partitions: ``col IN (...)`` for one column, an OR
-    of ANDs for several; both prune partitions at the scan."""
-    if len(cols) == 1:
-        return F.col(cols[0]).isin([t[0] for t in touched])
-    cond = F.lit(False)
-    for t in touched:
-        part = F.lit(True)
-        for c, v in zip(cols, t):
-            part = part & (F.col(c) == F.lit(v))
-        cond = cond | part
-    return cond
-
-
 def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
                              as_of=None, check_moved_keys: bool = True,
                              moved_keys_lookback_days: int | None = None,
@@ -113,7 +99,9 @@ def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
     touched = [tuple(r) for r in parts.distinct().collect()]
     if before_swap is not None:
         before_swap(touched)
-    affected = target.where(_partition_filter(cols, touched))
+    affected = target.where(F.col(cols[0]).isin(sorted({t[0] for t in touched})))
+    if len(cols) > 1:      # as many rows as partitions were listed above
+        affected = affected.join(F.broadcast(parts.distinct()), cols, "left_semi")
     merged = SV.merge_by_key(SV.sync_columns(affected, updates), updates)
     merged = cut_lineage(merged)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

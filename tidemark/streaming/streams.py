@@ -1,9 +1,9 @@
 """Structured Streaming ingest and silver.
 
 * Bronze stream (T2, T3): files (or a topic, by configuration) with a fixed
-  schema -> ``dropDuplicatesWithinWatermark`` on ``event_id`` (keys are
-  remembered for the watermark delay) -> ``foreachBatch`` anti-join against
-  the stored keys for exact insert-if-absent across any delay.
+  schema -> ``foreachBatch`` anti-join against the stored keys: exact
+  insert-if-absent across any delay, nothing lost. De-duplication in state
+  (``dropDuplicatesWithinWatermark``) can be added and is off by default.
 * Silver stream (T4, T5): bronze files -> ``foreachBatch``: the batch's
   quality score gates it (a failing batch is written to quarantine and the
   query stops), then it is upserted into silver by ``event_id``, rewriting
