@@ -20,6 +20,7 @@ from ..operators import gold_state as GS
 from ..operators import ingest as IN
 from ..operators import quality as QU
 from ..session import cut_lineage
+from ..sources import lease as LE
 from ..sources import tables as TB
 
 
@@ -45,15 +46,26 @@ def paths(root: str) -> dict:
 def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str | None = None,
                  as_of=None, threshold: float = S.QUALITY_THRESHOLD,
                  gate_on: str = "batch",
-                 silver_partition_cols: tuple[str, ...] = ("event_date",)) -> RunSummary:
+                 silver_partition_cols: tuple[str, ...] = ("event_date",),
+                 lease_seconds: float | None = 2 * 3600) -> RunSummary:
     """Ingest ``batch`` into bronze, gate, update silver and refresh gold.
 
     ``gate_on='batch'`` scores the incoming rows (a bad batch never lands in
     bronze or silver); ``'table'`` scores all of bronze as the reference does. A
     failing gate quarantines the batch, records the run and raises.
+
+    One run is active on a root at a time: a second one raises ``LeaseHeld``
+    and changes nothing. A lease not given back ends after ``lease_seconds``,
+    which must exceed the longest run (``None``: no lease).
     """
-    p = paths(root)
     run_id = run_id or str(uuid.uuid4())          # one id per run (F31)
+    with LE.held(spark, root, run_id, lease_seconds):
+        return _run(spark, batch, root, run_id, as_of, threshold, gate_on, silver_partition_cols)
+
+
+def _run(spark: SparkSession, batch: DataFrame, root: str, run_id: str, as_of, threshold: float, gate_on: str,
+         silver_partition_cols: tuple[str, ...]) -> RunSummary:
+    p = paths(root)
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     summary = RunSummary(run_id)
 
