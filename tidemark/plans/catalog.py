@@ -34,6 +34,7 @@ from ..operators import warehouse as WH
 from ..sources import fixtures as FX
 from ..sources import landing as LA
 from ..sources import tables as TB
+from ..streaming import enrichment as EN
 from ..streaming import streams as ST
 from . import pipeline as PL
 from .portable import portable
@@ -471,6 +472,29 @@ def stream_latency(spark, sf_dir):
     return portable(ST.read_latency_sink(spark, f"{root}/latency"))
 
 
+def stream_enriched(spark, sf_dir):
+    """Silver files enriched as a stream. The first drop runs while no
+    email and no genre are known; both dimensions change before the second."""
+    root = TB.scratch_path(spark, "stream-enriched")
+    dims = f"{root}/dims"
+    first, second = FX.bronze_batches(spark, sf_dir)
+    drop = SV.silver(first, FX.BATCH_CUT)
+    drop.write.parquet(f"{root}/silver/drop=1")
+    EN.write_dimensions(dims, WH.dim_subscriber(drop), WH.dim_content(drop))
+
+    def run():
+        EN.start_enrichment_stream(spark, f"{root}/silver/*", f"{root}/out", dims, f"{root}/_ckpt", drop.schema).awaitTermination()
+
+    run()
+    SV.silver(second, AS_OF).write.parquet(f"{root}/silver/drop=2")
+    silver = _silver(spark, sf_dir)
+    EN.write_dimensions(dims, WH.dim_subscriber(silver, FX.read_table(spark, sf_dir, "customer")),
+                        WH.dim_content(silver, FX.read_table(spark, sf_dir, "part")))
+    run()
+    return portable(spark.read.parquet(EN.paths(f"{root}/out")["enriched"]).select(
+        "event_id", "subscriber_id", "content_id", "genre", "email", "signup_date", "event_date"))
+
+
 # --- incremental gold and whole runs -----------------------------------------------------------
 
 LATE_DAYS = ("2024-01-10", "2024-01-15")
@@ -776,4 +800,5 @@ QUERIES: dict[str, Query] = {
     "subscriber_history": subscriber_history,
     "fact_asof": fact_asof,
     "landing_evolved": landing_evolved,
+    "stream_enriched": stream_enriched,
 }

@@ -42,6 +42,24 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None =
     return r.parquet(path)
 
 
+def swap_partitions(rows: DataFrame, path: str, cols: list[str], touched: list[tuple]) -> None:
+    """Replace the ``touched`` partitions of the table at ``path`` by ``rows``.
+
+    ``rows`` must not read the table (cut their lineage first). A touched
+    partition that gets no row is removed: dynamic overwrite alone would
+    leave its old rows in place. The removal comes last, so a run that dies
+    before it finds the same partition again."""
+    spark = rows.sparkSession
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*cols).parquet(path))
+    filled = {tuple(r) for r in rows.select(*cols).distinct().collect()}
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for values in set(touched) - filled:
+        folder = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(cols, values))
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
+        p.getFileSystem(conf).delete(p, True)
+
+
 # --- S7: incremental silver, partition swap ------------------------------------------------
 
 _UNSET = object()
@@ -104,8 +122,7 @@ def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
         affected = affected.join(F.broadcast(parts.distinct()), cols, "left_semi")
     merged = SV.merge_by_key(SV.sync_columns(affected, updates), updates)
     merged = cut_lineage(merged)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*cols).parquet(path))
+    swap_partitions(merged, path, cols, touched)
     listed = sorted(t[0] for t in touched) if len(cols) == 1 else sorted(touched)
     return {"high_water_mark": mark, "rows_written": n_updates, "partitions": listed}
 

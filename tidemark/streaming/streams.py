@@ -195,9 +195,7 @@ def upsert_latest(spark: SparkSession, updates: DataFrame, path: str,
     touched = [r[0] for r in updates.select("event_date").unionByName(moved).distinct().collect()]
     affected = target.where(F.col("event_date").isin(touched))
     merged = SV.keep_latest(SV.sync_columns(affected, updates).unionByName(updates))
-    merged = cut_lineage(merged)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("event_date").parquet(path))
+    TB.swap_partitions(cut_lineage(merged), path, ["event_date"], [(d,) for d in touched])
 
 
 def start_silver_stream(spark: SparkSession, bronze_path: str, sink: str, quarantine: str,
