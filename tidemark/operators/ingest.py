@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import rules as R
+from . import key_index as KI
 from .joins import absent_from
 
 
@@ -56,10 +57,9 @@ def absent_keys(batch: DataFrame, existing_keys: DataFrame | None,
                 key: str = "event_id") -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet (J1, ``left_anti``).
 
-    Only the key column of the store is scanned. The batch's keys are
-    broadcast after a size check and the stored keys are semi-joined against
-    them where they are read, so the store is never shuffled
-    (``joins.absent_from``)."""
+    Only the key column of the store is scanned. Where Spark finds the batch's
+    keys small it broadcasts them, and the stored keys are filtered where they
+    are read (``joins.absent_from``)."""
     if existing_keys is None:
         return batch
     return absent_from(batch, existing_keys, key)
@@ -67,11 +67,18 @@ def absent_keys(batch: DataFrame, existing_keys: DataFrame | None,
 
 def ingest_to_bronze(batch: DataFrame, existing: DataFrame | None, run_id: str,
                      as_of=None, stamp_ingested_at: bool = True,
-                     count: bool = True) -> IngestResult:
-    """Append-ready rows for ``batch`` and true inserted/skipped counts (D3)."""
+                     count: bool = True, index: DataFrame | None = None,
+                     unindexed: list | None = ()) -> IngestResult:
+    """Append-ready rows for ``batch`` and true inserted/skipped counts (D3).
+
+    With a stored-key ``index`` (``key_index``) only the days of ``existing``
+    (``ingest_date``) that may hold a key of the batch are read."""
     rows = conform(batch)
     deduped = first_arrival(rows)
-    new = absent_keys(deduped, existing.select("event_id") if existing is not None else None)
+    if existing is not None and index is not None:
+        new = KI.absent_by_index(deduped, existing, index, unindexed)
+    else:
+        new = absent_keys(deduped, existing.select("event_id") if existing is not None else None)
     stamped = new.withColumn("pipeline_run_id", F.lit(run_id))
     if stamp_ingested_at:
         stamped = stamped.withColumn("ingested_at", R.as_of_literal(as_of))

@@ -22,6 +22,7 @@ from ..operators import gold as G
 from ..operators import gold_state as GS
 from ..operators import history as HI
 from ..operators import ingest as IN
+from ..operators import key_index as KI
 from ..operators import kpis as KP
 from ..operators import metrics as ME
 from ..operators import model as MO
@@ -203,6 +204,18 @@ def bronze_dedup_ingest(spark, sf_dir):
     return portable(res.rows)
 
 
+def ingest_indexed(spark, sf_dir):
+    """The second batch into a stored bronze, through the Bloom filters of its ingest days."""
+    root = TB.scratch_path(spark, "ingest-indexed")
+    first, second = FX.bronze_batches(spark, sf_dir)
+    first = first.withColumn("ingest_date", F.to_date("ingested_at"))
+    KI.build(first).write.parquet(f"{root}/index")
+    IN.append(first, f"{root}/bronze", partition_by=["ingest_date"])
+    res = IN.ingest_to_bronze(second, spark.read.parquet(f"{root}/bronze"), run_id="run-3", as_of=AS_OF, count=False,
+                              index=spark.read.parquet(f"{root}/index"))
+    return portable(res.rows)
+
+
 def silver_incremental(spark, sf_dir):
     """Silver after two incremental runs (batch one at the cut, then all)."""
     first, _ = FX.bronze_batches(spark, sf_dir)
@@ -801,4 +814,5 @@ QUERIES: dict[str, Query] = {
     "fact_asof": fact_asof,
     "landing_evolved": landing_evolved,
     "stream_enriched": stream_enriched,
+    "ingest_indexed": ingest_indexed,
 }

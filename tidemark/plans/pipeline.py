@@ -18,6 +18,7 @@ from .. import schemas as S
 from ..functions import rules as R
 from ..operators import gold_state as GS
 from ..operators import ingest as IN
+from ..operators import key_index as KI
 from ..operators import quality as QU
 from ..session import cut_lineage
 from ..sources import lease as LE
@@ -40,7 +41,7 @@ def paths(root: str) -> dict:
     return {"bronze": f"{r}/bronze", "silver": f"{r}/silver", "gold": f"{r}/gold",
             "runs": f"{r}/pipeline_runs", "quarantine": f"{r}/quarantine",
             "admitted": f"{r}/admitted_runs", "gold_state": f"{r}/gold_state",
-            "gold_pending": f"{r}/gold_pending"}
+            "gold_pending": f"{r}/gold_pending", "key_index": f"{r}/key_index"}
 
 
 def run_pipeline(spark: SparkSession, batch: DataFrame, root: str, run_id: str | None = None,
@@ -71,10 +72,15 @@ def _run(spark: SparkSession, batch: DataFrame, root: str, run_id: str, as_of, t
 
     # only rows of admitted runs count as stored: what a failed or interrupted
     # run left behind neither hides a corrected delivery nor reaches silver
-    admitted = TB.read_if_exists(spark, p["admitted"])
+    admitted = TB.read_if_exists(spark, p["admitted"], ADMITTED)
     bronze = TB.read_if_exists(spark, p["bronze"])
     existing = None if bronze is None or admitted is None else _of_runs(bronze, admitted)
-    res = IN.ingest_to_bronze(batch, existing, run_id, as_of)
+    # filters of the stored keys name the days that the anti-join reads
+    index = TB.read_if_exists(spark, p["key_index"])
+    unindexed = () if existing is None or index is None else KI.unindexed_days(index, admitted)
+    if index is not None and existing is not None:
+        batch = cut_lineage(batch)      # asked for its keys now, and read again by the ingest
+    res = IN.ingest_to_bronze(batch, existing, run_id, as_of, index=index, unindexed=unindexed)
     rows = cut_lineage(res.rows.withColumn("ingest_date", F.to_date("ingested_at")))
     summary.bronze_inserted, summary.bronze_skipped = res.inserted, res.skipped
 
@@ -92,6 +98,7 @@ def _run(spark: SparkSession, batch: DataFrame, root: str, run_id: str, as_of, t
     # bronze is partitioned by ingest day; the days a run landed in (one, as its
     # rows are stamped with the clock) are kept with its admission
     landed = [r[0] for r in rows.select("ingest_date").distinct().collect()] or [R.day_of(as_of)]
+    KI.write(rows, p["key_index"], run_id, landed)
     IN.append(rows, p["bronze"], partition_by=["ingest_date"])
     R.literal_table(spark, [(run_id, d) for d in landed], ADMITTED).coalesce(1).write.mode("append").parquet(p["admitted"])
 
