@@ -21,7 +21,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -34,15 +34,22 @@ SAMPLE = 1500
 NEXT, SIBLING = 0.35, 0.35        # smoothness: neighbours in the page; neighbours within a parent
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|</?[A-Za-z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*>|[^<]+|<", re.S)
+# the same without heed of quotes: after a tag whose quote never ends
+_LOOSE = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|</?[A-Za-z][^>]*>|[^<]+|<", re.S)
+_OPENS = re.compile(r"</?[A-Za-z]")
 _TAG = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # fixed values: HTML's element kinds
-_RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "select", "title", "object", "canvas", "math"}
+_RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "select", "title",
+        "annotation", "annotation-xml"}
 # their bodies hold no markup: only their own end tag ends them
 _OPAQUE = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in ("script", "style", "title", "textarea", "noscript", "iframe")}
-_VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
+_VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
+_BREAKS = {"hr", "col"}            # void elements that end a block; the others stand in the line
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
-           "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
+           "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
+           "canvas", "object", "math", "semantics", "mi", "mn", "mo", "ms", "mrow", "mfrac", "msqrt", "mroot", "msub", "msup",
+           "msubsup", "munder", "mover", "munderover", "mstyle", "mpadded", "mphantom", "menclose", "mmultiscripts"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
 _GOOD = {"article", "main"}
@@ -54,21 +61,29 @@ _BAD_NAME = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w
 _GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|body|text|main)(?:$|[\s_-])", re.I)
 
 
+class Open:
+    """An open element and what it and the elements above it say of their text."""
+    __slots__ = ("name", "good", "bad", "bad_name", "good_name", "serial")
+
+    def __init__(self, name, hint, serial, above):
+        self.name, self.serial = name, serial
+        self.good = name in _GOOD or (above is not None and above.good)
+        # a header of the article itself holds its title, not the site's
+        self.bad = (name in _BAD and not (name == "header" and self.good)) or (above is not None and above.bad)
+        self.bad_name = bool(hint and _BAD_NAME.search(hint)) or (above is not None and above.bad_name)
+        self.good_name = bool(hint and _GOOD_NAME.search(hint)) or (above is not None and above.good_name)
+
+
 class Block:
-    __slots__ = ("text", "link", "path", "tag", "good", "bad", "bad_name", "good_name", "parent")
-
-    def __init__(self, text, link, tag, stack):
-        self.text, self.link, self.tag = text, link, tag
-        self.good = self.bad = self.bad_name = self.good_name = False
-        for name, flags, _ in stack:
-            self.good |= name in _GOOD
-            # a header of the article itself holds its title, not the site's
-            self.bad |= name in _BAD and not (name == "header" and self.good)
-            self.bad_name |= flags[0]
-            self.good_name |= flags[1]
-        # a paragraph or heading is its own element; its siblings share what is above it
-        own = bool(stack) and stack[-1][0] == tag
-        self.parent = (stack[-2][2] if len(stack) > 1 else 0) if own else (stack[-1][2] if stack else 0)
+    __slots__ = ("text", "link", "tag", "good", "bad", "bad_name", "good_name", "parent")
+
+    def __init__(self, text, link, stack):
+        top = stack[-1] if stack else None
+        self.text, self.link, self.tag = text, link, top.name if top else ""
+        self.good, self.bad = bool(top and top.good), bool(top and top.bad)
+        self.bad_name, self.good_name = bool(top and top.bad_name), bool(top and top.good_name)
+        # a block is in its own element; its siblings share what is above it
+        self.parent = stack[-2].serial if len(stack) > 1 else 0
 
 
 def blocks(page: str) -> list[Block]:
@@ -77,12 +92,18 @@ def blocks(page: str) -> list[Block]:
     Scripts and their like are skipped up to their own end tag, whatever is
     between; without one, a script or style takes the rest of the page, as in
     browsers. Other skipped elements without an end tag end with their parent.
+    Quotes hide a ``>`` in a tag, until a tag's quote never ends: it and all
+    later ones end at their next ``>``; after the last ``>`` there is only text.
+    Formulas and the content of ``object`` and ``canvas`` are text of their block.
+    The time is linear in the page's length, whatever its markup.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[bool, bool], int]] = []
+    stack: list[Open] = []
+    n_open: Counter[str] = Counter()     # open elements by name
     text: list[str] = []
     link, in_link, skip, serial = 0, 0, None, 0
     inner: list[str] = []      # open elements within the skipped one
+    n_inner: Counter[str] = Counter()
     endless: set[str] = set()  # without an end tag from some place on
 
     def flush():
@@ -90,17 +111,26 @@ def blocks(page: str) -> list[Block]:
         if text:
             s = " ".join(html.unescape("".join(text)).split())
             if s:
-                tag = stack[-1][0] if stack else ""
-                out.append(Block(s, link, tag, stack))
+                out.append(Block(s, link, stack))
             text.clear()
         link = 0
 
-    at = 0
+    at, token, last = 0, _TOKEN, page.rfind(">")
     while at < len(page):
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        tok = m.group()
+        if page[at] == "<" and at > last and not page.startswith("<!--", at):
+            # no tag can end here: text up to a comment, if there is one
+            end = page.find("<!--", at)
+            m, at = at, len(page) if end < 0 else end
+            tok = "\0" + page[m:at]
+        else:
+            m = token.match(page, at)
+            if token is _TOKEN and m.group() == "<" and _OPENS.match(page, at):
+                token = _LOOSE
+                m = token.match(page, at)
+            at = m.end()
+            tok = m.group()
         if tok[0] != "<" or len(tok) == 1:
+            tok = tok.removeprefix("\0")
             if skip is None:
                 text.append(tok)
                 if in_link:
@@ -122,49 +152,58 @@ def blocks(page: str) -> list[Block]:
             if not closing:
                 if name not in _VOID and not tok.endswith("/>"):
                     inner.append(name)
+                    n_inner[name] += 1
                 continue
-            if name in inner:
-                while inner.pop() != name:
-                    pass
+            if n_inner[name]:
+                while True:
+                    gone = inner.pop()
+                    n_inner[gone] -= 1
+                    if gone == name:
+                        break
                 continue
             if name == skip:
                 skip = None
                 continue
-            if name not in _INLINE and all(name != x for x, _, _ in stack):
+            if name not in _INLINE and not n_open[name]:
                 continue
             skip = None        # the parent's end; it is handled as any other
-            inner.clear()
         if name in _RAW:
             if not closing and not tok.endswith("/>"):
                 skip = name
                 inner.clear()
+                n_inner.clear()
             continue
         if name in _INLINE:
             if name == "a":
                 in_link = max(0, in_link + (-1 if closing else 1))
             continue
-        if name == "br" or name == "wbr":
+        if name == "br":
             text.append(" ")
             continue
+        if name in _VOID and name not in _BREAKS:
+            continue
         flush()
         if name in _VOID:
             continue
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    in_link = 0
-                    break
+            if n_open[name]:
+                while True:
+                    gone = stack.pop().name
+                    n_open[gone] -= 1
+                    if gone == name:
+                        break
+                in_link = 0
             continue
         # a new block ends an open paragraph; list items and cells end their like
         ends = _CLOSES.get(name, set()) | {"p"}
-        while stack and stack[-1][0] in ends:
-            stack.pop()
+        while stack and stack[-1].name in ends:
+            n_open[stack.pop().name] -= 1
         if tok.endswith("/>"):
             continue
         serial += 1
         hint = " ".join(a or b or c for a, b, c in _HINT.findall(tok)) if "=" in tok else ""
-        stack.append((name, (bool(hint and _BAD_NAME.search(hint)), bool(hint and _GOOD_NAME.search(hint))), serial))
+        stack.append(Open(name, hint, serial, stack[-1] if stack else None))
+        n_open[name] += 1
     flush()
     return out
 
