@@ -7,7 +7,9 @@ compare value by value with the SQL oracle.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import StreamingQueryException
@@ -36,6 +38,7 @@ from ..sources import fixtures as FX
 from ..sources import landing as LA
 from ..sources import tables as TB
 from ..streaming import enrichment as EN
+from ..streaming import gold_stream as GO
 from ..streaming import streams as ST
 from . import pipeline as PL
 from .portable import portable
@@ -508,6 +511,26 @@ def stream_enriched(spark, sf_dir):
         "event_id", "subscriber_id", "content_id", "genre", "email", "signup_date", "event_date"))
 
 
+def _gold_stream(spark, sf_dir, root):
+    """Bronze files of three spans of ingest days, the last span first, the middle one last."""
+    b = FX.bronze(spark, sf_dir)
+    day = F.to_date("ingested_at")
+    old, new = day < F.lit("2024-01-11").cast("date"), day >= F.lit("2024-01-21").cast("date")
+    for i, part in enumerate((new, old, ~old & ~new)):
+        b.where(part).write.parquet(f"{root}/bronze/drop={i}")
+        GO.start_gold_stream(spark, f"{root}/bronze/*", f"{root}/out", f"{root}/_ckpt", AS_OF).awaitTermination()
+    return f"{root}/out"
+
+
+def stream_gold(spark, sf_dir):
+    """A4 / T4: sliding 30-day gold kept by a stream of files out of order, for every day of the timeline."""
+    out = _gold_stream(spark, sf_dir, TB.scratch_path(spark, "stream-gold"))
+    first = _dt.date.fromisoformat(TIMELINE_FIRST)
+    days = (_dt.date.fromisoformat(TIMELINE_LAST) - first).days
+    snaps = [GO.gold_of_day(spark, out, first + _dt.timedelta(days=i)) for i in range(days + 1)]
+    return portable(reduce(DataFrame.unionByName, snaps))
+
+
 # --- incremental gold and whole runs -----------------------------------------------------------
 
 LATE_DAYS = ("2024-01-10", "2024-01-15")
@@ -815,4 +838,5 @@ QUERIES: dict[str, Query] = {
     "landing_evolved": landing_evolved,
     "stream_enriched": stream_enriched,
     "ingest_indexed": ingest_indexed,
+    "stream_gold": stream_gold,
 }

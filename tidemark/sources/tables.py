@@ -29,8 +29,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
-    return fs.exists(p) and any(
-        not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    # hidden names don't count, partition folders do, whatever their column is called
+    return any("=" in n or not n.startswith(("_", ".")) for n in names)
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None = None):

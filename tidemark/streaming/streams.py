@@ -172,16 +172,19 @@ def _silver_batch_writer(sink: str, quarantine: str, as_of, gate: bool, threshol
 
 
 def upsert_latest(spark: SparkSession, updates: DataFrame, path: str,
-                  lookback_days: int | None = None) -> None:
+                  lookback_days: int | None = None, before_swap=None) -> None:
     """Merge ``updates`` into the event_date-partitioned table at ``path``:
     per ``event_id`` the latest ingested row wins, whichever side it is on,
     so replays and out-of-order batches converge to the same table.
 
     Earlier copies of the batch's keys are looked for in all partitions
-    (exact), or only within ``lookback_days`` of the batch's days."""
+    (exact), or only within ``lookback_days`` of the batch's days.
+    ``before_swap`` is called with the touched days before any of them changes."""
     updates = cut_lineage(updates)
     target = TB.read_if_exists(spark, path)
     if target is None:
+        if before_swap is not None:
+            before_swap([r[0] for r in updates.select("event_date").distinct().collect()])
         updates.write.mode("overwrite").partitionBy("event_date").parquet(path)
         return
     scope = target
@@ -193,6 +196,8 @@ def upsert_latest(spark: SparkSession, updates: DataFrame, path: str,
     moved = stored_matches(scope, updates, "event_id", ["event_date"]).select("event_date")
     # one value per touched day: a small list, used as literals to prune
     touched = [r[0] for r in updates.select("event_date").unionByName(moved).distinct().collect()]
+    if before_swap is not None:
+        before_swap(touched)
     affected = target.where(F.col("event_date").isin(touched))
     merged = SV.keep_latest(SV.sync_columns(affected, updates).unionByName(updates))
     TB.swap_partitions(cut_lineage(merged), path, ["event_date"], [(d,) for d in touched])
