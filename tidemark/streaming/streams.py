@@ -230,57 +230,58 @@ def land_by_day(bronze: DataFrame, root: str) -> str:
 def start_latency_stream(events: DataFrame, sink: str, checkpoint: str,
                          window: str = "15 minutes", delay: str = "1 hour",
                          alert_s: int = 15 * 60, trigger: str | None = None) -> StreamingQuery:
-    """Events and end-to-end latency per ingest window (X7), as a stateful
-    windowed aggregation.
-
-    The watermark on arrival time bounds the state: a window's state is
-    dropped once arrivals are ``delay`` past its end. Update mode emits the
-    windows a micro-batch changed; ``foreachBatch`` replaces those windows in
-    the sink (partitioned by day, only touched days rewritten), so the sink
-    always holds complete windows, also for rows that arrive late but within
-    the delay.
+    """Events and end-to-end latency per ingest window (X7), kept up to date by a stream.
+
+    A micro-batch is reduced to mergeable partials (count, sum, maximum, alerts)
+    per window, stored under its batch id; ``read_latency_sink`` merges the
+    partials of a window. No row is dropped for being late and no state grows in
+    the store's memory: a late row is one more partial of its window. Rows that
+    arrive more than ``delay`` behind the newest arrival of the batches before
+    theirs are counted as ``beyond_delay``, so that a consumer who has used a
+    window knows that it changed. A replayed batch writes the same partitions again.
     """
     from ..operators.kpis import latency_seconds
     lat = latency_seconds()
-    per_window = (events.where(F.col("event_timestamp").isNotNull())
-                  .withColumn("_arrival", F.col("ingested_at").cast(T.TimestampType()))
-                  .withWatermark("_arrival", delay)
-                  .groupBy(F.window("_arrival", window).alias("w"))
-                  .agg(F.count(F.lit(1)).alias("events"),
-                       F.sum(lat).alias("_lat_sum"),
-                       F.max(lat).alias("_lat_max"),
-                       F.count_if(lat > alert_s).alias("late_events")))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(
-            F.col("w.start").cast(T.TimestampNTZType()).alias("window_start"),
-            F.to_date(F.col("w.start").cast(T.TimestampNTZType())).alias("window_date"),
-            "events", "late_events",
-            (F.col("_lat_sum") / F.col("events")).alias("_avg"),
-            F.col("_lat_max").alias("_max"))
-        rows = cut_lineage(rows)
-        target = TB.read_if_exists(spark, sink)
-        if target is not None:
-            days = [r[0] for r in rows.select("window_date").distinct().collect()]
-            keep = (target.where(F.col("window_date").isin(days))
-                          .join(rows.select("window_start"), "window_start", "left_anti"))
-            rows = cut_lineage(keep.unionByName(rows))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("window_date").parquet(sink))
-
-    w = (per_window.writeStream.outputMode("update").foreachBatch(write)
-                   .option("checkpointLocation", checkpoint))
+        seen = TB.read_if_exists(spark, sink)
+        newest = None if seen is None else seen.where(F.col(BATCH_COL) < batch_id).agg(F.max("newest")).first()[0]
+        late = F.lit(False) if newest is None else F.col("ingested_at") < F.lit(newest) - F.expr(f"INTERVAL {delay}")
+        (batch.where(F.col("event_timestamp").isNotNull())
+              .groupBy(F.window("ingested_at", window).alias("w"))
+              .agg(F.count(F.lit(1)).alias("events"), F.sum(lat).alias("_lat_sum"), F.max(lat).alias("_max"),
+                   F.count_if(lat > alert_s).alias("late_events"), F.count_if(late).alias("beyond_delay"),
+                   F.max("ingested_at").alias("newest"))
+              .select(F.col("w.start").alias("window_start"), F.to_date(F.col("w.start")).alias("window_date"),
+                      "events", "_lat_sum", "_max", "late_events", "beyond_delay", "newest",
+                      F.lit(batch_id).cast(T.LongType()).alias(BATCH_COL))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("window_date", BATCH_COL).parquet(sink))
+
+    w = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
+def _latency_windows(spark: SparkSession, sink: str) -> DataFrame:
+    """One row a window: its partials merged."""
+    return spark.read.parquet(sink).groupBy("window_start").agg(
+        F.sum("events").alias("events"), (F.sum("_lat_sum") / F.sum("events")).alias("_avg"), F.max("_max").alias("_max"),
+        F.sum("late_events").alias("late_events"), F.sum("beyond_delay").alias("beyond_delay"))
+
+
+def latency_beyond_delay(spark: SparkSession, sink: str) -> DataFrame:
+    """Windows that rows changed after their delay, and how many rows."""
+    return _latency_windows(spark, sink).where("beyond_delay > 0").select("window_start", "beyond_delay")
+
+
 def read_latency_sink(spark: SparkSession, sink: str, window: str = "15 minutes",
                       alert_s: int = 15 * 60) -> DataFrame:
     """The latency sink in the shape of ``kpis.latency_kpis``."""
     from ..functions import rules as R
     from ..operators.kpis import window_seconds
     window_s = window_seconds(window)
-    t = spark.read.parquet(sink)
+    t = _latency_windows(spark, sink)
     return t.select(
         "window_start", "events",
         R.round_half_up(F.col("events") / F.lit(float(window_s)), 4).alias("events_per_sec"),
