@@ -1,6 +1,7 @@
 """Plan shape: the properties the design relies on, read from explain()."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tidemark.plans import catalog
@@ -57,6 +58,23 @@ def test_gold_aggregates_partially(spark):
     assert "partial_count" in p and "partial_mode" in p
 
 
+@pytest.mark.parametrize("name, scans", [("gold_features", 1), ("drift_report", 1), ("retrain_decision", 1), ("alerts", 3)])
+def test_gold_queries_read_the_table_once_without_expand(spark, name, scans):
+    """One scan of events each (alerts: one a rule), and no copy of the events for a second distinct count."""
+    p = plan_of(E.queries()[name](spark, SF))
+    assert p.count("FileScan parquet") == scans
+    assert "Expand" not in p and "SortAggregate(key=[subscriber" not in p    # a sort of one row, for a text maximum, is fine
+
+
+def test_one_pass_report_equals_the_two_table_report(spark):
+    from tidemark.operators import drift as DR
+    from tidemark.operators import scoring as SC
+    gold = G.gold(SV.silver(FX.bronze(spark, SF), FX.AS_OF), FX.AS_OF).drop("computed_at")
+    for g in (gold, gold.limit(0), gold.withColumn("country", F.when(F.col("churn_risk_label") == "HIGH", "ZZ").otherwise(F.col("country")))):
+        one = DR.drift_report_scored(SC.with_probability(g), FX.AS_OF).collect()
+        assert one == DR.drift_report(g, SC.score_heuristic(g, FX.AS_OF), FX.AS_OF).collect()
+
+
 def test_high_water_prunes_ingest_days(spark, tmp_dir):
     from pyspark.sql import functions as F
     path = f"{tmp_dir}/bronze_by_day"

@@ -127,20 +127,34 @@ def drift_timeline(scored: DataFrame, day: str = "snapshot_date", as_of=None,
                    prob: str = "churn_probability", stats: dict | None = None,
                    threshold: float = S.DRIFT_THRESHOLD,
                    baseline_rate: float = S.BASELINE_CHURN_RATE) -> DataFrame:
-    """One report per day over a scored snapshot table (M14 over a period).
-
-    One linear plan: a single aggregation per day gives the feature means and
-    the predicted churn rate; the rate is checked by the same relative rule
-    as a feature (baseline 0.25), so it joins the unpivoted means as one more
-    row against the broadcast baseline, and one more grouping per day turns
+    """One report per day over a scored snapshot table (M14 over a period)."""
+    return _one_pass(scored, [day], as_of, positive_rate(prob), stats, threshold, baseline_rate)
+
+
+def drift_report_scored(scored: DataFrame, as_of=None, prob: str = "churn_probability",
+                        stats: dict | None = None, threshold: float = S.DRIFT_THRESHOLD,
+                        baseline_rate: float = S.BASELINE_CHURN_RATE) -> DataFrame:
+    """``drift_report`` where the probability is a column of the feature table:
+    the table is read and aggregated once. Rows with a NULL probability (not
+    scored) count for the feature means, not for the predicted rate. An empty
+    table gives one row without an alert, as there."""
+    rate = F.avg(F.when(F.col(prob).isNotNull(), F.when(~F.isnan(prob) & (F.col(prob) >= 0.5), 1.0).otherwise(0.0)))
+    return _one_pass(scored, [], as_of, rate, stats, threshold, baseline_rate)
+
+
+def _one_pass(scored: DataFrame, by: list[str], as_of, rate, stats: dict | None, threshold: float,
+              baseline_rate: float) -> DataFrame:
+    """Reports per ``by`` as one linear plan: a single aggregation gives the
+    feature means and the predicted churn rate; the rate is checked by the same
+    relative rule as a feature (baseline 0.25), so it joins the unpivoted means
+    as one more row against the broadcast baseline, and one more grouping turns
     the flags into the report.
     """
     feats = monitored(scored, stats)
-    daily = scored.groupBy(day).agg(
-        *[F.avg(R.nan_to_null(f)).alias(f"m{i}") for i, f in enumerate(feats)],
-        positive_rate(prob).alias("m_pred"))
+    wide = scored.groupBy(*by).agg(
+        *[F.avg(R.nan_to_null(f)).alias(f"m{i}") for i, f in enumerate(feats)], rate.alias("m_pred"))
     stack = ", ".join([f"'{f}', m{i}" for i, f in enumerate(feats)] + ["'prediction', m_pred"])
-    long = daily.selectExpr(day, f"stack({len(feats) + 1}, {stack}) AS (feature, current_mean)")
+    long = wide.selectExpr(*by, f"stack({len(feats) + 1}, {stack}) AS (feature, current_mean)")
     spark = scored.sparkSession
     base = baseline_table(spark, stats).select("feature", "position", "baseline_mean").unionByName(
         R.literal_table(spark, [("prediction", len(feats), float(baseline_rate))],
@@ -149,12 +163,12 @@ def drift_timeline(scored: DataFrame, day: str = "snapshot_date", as_of=None,
     flagged = (long.join(F.broadcast(base), "feature")
                    .withColumn("drifted", R.is_drifted(dev, threshold)))
     is_pred = F.col("feature") == "prediction"
-    per_day = flagged.groupBy(day).agg(
+    flags = flagged.groupBy(*by).agg(
         F.bool_or(F.col("drifted") & ~is_pred).alias("any_feature_drift"),
         F.bool_or(F.col("drifted") & is_pred).alias("prediction_drifted"),
         F.array_sort(F.collect_list(F.when(F.col("drifted") & ~is_pred,
                                            F.struct("position", "feature")))).alias("_d"))
-    return _finish_report(per_day, [day], as_of)
+    return _finish_report(flags, by, as_of)
 
 
 def alert_days(timeline: DataFrame) -> DataFrame:

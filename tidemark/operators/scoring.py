@@ -86,6 +86,12 @@ def score_heuristic(df: DataFrame, as_of=None, validate: bool = True) -> DataFra
     return _finish(df.withColumn("_p", heuristic_probability()), "_p", as_of, HEURISTIC_VERSION)
 
 
+def with_probability(df: DataFrame) -> DataFrame:
+    """All rows with the fallback rules' ``churn_probability``, NULL where a row fails the validation."""
+    valid = F.size(validation_reasons()) == 0
+    return df.withColumn("churn_probability", F.when(valid, R.round_half_up(heuristic_probability(), 4)))
+
+
 def score_model(df: DataFrame, model, as_of=None, model_version: str = "1.0.0",
                 validate: bool = True) -> DataFrame:
     """Score with a fitted ``PipelineModel`` whose input is the 15 features."""

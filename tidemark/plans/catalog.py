@@ -124,9 +124,7 @@ def prediction_drift(spark, sf_dir):
 
 
 def drift_report(spark, sf_dir):
-    g = _gold(spark, sf_dir)
-    preds = SC.score_heuristic(g.select(*_scoring_input(spark, sf_dir).columns), AS_OF)
-    return portable(DR.drift_report(g, preds, AS_OF))
+    return portable(DR.drift_report_scored(SC.with_probability(_gold(spark, sf_dir)), AS_OF))
 
 
 def confusion_metrics(spark, sf_dir):
@@ -325,9 +323,8 @@ def kpi_latency_percentiles(spark, sf_dir):
 
 def alerts(spark, sf_dir):
     bronze = FX.bronze(spark, sf_dir)
-    g = G.gold(SV.silver(bronze, AS_OF), AS_OF)
-    preds = SC.score_heuristic(g.select(*S.SCORING_INPUT_COLS), AS_OF)
-    return portable(KP.alerts(QU.quality_report(bronze, AS_OF), DR.drift_report(g, preds, AS_OF),
+    scored = SC.with_probability(G.gold(SV.silver(bronze, AS_OF), AS_OF))
+    return portable(KP.alerts(QU.quality_report(bronze, AS_OF), DR.drift_report_scored(scored, AS_OF),
                               KP.latency_kpis(bronze), AS_OF))
 
 
@@ -444,8 +441,7 @@ def bronze_sample(spark, sf_dir):
 
 def retrain_decision(spark, sf_dir):
     """Drift decides whether to retrain."""
-    g = _gold(spark, sf_dir)
-    rep = DR.drift_report(g, SC.score_heuristic(g.select(*S.SCORING_INPUT_COLS), AS_OF), AS_OF)
+    rep = DR.drift_report_scored(SC.with_probability(_gold(spark, sf_dir)), AS_OF)
     return portable(DR.retrain_decision(rep))
 
 
