@@ -378,6 +378,40 @@ def test_rare_links_are_found_and_count_for_both(spark):
     assert len(found) >= 299 and all(got[k].n_links == got[3000 + k].n_links == 1 for k in found)
 
 
+def test_rank_counts_the_cells_before():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 10))
+    books = multi_index.Codebooks(x, 12)
+    order = books.order(x[:20], 144)
+    assert all(sorted(o) == list(range(144)) for o in order)
+    rows, at = np.repeat(np.arange(20), 144), np.tile(np.arange(144), 20)
+    assert (books.rank(x[:20], rows, order.ravel()) == at).all()
+    assert (books.order(x[:20], 7) == order[:, :7]).all() and (books.cell(x[:20]) == order[:, 0]).all()
+
+
+@pytest.mark.parametrize("block, per_cell", [(2048, 1), (40, 1), (40, 64)])
+def test_links_of_fine_grids_and_small_blocks(spark, monkeypatch, block, per_cell):
+    """More cells than WORDS gives, groups of many cells, and cells dealt into blocks: the same links as of all pairs."""
+    monkeypatch.setattr(multi_index, "BLOCK", block)
+    monkeypatch.setattr(multi_index, "PER_CELL", per_cell)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2500, 24))
+    x[500:900] = x[7] + rng.normal(0, .12, (400, 24))           # a hot cell: different vectors close together
+    x[900:1500] = x[1500:2100] + rng.normal(0, .2, (600, 24))
+    x[2100:2200] = x[3]
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = u @ u.T >= .9
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r for r in multi_index.near_duplicates(
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    n = np.array([got[i].n_links for i in range(len(x))])
+    assert (n <= near.sum(1)).all() and n.sum() >= .99 * near.sum()
+    comp = np.arange(len(x))
+    for _ in range(60):
+        comp = np.minimum(comp, np.where(near, comp[None], len(x)).min(1))
+    assert np.mean([got[i].component_id == comp[i] for i in range(len(x))]) >= .995
+
+
 # ---------------------------------------------------------------- 10 and the pipeline
 
 def test_held_out_languages(spark):

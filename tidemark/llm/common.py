@@ -168,9 +168,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 _SPARK = {"long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType(),
-          "string": T.StringType(), "binary": T.BinaryType()}
+          "string": T.StringType(), "binary": T.BinaryType(), "longs": T.ArrayType(T.LongType())}
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
-          "string": pa.string(), "binary": pa.binary()}
+          "string": pa.string(), "binary": pa.binary(), "longs": pa.list_(pa.int64())}
 
 
 def struct(columns: str) -> T.StructType:
