@@ -5,6 +5,7 @@ import itertools
 import math
 import re
 import sys
+import time
 import zlib
 from collections import defaultdict
 
@@ -242,6 +243,55 @@ def test_base_spans_equal_plain_patterns(docs):
     assert [x[0] for x in pii.base_spans(EDGE[7][1])] == ["email", "ip", "card", "phone"]
 
 
+def _plain_base(t):
+    """The contract's four kinds by plain patterns: [(kind, start, end)]."""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = [int(c) for c in m.group() if c.isdigit()]
+        twice = [x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(reversed(d))]
+        if 13 <= len(d) <= 19 and sum(twice) % 10 == 0:
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= sum(c.isdigit() for c in m.group()) <= 15]
+
+
+def test_counts_digest_and_spans_equal_plain_patterns(spark, docs):
+    odd = ["4111 1111 1111 1111 5500-0000-0000-0004x4111111111111112", "+1 (743) 555-3824+49 30 901820 +1 2 3", "+" + "1" * 16 + " +12345678",
+           "é 378282246310005, 1.2.3.4 a@b.c +4411 22 33 44", "4111111111111111" * 2, "0000000000000 +0000000000"]
+    rows = docs + [(90000 + i, t) for i, t in enumerate(odd)]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        base, r = _plain_base(t or ""), got[i]
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b[0] == k for b in base) for k in pii.KINDS]
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        spans = [x for x in r.spans.split(",") if x]
+        assert set(text.split(",")) - {""} <= set(spans)
+        key = [(pii.KINDS.index(x.split(":")[0]), int(x.split(":")[1])) for x in spans]
+        assert key == sorted(key) and len(set(spans)) == len(spans)
+
+
+def test_copies_take_one_place_in_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "Selector", lambda docs: seen.extend(docs))
+    rows = [("copy mail a@b.org and 4111 1111 1111 1111",)] * 3000 + [(f"text {k} mail u{k}@host.org",) for k in range(200)]
+    pii.fit(spark.createDataFrame(rows, "text string"))
+    assert len(seen) == 201
+
+
+def test_overlaps_equal_all_pairs_and_long_lists_are_quick():
+    rng = np.random.default_rng(1)
+    at = np.cumsum(rng.integers(1, 6, 400))
+    spans = [(int(a), int(b)) for a, b in zip(at[::2], at[1::2])]
+    t = pii.Taken(spans)
+    for a, b in rng.integers(0, at[-1] + 5, (3000, 2)):
+        if a < b:
+            assert t.overlaps(int(a), int(b)) == any(a < y and x < b for x, y in spans)
+    long = " ".join(f"u{k}@h{k}.org j (at) h{k} (dot) org" for k in range(50_000))
+    t0 = time.time()
+    assert len(pii.candidates(long)) == 100_000 and time.time() - t0 < 20
+
+
 def test_selection_adds_only_what_held_out_rows_support():
     good = [["card", 0, 19, 1, pii.features("4111 1111 1111 1111", "card", 0, 19)]]
     bad = [["card", 0, 16, 0, pii.features("x9234567890123456", "card", 1, 17)]]

@@ -21,6 +21,7 @@ once, without a shuffle.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import json
 import random
@@ -96,6 +97,25 @@ def base_spans(t: str) -> list[tuple[str, int, int]]:
     return out
 
 
+class Taken:
+    """Spans that don't overlap each other, by place: whether another one overlaps any of them is a binary search."""
+
+    def __init__(self, spans=()):
+        self.spans = sorted(spans)
+
+    def overlaps(self, a: int, b: int) -> bool:
+        i = bisect.bisect_left(self.spans, (b,)) - 1         # the last that starts before b ends last, too
+        return i >= 0 and self.spans[i][1] > a
+
+    def add(self, a: int, b: int) -> None:
+        bisect.insort(self.spans, (a, b))
+
+
+def by_kind(spans: list[tuple[str, int, int]]) -> dict[str, Taken]:
+    """Base spans of each kind: leftmost matches of one pattern, so they don't overlap within a kind."""
+    return {k: Taken((a, b) for kind, a, b in spans if kind == k) for k in KINDS}
+
+
 def features(t: str, kind: str, a: int, b: int) -> list[float]:
     """Format of the span and its surroundings, and a card's check digits; nothing that only base forms have."""
     s = t[a:b]
@@ -119,14 +139,14 @@ def candidates(t: str) -> list[list]:
     """[kind, start, end, base?, features] of every base span and every wider proposal."""
     base = base_spans(t)
     out = [[k, a, b, 1, features(t, k, a, b)] for k, a, b in base]
-    known = {(k, a, b) for k, a, b in base}
+    taken = by_kind(base)
     if _DIGIT.search(t) or "at" in t:
         for kind, rx in _WIDE.items():
             if kind == "email" and not ("(at" in t or "[at" in t or "{at" in t or "(AT" in t or "[AT" in t or "{AT" in t):
                 continue
             for m in rx.finditer(t):
                 a, b = m.span()
-                if (kind, a, b) not in known and not any(k == kind and a < y and x < b for k, x, y in base):
+                if not taken[kind].overlaps(a, b):
                     out.append([kind, a, b, 0, features(t, kind, a, b)])
     return out
 
@@ -185,11 +205,11 @@ def look_alike(kind: str, text: str, rng: random.Random) -> str:
                        f"{n(1)}.{n(3)}.{n(3)}.{n(3)}", f"{n(2)} {n(2)} {n(2)} {n(2)} {n(2)} {n(2)}", f"{n(6)}.{n(6)}"])
 
 
-def _against(t: str, kind: str, a: int, b: int, base: list[tuple[str, int, int]]) -> bool:
+def _against(t: str, kind: str, a: int, b: int, base: dict[str, Taken]) -> bool:
     """Evidence other than the base form that a proposal is not of its kind."""
     s = t[a:b]
     d = "".join(c for c in s if "0" <= c <= "9")
-    if any(k != kind and a < y and x < b for k, x, y in base):
+    if any(k != kind and spans.overlaps(a, b) for k, spans in base.items()):
         return True
     if kind == "ip":
         return True
@@ -221,7 +241,8 @@ def lessons(t: str) -> list[list]:
                 if not label or (x, y) == (0, len(form)):       # a part of a wide form is left out
                     out.append([kind, a, b, label, c[4]])
     # proposals as they are
-    out.extend([k, a, b, 0, f] for k, a, b, is_base, f in cands if not is_base and _against(t, k, a, b, base))
+    taken = by_kind(base)
+    out.extend([k, a, b, 0, f] for k, a, b, is_base, f in cands if not is_base and _against(t, k, a, b, taken))
     rng.shuffle(out)                                             # PER_DOC takes of all
     return out
 
@@ -239,7 +260,10 @@ def _sampled(batches):
 
 
 class Selector:
-    """The fitted trees, their calibration, and each kind's threshold on the calibrated probability."""
+    """The fitted trees, their calibration, and each kind's threshold on the calibrated probability.
+
+    ``docs`` holds the lessons of different texts, in the order of their hashes: every third is held out.
+    """
 
     def __init__(self, docs: list[list]):
         rows = [(d % 3 == 0, c) for d, doc in enumerate(docs) for c in doc]
@@ -278,18 +302,23 @@ class Selector:
         more = [c for c in cands if not c[3]]
         if more and self.model is not None:
             p = sigmoid(self.a * self.model.raw(np.array([c[4] for c in more], float)) + self.b)
+            base, added = by_kind(keep).values(), Taken()
             for q, c in sorted(zip(p, more), key=lambda v: (-v[0], v[1][1], v[1][2], v[1][0])):
-                if q >= self.thresholds[c[0]] and not any(c[1] < b and a < c[2] for _, a, b in keep):
+                if q >= self.thresholds[c[0]] and not any(x.overlaps(c[1], c[2]) for x in (added, *base)):
                     keep.append((c[0], c[1], c[2]))
+                    added.add(c[1], c[2])
         return sorted(keep, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
 def fit(docs: DataFrame, text: str = "text") -> Selector:
-    """The selector from a bounded sample: texts by hash, at most SAMPLE of those with candidates."""
+    """The selector from a bounded sample: different texts by hash, at most SAMPLE of those with candidates.
+
+    Copies of a text are one: they take one place, and lie on one side of the held-out split.
+    """
     d = docs.select(F.xxhash64(text).alias("key"), F.col(text).alias("text"))
-    some = max(1, d.count() // (8 * SAMPLE))
+    some = max(1, d.agg(F.approx_count_distinct("key")).first()[0] // (8 * SAMPLE))
     rows = (d.filter(F.pmod("key", F.lit(some)) == 0).mapInArrow(_sampled, C.struct("key long, cands string"))
-            .orderBy("key", "cands").limit(SAMPLE).collect())
+            .groupBy("key").agg(F.min("cands").alias("cands")).orderBy("key").limit(SAMPLE).collect())
     return Selector([json.loads(r["cands"]) for r in rows])
 
 
