@@ -108,6 +108,7 @@ def test_ctw_equals_recursion(spark):
     got = {r.doc_id: r for r in ctw.score(ctw.train(t), a).collect()}
     for i, x in enumerate(ask):
         assert math.isclose(got[i].score, _brute_ctw(train, x, ctw.DEPTH), rel_tol=1e-9)
+        assert got[i].n_bytes == len(x.encode()) and math.isclose(got[i].bits_per_byte * (len(x.encode()) + 1), -got[i].score / math.log10(2))
     n, v = sum(len(_words(x)) + 1 for x in train), len({w for x in train for w in _words(x)}) + 1
     assert (got[1].n_tokens, got[1].n_known, got[1].train_tokens) == (2, 1, n)
     assert math.isclose(got[1].base_score, math.log10(.5 / (n + .5 * (v + 1))) + math.log10(4.5 / (n + .5 * (v + 1))))
@@ -115,6 +116,17 @@ def test_ctw_equals_recursion(spark):
 
 # ---------------------------------------------------------------- 2
 
+def test_code_length_counts_utf8_bytes_and_is_shorter_for_known_text(spark, monkeypatch):
+    t = spark.createDataFrame([("the cat sat on the mat é",)] * 20, "text string")
+    a = spark.createDataFrame([(1, "the cat sat on the mat é"), (2, "zq#x!"), (3, None), (3, None)], "doc_id long, text string")
+    whole = {r.doc_id: r for r in ctw.score(ctw.train(t), a).collect()}
+    assert whole[1].n_bytes == 25 and whole[3].n_bytes == 0 and whole[1].bits_per_byte < 1 < 6 < whole[2].bits_per_byte
+    monkeypatch.setattr(ctw, "LOCAL_GRAMS", 4)                    # grams beyond the broadcast table are asked by a join
+    monkeypatch.setattr(ctw, "LOCAL_WORDS", 2)
+    asked = {r.doc_id: r for r in ctw.score(ctw.train(t), a).collect()}
+    assert all(math.isclose(asked[k].bits_per_byte, r.bits_per_byte) and asked[k].n_bytes == r.n_bytes for k, r in whole.items())
+
+
 def test_targets_stop_at_three_times():
     t = mixing.targets([10, 100, 1000], [1, 1, 1])
     assert t == [30.0, 300.0, 780.0] and sum(t) == 1110

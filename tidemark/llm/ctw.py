@@ -397,7 +397,7 @@ def _scorer(key, grams_b, words_b, end_lp: float, end_known: int):
                 z = pa.nulls
                 yield C.out_batch(schema, uid=uid + np.arange(n), doc_id=ids.slice(at, n), held=held.slice(at, n),
                                   n_tokens=tokens, n_known=known, base=base, score=score,
-                                  word=z(n, pa.binary()), code=z(n, pa.int64()), n=z(n, pa.int64()))
+                                  word=z(n, pa.binary()), code=z(n, pa.int64()), n=np.diff(off))
                 for u, w, c, k in ((np.array(w_uid, np.int64), w_word, None, w_n),
                                    (uid + doc, None, codes[where].astype(np.int64), np.ones(len(where), np.int64))):
                     m = len(u)
@@ -413,7 +413,9 @@ def _scorer(key, grams_b, words_b, end_lp: float, end_known: int):
 
 def score(model: Model, docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
           held: Column | None = None) -> DataFrame:
-    """One row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
+    """One row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10), n_bytes, bits_per_byte.
+
+    ``bits_per_byte`` is the code length: bits for the text's ``n_bytes`` UTF-8 bytes and the end mark, over these and the mark.
 
     Null text is empty (one end mark is scored); rows with the same or a null
     id stay rows of their own.
@@ -443,20 +445,21 @@ def score(model: Model, docs: DataFrame, text: str = "text", doc_id: str = "doc_
     far = far.join(lp, "code").select("uid", F.col("lp").alias("score"))
     zero, none = F.lit(0).cast("long"), F.lit(None)
     rows = (parts.filter("n_tokens is not null")
-            .select("uid", "doc_id", "held", "n_tokens", "n_known", "base", "score")
+            .select("uid", "doc_id", "held", "n_tokens", "n_known", "base", "score", F.col("n").alias("n_bytes"))
             .unionByName(rest.groupBy("uid").agg(F.sum("n_known").alias("n_known"), F.sum("base").alias("base"))
                          .select("uid", none.cast("long").alias("doc_id"), none.cast("boolean").alias("held"),
                                  zero.alias("n_tokens"), F.col("n_known").cast("long").alias("n_known"), "base",
-                                 F.lit(0.).alias("score")))
+                                 F.lit(0.).alias("score"), zero.alias("n_bytes")))
             .unionByName(far.groupBy("uid").agg(F.sum("score").alias("score"))
                          .select("uid", none.cast("long").alias("doc_id"), none.cast("boolean").alias("held"),
-                                 zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.).alias("base"), "score")))
+                                 zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.).alias("base"), "score", zero.alias("n_bytes"))))
     return (rows.groupBy("uid")
             .agg(F.max("doc_id").alias("doc_id"), F.max("held").alias("held_out"),
                  F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
-                 F.sum("base").alias("base_score"), F.sum("score").alias("score"))
+                 F.sum("base").alias("base_score"), F.sum("score").alias("score"), F.sum("n_bytes").alias("n_bytes"))
             .select("doc_id", "held_out", "n_tokens", "n_known",
-                    F.lit(int(model.n_tokens)).cast("long").alias("train_tokens"), "base_score", "score"))
+                    F.lit(int(model.n_tokens)).cast("long").alias("train_tokens"), "base_score", "score", "n_bytes",
+                    (F.col("score") * F.lit(-math.log2(10)) / (F.col("n_bytes") + 1)).alias("bits_per_byte")))
 
 
 def _asked_only(top_b):
