@@ -86,3 +86,39 @@ def test_runs_without_filters_are_still_found(spark, tmp_dir):
     assert s2.bronze_inserted == second.count() and s2.bronze_skipped == first.count()
     s3 = PL.run_pipeline(spark, clean, tmp_dir, "again", FX.AS_OF)
     assert s3.bronze_inserted == 0
+
+
+def test_index_build_sends_each_key_once(spark):
+    """No bitmap is shuffled: a bitmap a block and task grows with the square of the keys."""
+    plan = KI.build(_rows(spark, 1000))._jdf.queryExecution().executedPlan().toString()
+    sends = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and ("block" in x or "_at" in x)]
+    assert len(sends) == 1 and "REPARTITION_BY_COL" in sends[0]
+    days = KI.candidate_days(KI.build(_rows(spark, 1000)), _rows(spark, 5))
+    assert [str(d) for d in days] == ["2024-01-01"]
+
+
+def test_a_run_dedupes_and_anti_joins_once_and_leaves_no_scratch(spark, tmp_dir, monkeypatch):
+    """The batch without repeats and the new rows are computed once each, however often they are read."""
+    from tidemark.session import ensure_checkpoint_dir
+    from tidemark.sources import tables as TB
+    kept = []
+    plain = TB.stored
+    monkeypatch.setattr(TB, "stored", lambda df, path: (kept.append(path.split("/")[-1]), plain(df, path))[1])
+    clean = FX.bronze_clean(spark, SF)
+    PL.run_pipeline(spark, clean.where("event_id < '3'"), tmp_dir, "a", FX.BATCH_CUT)
+    assert kept == ["rows"]
+    seen = []
+    plain_days = KI.candidate_days
+    monkeypatch.setattr(KI, "candidate_days", lambda index, batch, key="event_id": (
+        seen.append(batch._jdf.queryExecution().executedPlan().toString()), plain_days(index, batch, key))[1])
+    s = PL.run_pipeline(spark, clean, tmp_dir, "b", FX.AS_OF)
+    assert kept == ["rows", "batch", "rows", "updates", "merged"]
+    assert len(seen) == 1 and "Window" not in seen[0]
+    assert s.bronze_inserted == clean.where("event_id >= '3'").select("event_id").distinct().count()
+    assert not TB._exists(spark, f"{ensure_checkpoint_dir(spark)}/tidemark") or not [
+        n for n in _names(spark, f"{ensure_checkpoint_dir(spark)}/tidemark") if n.startswith("run-")]
+
+
+def _names(spark, path):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return [x.getPath().getName() for x in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]

@@ -8,6 +8,7 @@ is read, filtered by the batch's broadcast keys; the target never shuffles.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -22,7 +23,7 @@ from .joins import absent_from
 
 @dataclass
 class IngestResult:
-    rows: DataFrame          # rows to append (lazy)
+    rows: DataFrame          # rows to append (lazy, or kept)
     received: int
     inserted: int
     skipped: int
@@ -68,13 +69,20 @@ def absent_keys(batch: DataFrame, existing_keys: DataFrame | None,
 def ingest_to_bronze(batch: DataFrame, existing: DataFrame | None, run_id: str,
                      as_of=None, stamp_ingested_at: bool = True,
                      count: bool = True, index: DataFrame | None = None,
-                     unindexed: list | None = ()) -> IngestResult:
+                     unindexed: list | None = (),
+                     keep: Callable[[DataFrame, str], DataFrame] | None = None) -> IngestResult:
     """Append-ready rows for ``batch`` and true inserted/skipped counts (D3).
 
+    ``keep`` (frame, name) stores a frame and returns what reads it: the
+    batch without repeats, asked for its keys and then for its rows, and the rows
+    to append are computed once each then.
+
     With a stored-key ``index`` (``key_index``) only the days of ``existing``
     (``ingest_date``) that may hold a key of the batch are read."""
     rows = conform(batch)
     deduped = first_arrival(rows)
+    if keep is not None and existing is not None:
+        deduped = keep(deduped, "batch")
     if existing is not None and index is not None:
         new = KI.absent_by_index(deduped, existing, index, unindexed)
     else:
@@ -83,6 +91,8 @@ def ingest_to_bronze(batch: DataFrame, existing: DataFrame | None, run_id: str,
     if stamp_ingested_at:
         stamped = stamped.withColumn("ingested_at", R.as_of_literal(as_of))
     stamped = stamped.select(*S.BRONZE_COLS)
+    if keep is not None:
+        stamped = keep(stamped, "rows")
     if not count:
         return IngestResult(stamped, -1, -1, -1)
     counts = rows.select(F.count(F.lit(1)).alias("n")).first()["n"]

@@ -8,9 +8,10 @@ on the block and tests the bits inside the join. The number of blocks is a
 power of two set by the rows of the write, so that a key takes ``BITS_A_KEY``
 bits at least: a key that isn't stored passes a filter with probability below
 one in a million, and a batch of that size reads few days for nothing. The
-index takes 4 to 8 bytes a key and holds one row a block; its build is one
-grouped aggregation combined before the shuffle, keyed by a hash, so no key of
-the events can make it skewed.
+index takes 4 to 8 bytes a key and holds one row a block. Its build sends each
+key to its block's task once (bitmaps combined before the shuffle would be one
+a block and task, which grows with the square of the keys); blocks are chosen
+by a hash, so no key of the events can make it skewed.
 
 Filters only say "maybe": what they let through is looked up exactly, in the
 days they name and for the keys they name. They never miss a stored key. Days
@@ -31,27 +32,35 @@ BITS_A_KEY, PROBES = 32, 12
 DAY = "ingest_date"
 
 
+def _block(key: str):
+    return F.xxhash64(F.col(key))
+
+
 def _places(key: str) -> list:
-    """(hash that names the block, bit positions in it): four positions of 15 bits from each of three more hashes."""
+    """Bit positions of a key in its block: four of 15 bits from each of three more hashes."""
     hashes = [F.xxhash64(F.col(key), F.lit(j)) for j in range(1, PROBES // 4 + 1)]
-    bits = [F.shiftright(h, 15 * q).bitwiseAND(F.lit(BLOCK_BITS - 1)) for h in hashes for q in range(4)]
-    return [F.xxhash64(F.col(key)), F.array(*bits)]
+    return [F.shiftright(h, 15 * q).bitwiseAND(F.lit(BLOCK_BITS - 1)) for h in hashes for q in range(4)]
 
 
 def build(rows: DataFrame, key: str = "event_id", day: str = DAY, run: str = "pipeline_run_id") -> DataFrame:
     """Index rows of ``rows`` (the rows of one write): run, day, n_blocks, block, bits.
 
     Null keys aren't indexed: they match nothing in an anti-join either."""
-    h, bits = _places(key)
-    keys = rows.where(F.col(key).isNotNull()).select(F.col(run).alias("run_id"), F.col(day).alias(DAY),
-                                                     h.alias("_h"), bits.alias("_bits"))
+    keys = rows.where(F.col(key).isNotNull()).select(F.col(run).alias("run_id"), F.col(day).alias(DAY), F.col(key).alias("_key"))
     need = F.ceil(F.count(F.lit(1)) * BITS_A_KEY / F.lit(float(BLOCK_BITS)))
     # one row a run and day of this write, so small enough to send to every task
     sizes = keys.groupBy("run_id", DAY).agg(
         F.pow(F.lit(2.0), F.ceil(F.log2(need))).cast("long").alias("n_blocks"))
-    return (keys.join(F.broadcast(sizes), ["run_id", DAY])
-            .select("run_id", DAY, "n_blocks", F.pmod("_h", "n_blocks").alias("block"), F.explode("_bits").alias("_bit"))
-            .groupBy("run_id", DAY, "n_blocks", "block").agg(F.bitmap_construct_agg("_bit").alias("bits")))
+    # one hash for the group, first: rows are dealt and sorted by it, also where run and day are constants
+    group = ["_at", "block", "run_id", DAY, "n_blocks"]
+    dealt = (keys.join(F.broadcast(sizes), ["run_id", DAY])
+             .select(F.pmod(_block("_key"), "n_blocks").alias("block"), "run_id", DAY, "n_blocks", "_key")
+             .withColumn("_at", F.xxhash64("block", "run_id", DAY)).repartition("_at"))
+    # one bitmap a probe, then all of a block in one: twelve rows a block are sorted, not twelve a key
+    maps = dealt.groupBy(*group).agg(F.array(*[F.bitmap_construct_agg(p) for p in _places("_key")]).alias("_maps"))
+    return (maps.select(*group, F.explode("_maps").alias("_map"))
+            .groupBy(*group).agg(F.bitmap_or_agg("_map").alias("bits"))
+            .select("run_id", DAY, "n_blocks", "block", "bits"))
 
 
 def write(rows: DataFrame, path: str, run_id: str, days: list) -> None:
@@ -76,22 +85,30 @@ def _has(bits, place):
     return F.getbit(byte.cast("long"), place.bitwiseAND(F.lit(7)).cast("int")) == 1
 
 
-def candidates(index: DataFrame, batch: DataFrame, key: str = "event_id") -> DataFrame:
-    """(key, day) pairs whose filters hold all bits of the key."""
+def _maybe(index: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """(key, day) for every row of ``keys`` and every filter that holds all bits of its key."""
     index = index.where("n_blocks > 0")
     # powers of two in use: at most a few dozen numbers
     sizes = [r[0] for r in index.select("n_blocks").distinct().collect()]
-    h, bits = _places(key)
-    probes = (batch.select(key).where(F.col(key).isNotNull()).distinct()
-              .select(key, h.alias("_h"), bits.alias("_bits"),
-                      F.explode(F.array(*[F.lit(n).cast("long") for n in sizes]) if sizes else F.array().cast("array<bigint>"))
-                       .alias("n_blocks"))
-              .withColumn("block", F.pmod("_h", "n_blocks")))
+    probes = (keys.select(key).where(F.col(key).isNotNull())
+              .select(key, F.explode(F.array(*[F.lit(n).cast("long") for n in sizes]) if sizes else F.array().cast("array<bigint>"))
+                      .alias("n_blocks"))
+              .withColumn("block", F.pmod(_block(key), "n_blocks")))
     p, i = probes.alias("p"), index.alias("i")
-    on = (F.col("p.n_blocks") == F.col("i.n_blocks")) & (F.col("p.block") == F.col("i.block"))
-    for k in range(PROBES):
-        on = on & _has(F.col("i.bits"), F.col("p._bits")[k])
-    return p.join(i, on).select(F.col(f"p.{key}").alias(key), F.col(f"i.{DAY}").alias(DAY)).distinct()
+    on = (F.col("p.block") == F.col("i.block")) & (F.col("p.n_blocks") == F.col("i.n_blocks"))
+    for place in _places(f"p.{key}"):      # found again from the key, so only the key is sent
+        on = on & _has(F.col("i.bits"), place)
+    return p.join(i, on).select(F.col(f"p.{key}").alias(key), F.col(f"i.{DAY}").alias(DAY))
+
+
+def candidates(index: DataFrame, batch: DataFrame, key: str = "event_id") -> DataFrame:
+    """(key, day) pairs whose filters hold all bits of the key."""
+    return _maybe(index, batch.select(key).distinct(), key).distinct()
+
+
+def candidate_days(index: DataFrame, batch: DataFrame, key: str = "event_id") -> set:
+    """The days of :func:`candidates`. Each task reduces its pairs to days, so no pair is sent."""
+    return {r[0] for r in _maybe(index, batch, key).select(DAY).distinct().collect()}
 
 
 def absent_by_index(batch: DataFrame, stored: DataFrame, index: DataFrame, unindexed: list | None = (),
@@ -103,7 +120,6 @@ def absent_by_index(batch: DataFrame, stored: DataFrame, index: DataFrame, unind
     filters say; ``None`` if they aren't known: all days are read then. Days are
     literals, so others are pruned before they are read."""
     if unindexed is not None:
-        maybe = candidates(index, batch, key)
-        days = {r[0] for r in maybe.select(DAY).distinct().collect()} | set(unindexed)
+        days = candidate_days(index, batch, key) | set(unindexed)
         stored = stored.where(F.col(day).isin(sorted(days)) if days else F.lit(False))
     return batch.join(stored_matches(stored, batch, key), key, "left_anti")

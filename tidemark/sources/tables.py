@@ -2,15 +2,15 @@
 (S7, S9, S11, S15, S16).
 
 There is no table format (Delta/Iceberg) here, so writes that replace data
-never overwrite a path the plan is still reading: inputs are first cut from
-their lineage with ``checkpoint()`` (the cluster's shared checkpoint folder),
-partitioned tables are rewritten partition by partition with dynamic
+never overwrite a path the plan is still reading: inputs are first written as
+Parquet to a scratch folder (below the cluster's shared checkpoint folder), partitioned tables are rewritten partition by partition with dynamic
 partition overwrite, and unpartitioned tables are written to a new version
 directory and switched by a pointer row.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import os
 import uuid
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..operators import silver as SV
 from ..operators.joins import stored_matches
-from ..session import cut_lineage
+from ..session import ensure_checkpoint_dir
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -88,16 +88,24 @@ def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
     ``before_swap`` is called with the touched partitions before any of them
     changes, so that what depends on them can be noted first.
     """
-    cols = list(partition_cols)
     target = read_if_exists(spark, path)
     if mark is _UNSET:
         mark = SV.high_water_mark(target)
     updates = SV.silver(SV.new_since(bronze, mark), as_of)
-    updates = cut_lineage(updates)
-    n_updates = updates.count()
-    if target is None:
+    cols = list(partition_cols)
+    if target is None:      # nothing to merge with: written once, where it belongs
         updates.write.mode("overwrite").partitionBy(*cols).parquet(path)
-        return {"high_water_mark": None, "rows_written": n_updates, "partitions": None}
+        written = spark.read.schema(updates.schema).parquet(path).count()
+        return {"high_water_mark": None, "rows_written": written, "partitions": None}
+    with scratch(spark, "silver") as folder:
+        return _merge_silver(spark, updates, target, path, folder, cols, mark, check_moved_keys,
+                             moved_keys_lookback_days, before_swap)
+
+
+def _merge_silver(spark: SparkSession, updates: DataFrame, target: DataFrame, path: str, folder: str, cols: list[str],
+                  mark, check_moved_keys: bool, moved_keys_lookback_days: int | None, before_swap) -> dict:
+    updates = stored(updates, f"{folder}/updates")
+    n_updates = updates.count()
     if n_updates == 0:
         return {"high_water_mark": mark, "rows_written": 0, "partitions": []}
 
@@ -122,7 +130,7 @@ def write_silver_incremental(spark: SparkSession, bronze: DataFrame, path: str,
     if len(cols) > 1:      # as many rows as partitions were listed above
         affected = affected.join(F.broadcast(parts.distinct()), cols, "left_semi")
     merged = SV.merge_by_key(SV.sync_columns(affected, updates), updates)
-    merged = cut_lineage(merged)
+    merged = stored(merged, f"{folder}/merged")
     swap_partitions(merged, path, cols, touched)
     listed = sorted(t[0] for t in touched) if len(cols) == 1 else sorted(touched)
     return {"high_water_mark": mark, "rows_written": n_updates, "partitions": listed}
@@ -187,6 +195,24 @@ def write_landing_by_day(bronze: DataFrame, root: str) -> None:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never machine-local)."""
-    from ..session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tidemark", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, name: str):
+    """A scratch folder for the time of a block; its files go when the block ends, also by an error."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet to ``path`` and read from there: computed once, however often
+    it is used, and a later use reads the columns it needs."""
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
