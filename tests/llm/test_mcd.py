@@ -88,3 +88,21 @@ def test_verdict_follows_distances_and_labels(spark):
     assert lab.filter("quality = 1 and not base_failed and not kept").count() == 0
     assert lab.filter("quality = 0 and kept").count() == 0
     assert got.filter(F.col("base_failed") & F.col("kept")).count() == 0
+
+
+def test_steps_and_rounds_have_small_plans(spark, monkeypatch):
+    """A concentration step doesn't join the groups to the rows again, and a round of components is one star a plan."""
+    from pyspark.sql import functions as F
+    from tidemark.llm import common as C
+    plans, plain = [], C.stored
+    monkeypatch.setattr(C, "stored", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), plain(df))[1])
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("s").alias("source"),
+                                   F.expr("array_join(transform(sequence(1, 60 + id % 7), i -> concat('w', (i * (id + 3)) % 101)), ' ')").alias("text"))
+    O.judge(docs, ["doc_id"]).collect()
+    steps = [p for p in plans if "_d2" in p]
+    assert len(steps) > 3 and not any("Generate explode" in p for p in steps)
+    plans.clear()
+    edges = spark.createDataFrame([(1, 2), (2, 3), (4, 3), (7, 8), (9, 9)], "a long, b long")
+    got = {tuple(r) for r in C.components(edges).select("id", "component").collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (7, 7), (8, 7)}
+    assert all(p.count("FileScan") <= 2 and p.count("Join ") <= 1 for p in plans)

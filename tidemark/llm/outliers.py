@@ -214,7 +214,7 @@ def mcd(d: DataFrame, group: str, few: bool = False) -> DataFrame:
                 *key, *[F.when(lower, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")).alias(c) for c in cols],
                 F.when(lower, F.col("new")).otherwise(F.col("logdet")).alias("logdet"),
                 F.coalesce(F.col("logdet") - F.col("new") > 0.001, F.lit(False)).alias("going")))
-        if not state.filter("going").limit(1).count():
+        if not state.filter("going").head(1):
             break
     return state.drop("going").groupBy(group).agg(F.min_by(F.struct("*"), F.struct("logdet", "start")).alias("_e")).select("_e.*")
 
@@ -244,7 +244,9 @@ def judge(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lan
     few = level.count() <= FEW_GROUPS
     # a text counts for its own group, its language and all; one estimate each
     fan = good.select(F.explode(F.array("_ls", "_l", F.lit(""))).alias("_g"), *STATS)
-    est = C.stored(mcd(fan.join(_small(level.select("_g").distinct(), few), "_g"), "_g", few))
+    # stored: each step reads it twice, and its join would be in the plan of every step
+    fan = C.stored(fan.join(_small(level.select("_g").distinct(), few), "_g"))
+    est = C.stored(mcd(fan, "_g", few))
     judged = _distance(good.join(_small(level, few), "_ls").join(_small(est, few), "_g"), "distance2")
     out = [*[F.col("_keep")[c].alias(c) for c in keep], *COUNTS, "base_failed"]
     far = judged.select(*out, "distance2", (F.col("distance2") <= CUT).alias("kept"))
